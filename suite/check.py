@@ -26,6 +26,20 @@ def normal(value):
     return value
 
 
+# The type names of both engines.
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT", "double": "DOUBLE",
+    "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def types_of(df, relation) -> str:
+    """Columns whose types differ."""
+    theirs = dict(zip(relation.columns, map(str, relation.types)))
+    pairs = [(n, TYPES.get(t, t.upper()), theirs.get(n)) for n, t in df.dtypes]
+    return str([p for p in pairs if p[1] != p[2]]) if any(p[1] != p[2] for p in pairs) else ""
+
+
 def rows_of(columns: list[str], rows) -> tuple[list[str], list[tuple]]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return [columns[i] for i in order], sorted((tuple(normal(r[i]) for i in order) for r in rows), key=repr)
@@ -38,10 +52,12 @@ def compare(spark: SparkSession, sf_dir: str, name: str) -> str:
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
-    result = con.execute(ORACLE[name])
-    theirs = rows_of([d[0] for d in result.description], result.fetchall())
+    result = con.sql(ORACLE[name])
+    theirs = rows_of(result.columns, result.fetchall())
     if ours[0] != theirs[0]:
         return f"columns {ours[0]} / {theirs[0]}"
+    if types_of(df, result):
+        return f"types {types_of(df, result)}"
     if len(ours[1]) != len(theirs[1]):
         return f"rows {len(ours[1])} / {len(theirs[1])}"
     for a, b in zip(ours[1], theirs[1]):

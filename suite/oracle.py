@@ -52,11 +52,11 @@ def quantile_bins(
 ) -> str:
     """Right-closed quantile bins of rows (keys, x, y[, dec]); labels with edges rounded up when digits are given."""
     inner = ", ".join(f"{i}/{bins}" for i in range(1, bins))
-    shown = f"list_transform(e, v -> ceil({10**(digits or 0)} * v) / {10**(digits or 0)})"
+    shown = f"list_transform(e, lambda v: ceil({10**(digits or 0)} * v) / {10**(digits or 0)})"
     edges = f"list_concat(list_concat(['-infinity'::DOUBLE], {shown}), ['infinity'::DOUBLE])"
     join_keys = " AND ".join(f"c.{k.strip()} = edges.{k.strip()}" for k in keys.split(","))
     label = f"""(SELECT '(' || {edges}[bin] || ', ' || {edges}[bin + 1] || ']' FROM edges WHERE {join_keys}) AS bin_label,"""
-    binned = f"SELECT source.*, 1 + len(list_filter(e, v -> v < x)) AS bin FROM source JOIN edges USING ({keys})"
+    binned = f"SELECT source.*, 1 + len(list_filter(e, lambda v: v < x)) AS bin FROM source JOIN edges USING ({keys})"
     return f"""WITH source AS ({source}),
     edges AS (SELECT {keys}, list_sort(list_distinct(quantile_cont(x, [{inner}]))) AS e FROM source GROUP BY {keys}),
     {rates(binned, keys, round_to, psi=psi, extra=label if digits is not None else "")}"""
@@ -189,10 +189,10 @@ PIVOT_BIN = "CASE " + " ".join(
 ORACLE: dict[str, str] = {
     "bin_stat_price": quantile_bins(PRICE, "feature", 5, 2),
     "bin_stat_equal_width": f"""WITH source AS ({PRICE}),
-      edges AS (SELECT feature, list_transform(range(1, 8), i -> min(x) + (max(x) - min(x)) / 8 * i) AS e FROM source GROUP BY feature),
-      {rates("SELECT source.*, 1 + len(list_filter(e, v -> v < x)) AS bin FROM source JOIN edges USING (feature)", "feature", descending=True,
-        extra='''(SELECT '(' || list_concat(['-infinity'::DOUBLE], list_transform(e, v -> ceil(10 * v) / 10))[bin] || ', ' ||
-          list_concat(list_transform(e, v -> ceil(10 * v) / 10), ['infinity'::DOUBLE])[bin] || ']' FROM edges) AS bin_label,''')}""",
+      edges AS (SELECT feature, list_transform(range(1, 8), lambda i: min(x) + (max(x) - min(x)) / 8 * i) AS e FROM source GROUP BY feature),
+      {rates("SELECT source.*, 1 + len(list_filter(e, lambda v: v < x)) AS bin FROM source JOIN edges USING (feature)", "feature", descending=True,
+        extra='''(SELECT '(' || list_concat(['-infinity'::DOUBLE], list_transform(e, lambda v: ceil(10 * v) / 10))[bin] || ', ' ||
+          list_concat(list_transform(e, lambda v: ceil(10 * v) / 10), ['infinity'::DOUBLE])[bin] || ']' FROM edges) AS bin_label,''')}""",
     "bin_stat_two_features": quantile_bins(
         f"SELECT 'price' AS feature, l_extendedprice AS x, {LABEL} AS y FROM lineitem UNION ALL "
         f"SELECT 'l_quantity', l_quantity, {LABEL} FROM lineitem", "feature", 10, 1),
@@ -228,7 +228,7 @@ ORACLE: dict[str, str] = {
     "binary_report_by_date": report("date_range", DATED_ITEMS),
     "bin_stat_by_date": quantile_bins(
         f"SELECT {DATED} AS date_range, 'price' AS feature, l_extendedprice AS x, {LABEL} AS y FROM lineitem, {LIMITS}",
-        "date_range, feature", 5, None, round_to=4),
+        "date_range, feature", 5, None, round_to=5),
     "pivot_by_date": f"""SELECT {PIVOT_BIN} AS bin_label, """ + ", ".join(
         f"count(*) FILTER ({w}) AS r{i}_bin_num, sum({LABEL}) FILTER ({w})::BIGINT AS r{i}_bad_num" for i, w in enumerate((
             "l_shipdate < TIMESTAMP '1997-01-01'",

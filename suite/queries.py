@@ -180,7 +180,7 @@ def binary_report_by_date(spark, sf_dir):
 def bin_stat_by_date(spark, sf_dir):
     df = scored(spark, sf_dir)
     binned = sl.binary_report_by_date(df, "label", "score", "l_shipdate", CUTOFFS, bin_x="price", bins=5)[1]
-    return rounded(binned.drop("bin_label"), 4)
+    return binned.drop("bin_label", "bin_lo", "bin_hi")
 
 
 @query
