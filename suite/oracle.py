@@ -180,7 +180,7 @@ PRICE = f"SELECT 'price' AS feature, l_extendedprice AS x, {LABEL} AS y, {DEC} A
 TURNS = "SELECT conv_id, turn, regexp_replace('%' || role || chr(10) || text, '\\s*(%[\\w.]+\\s*\\n)', '#\\1', 'g') AS t FROM conversations"
 SCRIPTS = f"""SELECT conv_id, turn // 10000 AS part, count(*) AS paragraphs, string_agg(t, chr(10) ORDER BY turn, t) AS script
     FROM ({TURNS}) GROUP BY ALL"""
-CLEAN = "replace(replace(replace(replace({c}, '&copy;', chr(169)), '&middot;', chr(183)), '&quot;', '\"'), '&amp;', '&')"
+CLEAN = "regexp_replace(replace(replace(replace({c}, '&copy;', chr(169)), '&middot;', chr(183)), '&quot;', '\"'), '&amp;?', '&', 'g')"
 PIVOT_EDGES = [0, 20000, 50000, 80000, 200000]
 PIVOT_BIN = "CASE " + " ".join(
     f"WHEN l_extendedprice <= {hi} THEN '({float(lo)}, {float(hi)}]'" for lo, hi in zip(PIVOT_EDGES, PIVOT_EDGES[1:])
@@ -195,7 +195,7 @@ ORACLE: dict[str, str] = {
           list_concat(list_transform(e, lambda v: ceil(10 * v) / 10), ['infinity'::DOUBLE])[bin] || ']' FROM edges) AS bin_label,''')}""",
     "bin_stat_two_features": quantile_bins(
         f"SELECT 'price' AS feature, l_extendedprice AS x, {LABEL} AS y FROM lineitem UNION ALL "
-        f"SELECT 'l_quantity', l_quantity, {LABEL} FROM lineitem", "feature", 10, 1),
+        f"SELECT 'l_quantity', l_quantity, {LABEL} FROM lineitem", "feature", 10, None),
     "bin_stat_fixed_edges_left": f"""WITH source AS (SELECT 'l_quantity' AS feature, l_quantity AS x, {LABEL} AS y FROM lineitem),
       {rates('''SELECT *, CASE WHEN x < 5 OR x > 40 THEN 0 WHEN x < 10 THEN 1 WHEN x < 20 THEN 2 ELSE 3 END AS bin FROM source''', "feature",
         extra="['outside', '[5.0, 10.0)', '[10.0, 20.0)', '[20.0, 40.0)'][bin + 1] AS bin_label,")}""",

@@ -58,7 +58,7 @@ def bin_stat_equal_width(spark, sf_dir):
 
 @query
 def bin_stat_two_features(spark, sf_dir):
-    return rounded(sl.bin_stat(scored(spark, sf_dir), ["price", "l_quantity"], "label", bins=10, precision=1))
+    return rounded(sl.bin_stat(scored(spark, sf_dir), ["price", "l_quantity"], "label", bins=10).drop("bin_label"))
 
 
 @query

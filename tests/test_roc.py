@@ -1,0 +1,146 @@
+import math
+import random
+
+import pytest
+
+import scorelake as sl
+
+
+def brute_points(data, drop):
+    """(score, tps, fps) by descending score, of (label, score, weight) rows."""
+    data = [(y, s, w) for y, s, w in data if None not in (y, s, w) and not math.isnan(s) and w != 0]
+    points, tp, fp = [], 0, 0
+    for score in sorted({s for _, s, _ in data}, reverse=True):
+        tp += sum(w for y, s, w in data if s == score and y)
+        fp += sum(w for y, s, w in data if s == score and not y)
+        points.append((score, tp, fp))
+    if drop and len(points) > 2:
+        step = [(b[1] - a[1], b[2] - a[2]) for a, b in zip([(0, 0, 0), *points], points)]
+        keep = [i == 0 or i == len(points) - 1 or step[i] != step[i + 1] for i in range(len(points))]
+        points = [p for p, k in zip(points, keep) if k]
+    return points
+
+
+def brute(data, drop=True):
+    points = brute_points(data, drop)
+    p, n = points[-1][1], points[-1][2]
+    rates = [(0.0, 0.0), *[(t / p, f / n) for _, t, f in points]]
+    right = sum(b[0] * (b[1] - a[1]) for a, b in zip(rates, rates[1:]))
+    area = sum((b[0] + a[0]) / 2 * (b[1] - a[1]) for a, b in zip(rates, rates[1:]))
+    return {"auc_right": right, "auc_trapezoid": area, "ks": max(abs(t - f) for t, f in rates)}
+
+
+def sample(kind, seed=11):
+    r = random.Random(seed)
+    if kind == "ties":
+        return [(r.randrange(2), float(r.randrange(9)), 1) for _ in range(400)]
+    if kind == "distinct":
+        return [(int(r.random() < i / 300), float(i), 1) for i in range(300)]
+    if kind == "weighted":
+        return [(r.randrange(2), float(r.randrange(40)), r.choice([0, 1, 2, 5])) for _ in range(500)]
+    if kind == "equal_steps":  # consecutive tie groups with the same counts
+        return [(y, float(s), 1) for s in range(60) for y in ((1, 0, 0) if s % 20 < 15 else (1, 1))]
+    if kind == "hot":
+        return [(r.randrange(2), 0.5, 1) for _ in range(300)] + [(r.randrange(2), r.random(), 1) for _ in range(300)]
+    return [(r.randrange(2), r.choice([None, math.nan, 1.0, 2.0, 3.0]), 1) for _ in range(200)] + [(None, 2.5, 1)]
+
+
+KINDS = ["ties", "distinct", "weighted", "equal_steps", "hot", "holes"]
+
+
+def frame(spark, data):
+    return spark.createDataFrame([(y, s, float(w)) for y, s, w in data], "y int, s double, w double").repartition(3)
+
+
+@pytest.mark.parametrize("kind", KINDS)
+@pytest.mark.parametrize("rows_per_cell", [15, 2_000_000])
+@pytest.mark.parametrize("drop", [True, False])
+def test_summary_matches_brute_force(spark, kind, rows_per_cell, drop):
+    data = sample(kind)
+    got = sl.roc_summary(
+        frame(spark, data), "y", "s", "w", drop_intermediate=drop, rows_per_cell=rows_per_cell
+    ).first()
+    for name, value in brute(data, drop).items():
+        assert got[name] == pytest.approx(value, abs=1e-12), name
+
+
+@pytest.mark.parametrize("kind", KINDS)
+@pytest.mark.parametrize("rows_per_cell", [15, 2_000_000])
+@pytest.mark.parametrize("drop", [True, False])
+def test_curve_matches_brute_force(spark, kind, rows_per_cell, drop):
+    data = sample(kind)
+    curve = sl.roc_curve(frame(spark, data), "y", "s", "w", drop_intermediate=drop, rows_per_cell=rows_per_cell)
+    got = sorted((tuple(r) for r in curve.collect()), key=lambda r: -r[0])
+    points = brute_points(data, drop)
+    p, n = points[-1][1], points[-1][2]
+    expected = [(math.inf, 0.0, 0.0), *[(s, f / n, t / p) for s, t, f in points]]
+    assert len(got) == len(expected)
+    for g, e in zip(got, expected):
+        assert g == pytest.approx(e, abs=1e-12)
+    assert got[-1][1:] == (1, 1)
+
+
+@pytest.mark.parametrize("rows_per_cell", [15, 2_000_000])
+def test_keys_are_separate(spark, rows_per_cell):
+    data = {k: sample("distinct", seed) for seed, k in enumerate("abc")}
+    rows = [(k, y, s, float(w)) for k, d in data.items() for y, s, w in d]
+    df = spark.createDataFrame(rows, "k string, y int, s double, w double")
+    for r in sl.roc_summary(df, "y", "s", keys=["k"], rows_per_cell=rows_per_cell).collect():
+        for name, value in brute(data[r["k"]]).items():
+            assert r[name] == pytest.approx(value, abs=1e-12)
+
+
+def test_reversed_score_and_label_choice(spark):
+    df = frame(spark, sample("ties")).selectExpr("*", "-s AS neg", "IF(y = 1, 'bad', 'good') AS name", "y = 1 AS flag")
+    area = sl.auc(df, "y", "s").first()["auc"]
+    assert sl.auc(df, "y", "neg").first()["auc"] == pytest.approx(1 - area)
+    assert sl.auc(df, "name", "s", pos_label="bad").first()["auc"] == pytest.approx(area)
+    assert sl.auc(df, "name", "s", pos_label="good").first()["auc"] == pytest.approx(1 - area)
+    assert sl.auc(df, "flag", "s").first()["auc"] == pytest.approx(area)
+    assert 0 <= sl.ks(df, "y", "s").first()["ks"] <= 1
+    with pytest.raises(ValueError):
+        sl.auc(df, "y", "s", rule="left")
+
+
+def test_one_class_has_no_area(spark):
+    df = spark.createDataFrame([(1, 0.5), (1, 0.7)], "y int, s double")
+    row = sl.roc_summary(df, "y", "s").first()
+    assert row["auc_right"] is None and row["auc_trapezoid"] is None and row["ks"] is None
+    assert {r["fpr"] for r in sl.roc_curve(df, "y", "s").collect()} == {None}
+
+
+def brute_classes(data, threshold):
+    tally = lambda y, p: sum(w for a, s, w in data if a == y and (s > threshold) == p)
+    tp, fp, fn, tn = tally(1, True), tally(0, True), tally(1, False), tally(0, False)
+    div = lambda a, b: a / b if b else 0.0
+    out = {}
+    for k, right, predicted, actual in ((1, tp, tp + fp, tp + fn), (0, tn, tn + fn, tn + fp)):
+        p, r = div(right, predicted), div(right, actual)
+        out |= {f"precision_{k}": p, f"recall_{k}": r, f"f1_{k}": div(2 * p * r, p + r), f"support_{k}": actual}
+    present = [out[f"recall_{k}"] for k in (0, 1) if out[f"support_{k}"]]
+    return out | {"balanced_acc": sum(present) / len(present)}
+
+
+@pytest.mark.parametrize("threshold", [3.0, -1.0, 99.0])
+@pytest.mark.parametrize("kind", ["ties", "weighted"])
+def test_class_statistics(spark, kind, threshold):
+    data = sample(kind)
+    got = sl.classification_stats(frame(spark, data), "y", "s", threshold, "w").first().asDict()
+    assert got == pytest.approx(brute_classes(data, threshold))
+
+
+def test_class_statistics_of_one_class(spark):
+    df = frame(spark, [(1, 1.0, 1), (1, 5.0, 1)])
+    assert sl.classification_stats(df, "y", "s", 2.0).first().asDict() == pytest.approx(
+        brute_classes([(1, 1.0, 1), (1, 5.0, 1)], 2.0)
+    )
+
+
+def test_target_types(spark):
+    df = spark.createDataFrame(
+        [(0, 1.0, 0.5, "a", True, 1, None), (1, 2.0, 1.0, "b", False, 2, 1.0), (None, 1.0, 2.0, "a", True, 3, None)],
+        "b int, f double, c double, s string, t boolean, m int, n double",
+    )
+    assert sl.target_types(df, list("bfcstmn")) == {
+        "b": "binary", "f": "binary", "c": "continuous", "s": "binary", "t": "binary", "m": "multiclass", "n": "binary",
+    }
