@@ -82,10 +82,11 @@ def row_numbers(df: DataFrame, order_by: list[str], name: str = "row_number") ->
     """
     ensure_checkpoint_dir(df.sparkSession)
     hashable = [c for c, t in df.dtypes if "map<" not in t and "variant" not in t]
+    keyed = df.withColumn("_hash", F.xxhash64(*[F.col(f"`{c}`") for c in hashable]))
+    # The local sort makes positions, and so the ranges, the same when a task is run again.
+    placed = keyed.sortWithinPartitions(*order_by, "_hash").withColumn("_position", F.monotonically_increasing_id())
     ranked = (
-        df.withColumn("_hash", F.xxhash64(*[F.col(f"`{c}`") for c in hashable]))
-        .withColumn("_position", F.monotonically_increasing_id())
-        .repartitionByRange(*order_by, "_hash", "_position")
+        placed.repartitionByRange(*order_by, "_hash", "_position")
         .sortWithinPartitions(*order_by, "_hash", "_position")
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_index", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))

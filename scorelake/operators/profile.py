@@ -14,6 +14,8 @@ TYPE_WIDTHS = {
     "date": 4, "timestamp": 8, "timestamp_ntz": 8,
 }
 
+LONG_TEXT = 64  # bytes
+
 
 def _quoted(name: str) -> Column:
     return F.col(f"`{name}`")
@@ -23,6 +25,60 @@ def _is_float(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.FloatType, T.DoubleType))
 
 
+def _value_rows(df: DataFrame, columns: list[str], measured: bool = False) -> DataFrame:
+    """One row ``(i, l, d, s[, bytes])`` per cell: the column number and the value in the slot of its kind.
+
+    All columns share one scan and one pair of group-bys on narrow keys; Spark's
+    own plan for several distinct counts carries every column in every row.
+    """
+    cells = []
+    for i, name in enumerate(columns):
+        c, data_type = _quoted(name), df.schema[name].dataType
+        slot, value = "s", c.cast("string")
+        if isinstance(data_type, (T.IntegralType, T.BooleanType)):
+            slot, value = "l", c.cast("bigint")
+        elif isinstance(data_type, T.DateType):
+            slot, value = "l", F.unix_date(c).cast("bigint")
+        elif isinstance(data_type, T.TimestampType):
+            slot, value = "l", F.unix_micros(c)
+        elif _is_float(data_type):
+            slot, value = "d", c.cast("double")
+        elif isinstance(data_type, T.BinaryType):
+            value = F.hex(c)
+        elif isinstance(data_type, (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
+            value = F.when(c.isNotNull(), F.to_json(F.struct(c)))
+        if slot == "s":
+            # Long text travels as its digest, which no shorter text can equal.
+            digest = F.concat(F.lit("#"), F.sha2(value, 256))
+            value = F.when(F.octet_length(value) > LONG_TEXT, digest).otherwise(value)
+        slots = {"l": "bigint", "d": "double", "s": "string"}
+        fields = [value.alias(k) if k == slot else F.lit(None).cast(t).alias(k) for k, t in slots.items()]
+        if measured:
+            fields.append(F.when(c.isNotNull(), _value_bytes(c, data_type)).cast("bigint").alias("bytes"))
+        cells.append(F.struct(F.lit(i).alias("i"), *fields))
+    return df.select(F.inline(F.array(*cells)))
+
+
+def _distinct_counts(df: DataFrame, columns: list[str], measured: bool = False) -> DataFrame:
+    """Per column number: distinct values, nulls, NaN cells and, when measured, the longest value."""
+    longest = [F.max("bytes").alias("bytes")] if measured else []
+    values = _value_rows(df, columns, measured).groupBy("i", "l", "d", "s").agg(F.count(F.lit(1)).alias("n"), *longest)
+    # A null counted 0 times gives every column a row, even in an empty table.
+    nothing = [f"cast(NULL AS {t}) AS {c}" for c, t in values.dtypes if c not in ("i", "n")]
+    none = df.sparkSession.range(len(columns)).selectExpr("int(id) AS i", "0L AS n", *nothing)
+    values = values.unionByName(none)
+    return values.groupBy("i").agg(
+        F.expr("count_if(l IS NOT NULL OR d IS NOT NULL OR s IS NOT NULL) AS values"),
+        F.expr("coalesce(sum(n) FILTER (WHERE l IS NULL AND d IS NULL AND s IS NULL), 0) AS nulls"),
+        F.expr("coalesce(sum(n) FILTER (WHERE isnan(d)), 0) AS nans"),
+        *longest,
+    )
+
+
+def _named(columns: list[str], number: str = "i") -> Column:
+    return F.get(F.array(*map(F.lit, columns)), F.col(number))
+
+
 def nunique(df: DataFrame, columns: list[str] | None = None, axis: int = 0, approx: bool = False) -> DataFrame:
     """Number of distinct values per column (axis 0) or per row (axis 1).
 
@@ -36,6 +92,10 @@ def nunique(df: DataFrame, columns: list[str] | None = None, axis: int = 0, appr
         return df.select(
             "*", (F.size(F.array_distinct(present)) + F.size(cells) - F.size(present)).alias("nunique")
         )
+    if not approx:
+        # All NaN of a column are one value of the group-by.
+        count = "values + nulls + IF(nans > 0, nans - 1, 0) AS nunique"
+        return _distinct_counts(df, columns).select(_named(columns).alias("column_name"), F.expr(count))
     parts = []
     for i, c in enumerate(columns):
         value = _quoted(c)
@@ -43,18 +103,16 @@ def nunique(df: DataFrame, columns: list[str] | None = None, axis: int = 0, appr
         if _is_float(df.schema[c].dataType):
             missing = missing | F.isnan(value)
             value = F.nanvl(value, F.lit(None))
-        count = F.approx_count_distinct(value) if approx else F.count_distinct(value)
-        parts.append((count + F.count_if(missing)).alias(f"n{i}"))
+        parts.append((F.approx_count_distinct(value) + F.count_if(missing)).alias(f"n{i}"))
     return _long(df.agg(*parts), columns, {"nunique": "n{i}"})
 
 
-def _long(wide: DataFrame, columns: list[str], fields: dict[str, str], extra: dict[str, list] | None = None):
+def _long(wide: DataFrame, columns: list[str], fields: dict[str, str]) -> DataFrame:
     """One row per column from a single row of numbered aggregates."""
     rows = []
     for i, c in enumerate(columns):
-        constants = [F.lit(values[i]).alias(name) for name, values in (extra or {}).items()]
         measured = [_quoted(pattern.format(i=i)).alias(name) for name, pattern in fields.items()]
-        rows.append(F.struct(F.lit(c).alias("column_name"), *constants, *measured))
+        rows.append(F.struct(F.lit(c).alias("column_name"), *measured))
     return wide.select(F.inline(F.array(*rows)))
 
 
@@ -95,35 +153,37 @@ def result_size(df: DataFrame) -> DataFrame:
 def column_profile(df: DataFrame, approx: bool = False) -> DataFrame:
     """One row per column: type, comment, longest value, precision, distinct and null counts, density.
 
-    All columns are measured by one aggregation. Distinct counts are exact,
-    which shuffles the distinct values of every column; `approx` replaces them
-    by sketches and needs no shuffle of values. Density is 1 / distinct values.
-    Columns of a type without equality, such as maps, have no distinct count.
+    All columns are measured in one scan. Distinct counts are exact, which
+    shuffles the distinct values of every column; `approx` replaces them by
+    sketches, and then no values are shuffled. Density is 1 / distinct values.
+    Maps, which have no equality, get no approximate count.
     """
-    parts, fields = [], df.schema.fields
-    for i, f in enumerate(fields):
-        c = _quoted(f.name)
-        comparable = not any(w in f.dataType.simpleString() for w in ("map<", "variant"))
-        count = F.approx_count_distinct(c) if approx else F.count_distinct(c)
-        length = F.max(F.when(c.isNotNull(), _value_bytes(c, f.dataType))).cast("bigint")
-        parts += [
-            (count if comparable else F.lit(None)).cast("bigint").alias(f"d{i}"),
-            F.count_if(c.isNull()).alias(f"n{i}"),
-            length.alias(f"l{i}"),
-        ]
-    constants = {
-        "comment": [f.metadata.get("comment") for f in fields],
-        "data_type": [f.dataType.simpleString() for f in fields],
-        "data_precision": [f.dataType.precision if isinstance(f.dataType, T.DecimalType) else None for f in fields],
-    }
-    measured = {"data_length": "l{i}", "num_distinct": "d{i}", "num_nulls": "n{i}"}
-    rows = _long(df.agg(*parts), df.columns, measured, constants)
+    fields, columns = df.schema.fields, df.columns
+    if approx:
+        parts = []
+        for i, f in enumerate(fields):
+            c = _quoted(f.name)
+            comparable = not any(w in f.dataType.simpleString() for w in ("map<", "variant"))
+            longest = F.max(F.when(c.isNotNull(), _value_bytes(c, f.dataType))).cast("bigint")
+            parts += [
+                (F.approx_count_distinct(c) if comparable else F.lit(None)).cast("bigint").alias(f"d{i}"),
+                F.count_if(c.isNull()).alias(f"n{i}"),
+                longest.alias(f"l{i}"),
+            ]
+        measured = {"i": "i{i}", "data_length": "l{i}", "num_distinct": "d{i}", "num_nulls": "n{i}"}
+        numbers = [F.lit(i).alias(f"i{i}") for i in range(len(fields))]
+        rows = _long(df.agg(*parts).select("*", *numbers), columns, measured)
+    else:
+        rows = _distinct_counts(df, columns, measured=True).selectExpr(
+            "i", "bytes AS data_length", "values AS num_distinct", "nulls AS num_nulls"
+        )
+    precisions = [f.dataType.precision if isinstance(f.dataType, T.DecimalType) else None for f in fields]
     return rows.select(
-        "column_name",
-        F.col("comment").cast("string").alias("comment"),
-        "data_type",
+        _named(columns).alias("column_name"),
+        _named([f.metadata.get("comment") for f in fields]).cast("string").alias("comment"),
+        _named([f.dataType.simpleString() for f in fields]).alias("data_type"),
         "data_length",
-        F.col("data_precision").cast("int").alias("data_precision"),
+        _named(precisions).cast("int").alias("data_precision"),
         "num_distinct",
         "num_nulls",
         F.expr("try_divide(1D, num_distinct) AS density"),

@@ -185,7 +185,7 @@ def test_profile_and_sizes(spark):
         "column_name": "s", "comment": 0, "data_type": "string", "data_length": 3, "data_precision": None,
         "num_distinct": 1, "num_nulls": 1, "density": 1.0,
     }
-    assert got["d"]["data_precision"] == 10 and got["m"]["num_distinct"] is None and got["i"]["data_length"] == 4
+    assert got["d"]["data_precision"] == 10 and got["m"]["num_distinct"] == 1 and got["i"]["data_length"] == 4
     assert {r["column_name"]: r["num_distinct"] for r in sl.column_profile(df, approx=True).collect()}["i"] == 1
     sizes = sl.column_sizes(df).collect()
     by_name = {r["column_name"]: r["bytes"] for r in sizes}
@@ -195,6 +195,17 @@ def test_profile_and_sizes(spark):
     assert (total["rows"], total["bytes"]) == (2, sum(by_name.values()))
 
 
+def test_profile_of_long_text_and_of_nothing(spark):
+    texts = ["x" * 64, "x" * 65, "x" * 65, "y" * 500, "y" * 501, None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert sl.nunique(df).first()["nunique"] == 5
+    row = sl.column_profile(df).first()
+    assert (row["num_distinct"], row["num_nulls"], row["data_length"]) == (4, 1, 501)
+    for approx in (False, True):
+        empty = sl.column_profile(df.where("false"), approx).first()
+        assert (empty["num_distinct"], empty["num_nulls"], empty["density"]) == (0, 0, None)
+
+
 def test_documents(spark):
     turns = [(1, 0, "%py\nx = 1\n"), (1, 1, "  \n%sql\nselect 1"), (1, 10, "no mark"), (2, 0, "%md \n# title")]
     df = spark.createDataFrame(turns, "doc int, i int, t string").repartition(3)
