@@ -16,6 +16,7 @@ from .quantiles import grouped_quantiles
 log = logging.getLogger(__name__)
 
 CUT_METHODS = ("quantile", "percentile")
+GROUPS_PER_PASS = 200
 BRACKETS = {"right": ("(", "]"), "left": ("[", ")"), "both": ("[", "]"), "neither": ("(", ")")}
 
 
@@ -86,7 +87,7 @@ def bin_struct(number: str, shown: list[float], closed: str, fillna: str | None)
     )
 
 
-def feature_rows(df: DataFrame, columns: list[str], group: Column | None = None, groups: int = 1) -> DataFrame:
+def feature_rows(df: DataFrame, columns: list[str], group: Column | None = None) -> DataFrame:
     """Long rows ``(g, v)`` of several columns; g = group * columns + column, v without null and NaN."""
     offset = F.lit(0) if group is None else group * len(columns)
     if len(columns) == 1:
@@ -116,13 +117,19 @@ def bin_edges(
 
     Computed edges start at -inf and end at +inf and hold no duplicates, since
     ties would otherwise make empty bins. All columns and groups share the same
-    few jobs.
+    few jobs, up to `GROUPS_PER_PASS` of them at a time.
     """
     explicit = check_bins(bins, cut_method, closed)
     total = groups * len(columns)
     if explicit:
         return [explicit] * total
-    rows = feature_rows(df, columns, group, groups)
+    width = max(1, GROUPS_PER_PASS // groups)
+    if len(columns) > width:
+        batches = [columns[i : i + width] for i in range(0, len(columns), width)]
+        options = (bins, cut_method, closed, method, group, groups, rows_per_cell)
+        found = [(batch, bin_edges(df, batch, *options)) for batch in batches]
+        return [e for g in range(groups) for batch, edges in found for e in edges[g * len(batch) : (g + 1) * len(batch)]]
+    rows = feature_rows(df, columns, group)
     if cut_method == "quantile":
         raw = grouped_quantiles(rows, total, bins, method, ends=False, rows_per_cell=rows_per_cell)
     else:

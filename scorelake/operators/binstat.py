@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from ..functions.expr import numeric_label, psi, safe_div
 from . import cells
 from .binning import bin_edges, bin_sql, bin_struct, check_bins, round_edges
 
+FEATURES_PER_SCAN = 50
 COUNTS = ["bin_num", "bad_num", "good_num"]
 STATS = [
     *COUNTS,
@@ -52,9 +55,9 @@ def bin_stat(
 ) -> DataFrame:
     """One row per feature and bin: counts, rates, odds, running rates, lift and, with `pred`, PSI.
 
-    All features are binned in one pass: each row becomes one small
-    ``(feature, bin, label)`` row per feature, summed before the shuffle, so
-    the shuffle carries at most one row per bin and task. Rows without a bin
+    Features are binned together: each row becomes one small ``(feature, bin,
+    label)`` row per feature, summed before the shuffle, so the shuffle carries
+    at most one row per bin and task. Rows without a bin
     are left out unless `fillna` names them; they then form bin 0.
 
     `group` is used by the reports by date: a group number column, the name of
@@ -66,31 +69,22 @@ def bin_stat(
     edges = bin_edges(df, columns, bins, cut_method, closed, method, number, len(names))
     width = len(columns)
 
-    y = numeric_label(F.col(f"`{label}`"), dict(df.dtypes)[label])
-    extras = [y.alias("_y")]
-    if pred is not None:
-        extras.append(numeric_label(F.col(f"`{pred}`"), dict(df.dtypes)[pred]).alias("_p"))
-    binned = []
-    for i, c in enumerate(columns):
-        bin_number = cells.by_group("_g", [bin_sql(c, edges[g * width + i], closed) for g in range(len(names))])
-        binned.append(f"coalesce({bin_number}, 0)" if fillna is not None else bin_number)
+    types = dict(df.dtypes)
+    y = [numeric_label(F.col(f"`{c}`"), types[c]).alias(n) for c, n in ((label, "_y"), (pred, "_p")) if c is not None]
     rows = df.select(
-        *[F.col(f"`{c}`") for c in dict.fromkeys(columns)],
-        (F.lit(0) if number is None else number).alias("_g"),
-        *extras,
+        *[F.col(f"`{c}`") for c in dict.fromkeys(columns)], (F.lit(0) if number is None else number).alias("_g"), *y
+    )
+    numbers = []
+    for i, c in enumerate(columns):
+        b = cells.by_group("_g", [bin_sql(c, edges[g * width + i], closed) for g in range(len(names))])
+        numbers.append(f"coalesce({b}, 0)" if fillna is not None else b)
+    counted = reduce(
+        DataFrame.unionByName,
+        [
+            _count_bins(rows, range(start, min(start + FEATURES_PER_SCAN, width)), numbers, pred is not None)
+            for start in range(0, width, FEATURES_PER_SCAN)
+        ],
     )
-    kept = ["_g", "_y", *(["_p"] if pred is not None else [])]
-    if width == 1:
-        rows = rows.selectExpr(*kept, "0 AS _f", f"{binned[0]} AS _b")
-    else:
-        pairs = ", ".join(f"named_struct('_f', {i}, '_b', {b})" for i, b in enumerate(binned))
-        rows = rows.selectExpr(*kept, f"inline(array({pairs}))")
-    rows = rows.where("_b IS NOT NULL AND _g IS NOT NULL")
-
-    sums = [F.count("_y").alias("bin_num"), F.coalesce(F.sum("_y"), F.lit(0)).alias("bad_num")]
-    if pred is not None:
-        sums += [F.sum("_p").alias("_pred_sum"), F.count("_p").alias("_pred_num")]
-    counted = rows.groupBy("_g", "_f", "_b").agg(*sums)
     stats = rate_columns(counted, ["_g", "_f"], "_b", ascending)
     if pred is not None:
         stats = stats.withColumn("psi", psi(safe_div("_pred_sum", "_pred_num"), F.col("bad_rate")))
@@ -111,6 +105,20 @@ def bin_stat(
     )
 
 
+def _count_bins(rows: DataFrame, features: range, numbers: list[str], with_pred: bool) -> DataFrame:
+    """Counts and sums of some features per group and bin, in one scan of their columns."""
+    kept = ["_g", "_y", *(["_p"] if with_pred else [])]
+    if len(features) == 1:
+        binned = rows.selectExpr(*kept, f"{features[0]} AS _f", f"{numbers[features[0]]} AS _b")
+    else:
+        pairs = ", ".join(f"named_struct('_f', {i}, '_b', {numbers[i]})" for i in features)
+        binned = rows.selectExpr(*kept, f"inline(array({pairs}))")
+    sums = [F.count("_y").alias("bin_num"), F.coalesce(F.sum("_y"), F.lit(0)).alias("bad_num")]
+    if with_pred:
+        sums += [F.sum("_p").alias("_pred_sum"), F.count("_p").alias("_pred_num")]
+    return binned.where("_b IS NOT NULL AND _g IS NOT NULL").groupBy("_g", "_f", "_b").agg(*sums)
+
+
 def rate_columns(counted: DataFrame, keys: list[str], order: str, ascending: bool = True) -> DataFrame:
     """Rates, shares and running rates from ``bin_num`` and ``bad_num`` per bin.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import os
 from collections.abc import Iterator
 from functools import reduce
@@ -9,6 +10,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.crypto import decrypt_columns
 from ..operators.columns import rename_columns, select_columns
@@ -83,25 +85,52 @@ def table_sizes(spark: SparkSession, tables: dict[str, DataFrame] | list[str]) -
 
 
 def load_file(
-    spark: SparkSession, path: str | list[str], format: str | None = None, schema=None, header: bool = True, **options
+    spark: SparkSession,
+    path: str | list[str],
+    format: str | None = None,
+    schema: T.StructType | str | None = None,
+    header: bool | int = True,
+    **options,
 ) -> DataFrame:
     """Read files by suffix: csv, json, parquet, orc or text.
 
     A csv without schema is read twice, once to infer its types; pass a schema
-    for large files.
+    for large files. `header` may be the row of the header, from 0: a row above
+    0 skips the rows before it in every file, and columns are then text unless
+    a schema is given.
     """
     first = path if isinstance(path, str) else path[0]
     suffix = (format or os.path.basename(first.rstrip("/")).rpartition(".")[2]).lower()
     if suffix not in FORMATS:
         raise ValueError(f"format not supported: {suffix!r}")
+    if FORMATS[suffix] == "csv" and not isinstance(header, bool) and header > 0:
+        return _csv_below(spark, path, header, schema, options)
     reader = spark.read.options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     if FORMATS[suffix] == "csv":
-        reader = reader.option("header", header).option("inferSchema", schema is None)
+        reader = reader.option("header", bool(header) or header == 0).option("inferSchema", schema is None)
     return reader.format(FORMATS[suffix]).load(path)
 
 
+def _csv_below(spark, path, header_row, schema, options) -> DataFrame:
+    """Csv rows below the given header row of each file."""
+    # One split per task, so that the position in the task is the line of the file.
+    session = session_with(spark, {"spark.sql.files.openCostInBytes": spark.conf.get("spark.sql.files.maxPartitionBytes")})
+    lines = session.read.text(path).select(
+        "value",
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("line"),
+        (F.col("_metadata.file_block_start") == 0).alias("first_split"),
+    )
+    if schema is None:
+        names = lines.where(F.col("first_split") & (F.col("line") == header_row)).first()["value"]
+        schema = ", ".join(f"`{n.strip()}` string" for n in next(csv.reader([names], delimiter=options.get("sep", ","))))
+    elif isinstance(schema, T.StructType):
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    below = lines.where(~(F.col("first_split") & (F.col("line") <= header_row)))
+    return below.select(F.from_csv("value", schema, options).alias("row")).select("row.*")
+
+
 def load(spark: SparkSession, data, **options) -> DataFrame:
     """A frame from a Spark frame, a pandas frame or series, or files."""
     if isinstance(data, DataFrame):

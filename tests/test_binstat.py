@@ -3,7 +3,10 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import scorelake as sl
+from scorelake.operators import binning, binstat
 from scorelake.operators.binstat import STATS
 
 
@@ -81,6 +84,17 @@ def test_two_features_and_boolean_label(spark):
     assert rows[4:] == single
 
 
+def test_features_in_several_scans(spark, monkeypatch):
+    r = random.Random(9)
+    data = [(r.random(), r.gauss(0, 1), float(r.randrange(5)), r.randrange(3), r.randrange(2)) for _ in range(600)]
+    df = spark.createDataFrame(data, "a double, b double, c double, g int, y int")
+    options = {"bins": 4, "group": (F.col("g"), ["x", "y", "z"], "name")}
+    together = sl.bin_stat(df, ["a", "b", "c"], "y", **options).collect()
+    monkeypatch.setattr(binning, "GROUPS_PER_PASS", 3)
+    monkeypatch.setattr(binstat, "FEATURES_PER_SCAN", 2)
+    assert sl.bin_stat(df, ["a", "b", "c"], "y", **options).collect() == together and len(together) > 30
+
+
 def test_fillna_forms_a_bin(spark):
     df = spark.createDataFrame([(1.0, 1), (None, 1), (9.0, 0)], "x double, y int")
     rows = sl.bin_stat(df, "x", "y", bins=[0, 2], fillna="rest").collect()

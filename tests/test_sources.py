@@ -45,6 +45,17 @@ def test_load_by_suffix(spark, items, tmp_path, format):
     assert sl.load(spark, path).agg(F.sum("id")).first()[0] == 499500
 
 
+def test_csv_with_header_further_down(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("made by x\nid,name\n1,a\n2,b\n")
+    (tmp_path / "b.csv").write_text("made by y\nid,name\n3,\"c,d\"\n")
+    got = sl.load_file(spark, str(tmp_path), "csv", header=1)
+    assert got.dtypes == [("id", "string"), ("name", "string")]
+    assert sorted(map(tuple, got.collect())) == [("1", "a"), ("2", "b"), ("3", "c,d")]
+    typed = sl.load_file(spark, str(tmp_path), "csv", "k int, v string", header=1)
+    assert sorted(r["k"] for r in typed.collect()) == [1, 2, 3]
+    assert sl.load_file(spark, str(tmp_path / "a.csv"), header=0).columns == ["made by x"]
+
+
 def test_load_other_kinds(spark, items, tmp_path):
     (tmp_path / "t.txt").write_text("x\ny\n")
     assert sl.load(spark, str(tmp_path / "t.txt")).count() == 2
