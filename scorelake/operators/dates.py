@@ -92,10 +92,29 @@ def range_number(date_col: str, ranges: list[DateRange]) -> Column:
     return F.expr(f"CASE {' '.join(tests)} END" if tests else "int(NULL)")
 
 
+def range_label(number: Column | str, ranges: list[DateRange]) -> Column:
+    """Label of a range number."""
+    labels = F.array(*[F.lit(r.label) for r in ranges]) if ranges else F.array().cast("array<string>")
+    return F.get(labels, F.col(number) if isinstance(number, str) else number)
+
+
 def with_date_range(df: DataFrame, date_col: str, ranges: list[DateRange], name: str = "date_range") -> DataFrame:
     """Add the label of the range a date lies in; rows outside get null."""
-    labels = F.array(*[F.lit(r.label) for r in ranges]) if ranges else F.array().cast("array<string>")
-    return df.withColumn(name, F.get(labels, range_number(date_col, ranges)))
+    return df.withColumn(name, range_label(range_number(date_col, ranges), ranges))
+
+
+# Reports group by the range number, which shuffles fewer bytes than its label.
+RANGE = "_range"
+
+
+def numbered(df: DataFrame, date_col: str, ranges: list[DateRange]) -> DataFrame:
+    """Rows inside the ranges, with the range number."""
+    return df.withColumn(RANGE, range_number(date_col, ranges)).where(F.col(RANGE).isNotNull())
+
+
+def named(df: DataFrame, ranges: list[DateRange]) -> DataFrame:
+    """The range number replaced by its label."""
+    return df.select(range_label(RANGE, ranges).alias("date_range"), *[c for c in df.columns if c != RANGE])
 
 
 def filter_dates(df: DataFrame, date_col: str, start, end, datetime_format: str = "%Y-%m-%d") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import numeric_label
-from .dates import date_ranges, with_date_range
+from .dates import RANGE, date_ranges, named, numbered
 from .roc import auc
 
 # The statistics of the table, in their order.
@@ -92,12 +92,16 @@ def performance_by_date(
     Returns the table, or ``(table, auc)``. Without date or cutoffs there is one
     table over all rows and no ``date_range`` column.
     """
-    keys: list[str] = []
+    ranges = []
     if date_col is not None and cutoffs:
         ranges = date_ranges(df, date_col, cutoffs, datetime_format, strftime)
-        df = with_date_range(df, date_col, ranges).where("date_range IS NOT NULL")
-        keys = ["date_range"]
-    table = performance_table(df, target, cut, ascending, stat_cols, keys)
+        df = numbered(df, date_col, ranges)
+    keys = [RANGE] if date_col is not None and cutoffs else []
+
+    def finished(result: DataFrame) -> DataFrame:
+        return named(result, ranges) if keys else result
+
+    table = finished(performance_table(df, target, cut, ascending, stat_cols, keys))
     if score is None:
         return table
-    return table, auc(df, target, score, keys=keys)
+    return table, finished(auc(df, target, score, keys=keys))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import binarize
 from ..operators.binstat import COUNTS, bin_stat
 from ..operators.classify import CLASS_STATS, class_columns, target_types
-from ..operators.dates import DateRange, date_ranges, range_number, with_date_range
+from ..operators.dates import RANGE, DateRange, date_ranges, named, numbered
 from ..operators.roc import roc_summary
 
 
@@ -121,9 +121,9 @@ def binary_report_by_date(
     if check_types:
         _check_targets(df, label, score)
     ranges = date_ranges(df, date_col, cutoffs, datetime_format, strftime, date_sep)
-    dated = with_date_range(df, date_col, ranges).where("date_range IS NOT NULL")
-    stats = _model_stats(dated, label, score, pos_label, threshold, weight, precision, ["date_range"])
-    group: tuple[Column, list[str], str] = (range_number(date_col, ranges), [r.label for r in ranges], "date_range")
+    dated = numbered(df, date_col, ranges)
+    stats = named(_model_stats(dated, label, score, pos_label, threshold, weight, precision, [RANGE]), ranges)
+    group: tuple[Column, list[str], str] = (F.col(RANGE), [r.label for r in ranges], "date_range")
     binned = _bin_stats(
         dated, label, score, pos_label, threshold, bin_x, bin_stat_cols, group,
         bins=bins, cut_method=cut_method, ascending=ascending, precision=precision, method=method,
