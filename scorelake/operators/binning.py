@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import clean_number
 from . import cells
-from .quantiles import grouped_quantiles
+from .quantiles import VALUES_PER_GROUP, grouped_quantiles
 
 log = logging.getLogger(__name__)
 
@@ -111,7 +111,7 @@ def bin_edges(
     method: str = "exact",
     group: Column | None = None,
     groups: int = 1,
-    rows_per_cell: int = cells.ROWS_PER_CELL,
+    rows_per_cell: int = VALUES_PER_GROUP,
 ) -> list[list[float]]:
     """Edges for every group and column, in the order ``group * len(columns) + column``.
 
@@ -144,7 +144,7 @@ def bin_edges(
 
 
 def quantile_edges(
-    df: DataFrame, columns: str | list[str], bins: int, method: str = "exact", rows_per_cell: int = cells.ROWS_PER_CELL
+    df: DataFrame, columns: str | list[str], bins: int, method: str = "exact", rows_per_cell: int = VALUES_PER_GROUP
 ) -> dict[str, list[float] | None]:
     """Values at i/bins of every column, minimum and maximum included.
 

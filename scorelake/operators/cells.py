@@ -19,7 +19,7 @@ RANK_MARGIN = 0.004
 SKETCH_GROUPS = 64
 #: Cells per level, and rows a single task is given to sort.
 CELLS_PER_LEVEL = 256
-ROWS_PER_CELL = 2_000_000
+ROWS_PER_CELL = 4_000_000
 #: Up to this many comparisons are compiled; beyond, cells are found by bisection.
 COMPILED_CHECKS = 48
 
@@ -83,21 +83,23 @@ def by_group(group: str | None, choices: list[str]) -> str:
     return f"CASE {group} {' '.join(f'WHEN {i} THEN {c}' for i, c in enumerate(choices))} END"
 
 
-def sketch(df: DataFrame, value: str, keys: list[str], ranks: list[float] | Column) -> list:
+def sketch(df: DataFrame, value: str, keys: list[str], ranks: list[float], only: str = "true") -> list:
     """Rows and approximate quantiles per key, merged as a tree.
 
     One final task never receives more than `SKETCH_GROUPS` sketches per key.
+    `only` is a condition on the rows that are sketched; all rows are counted,
+    and keys without sketched rows have no quantiles.
     """
+    sketched = F.expr(f"CASE WHEN {only} THEN {value} END")
     partial = (
         df.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)))
         .groupBy(*keys, "_part")
-        .agg(F.count(value).alias("n"), F.kll_sketch_agg_double(value, F.lit(SKETCH_K)).alias("sketch"))
+        .agg(F.count(value).alias("n"), F.kll_sketch_agg_double(sketched, F.lit(SKETCH_K)).alias("sketch"))
     )
     merged = partial.groupBy(*keys).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
-    wanted = literal_array(ranks) if isinstance(ranks, list) else ranks
-    return merged.select(
-        *keys, "n", F.kll_sketch_get_quantile_double("sketch", wanted).alias("quantiles")
-    ).collect()
+    quantiles = F.kll_sketch_get_quantile_double("sketch", literal_array(ranks))
+    has_values = F.kll_sketch_get_n_double("sketch") > 0
+    return merged.select(*keys, "n", F.when(has_values, quantiles).alias("quantiles")).collect()
 
 
 def balanced_cuts(df: DataFrame, value: str, rows_per_cell: int = ROWS_PER_CELL) -> list[float]:

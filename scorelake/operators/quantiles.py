@@ -3,13 +3,23 @@
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import cells
 
 RANK_STEPS = 1000  # quantiles read from each sketch
+VALUES_PER_GROUP = 1_000_000  # one task sorts these; more are first narrowed by another scan
+
+
+class Bracket(NamedTuple):
+    """A range of values that should hold a wanted rank; None is no bound."""
+
+    low: float | None
+    high: float | None
+    rows: float  # expected inside
 
 
 def _split_position(rows: int, i: int, parts: int) -> tuple[int, float]:
@@ -24,19 +34,13 @@ def _interpolate(low: float, high: float, share: float) -> float:
     return low + (high - low) * share if share < 0.5 else high - (high - low) * (1 - share)
 
 
-def _ranks(rows: int, positions: range, parts: int) -> set[int]:
-    """Ranks whose values the quantiles at the given positions are made of."""
-    split = [_split_position(rows, i, parts) for i in positions]
-    return {below for below, _ in split} | {below + 1 for below, share in split if share}
-
-
 def grouped_quantiles(
     rows: DataFrame,
     groups: int,
     parts: int,
     method: str = "exact",
     ends: bool = True,
-    rows_per_cell: int = cells.ROWS_PER_CELL,
+    rows_per_cell: int = VALUES_PER_GROUP,
 ) -> list[list[float] | None]:
     """The values at i/parts (i = 0 … parts) for every group, interpolated linearly.
 
@@ -44,10 +48,12 @@ def grouped_quantiles(
     null or NaN. A group without rows yields None. Without `ends` the minimum
     and the maximum are not searched and come out as infinite.
 
-    Exact selection works by narrowing: a sketch brackets each wanted rank, one
-    scan counts the rows between the brackets and groups the values inside them,
-    which are a small share of the table. Brackets that still hold too many rows
-    are narrowed again. The driver sees bracket bounds and the chosen values.
+    Exact selection narrows brackets around the wanted ranks. A scan counts the
+    rows of every bracket and gap, and sketches the values inside brackets, from
+    which tighter brackets follow. When few enough rows are inside, a last scan
+    groups their values and reads the wanted ones off. Sketches only choose
+    where to look; a rank outside its bracket shows in the counts, and the gap
+    that holds it becomes the next bracket. The driver sees bounds and counts.
     """
     if method not in ("exact", "approx"):
         raise ValueError(f"method should be 'exact' or 'approx', got {method!r}")
@@ -60,13 +66,19 @@ def grouped_quantiles(
         return [approximate.get(g) for g in range(groups)]
 
     sizes: dict[int, int] = {}
-    wanted: dict[int, set[int]] = {}  # zero-based ranks to find
+    pending: dict[int, set[int]] = {}  # zero-based ranks to find
     found: dict[int, dict[int, float]] = {g: {} for g in range(groups)}
-    # Open intervals that hold wanted ranks: (group, low, high) -> rows below them.
-    open_cells: dict[tuple, int] = {(g, None, None): 0 for g in range(groups)}
-    while open_cells:
-        brackets = _narrow(rows, groups, open_cells, sizes, wanted, positions, parts)
-        open_cells = _select(rows, groups, brackets, wanted, found, rows_per_cell) if brackets else {}
+    brackets = {g: {Bracket(None, None, math.inf)} for g in range(groups)}
+    while brackets:
+        placement = _Placement(brackets, groups)
+        if max(sum(b.rows for b in mine) for mine in brackets.values()) > rows_per_cell:
+            counted = _count_and_sketch(rows, placement)
+            if not sizes:
+                sizes = {g: sum(n for _, n, _ in counted[g]) for g in counted}
+                pending = {g: _ranks(n, positions, parts) for g, n in sizes.items()}
+            brackets = _tighten(counted, placement, pending, found)
+        else:
+            brackets = _read_values(rows, placement, pending, found)
 
     edges: list[list[float] | None] = []
     for g in range(groups):
@@ -83,93 +95,117 @@ def grouped_quantiles(
     return edges
 
 
-def _inside(open_cells: dict) -> Column:
-    """Number of the open interval a row lies in, null outside."""
-    tests = []
-    for number, (g, low, high) in enumerate(open_cells):
-        above = f" AND v > {cells.sql_double(low)}" if low is not None else ""
-        below = f" AND v < {cells.sql_double(high)}" if high is not None else ""
-        tests.append(f"WHEN g = {g}{above}{below} THEN {number}")
-    return F.expr(f"CASE {' '.join(tests)} END")
+def _ranks(rows: int, positions: range, parts: int) -> set[int]:
+    """Ranks whose values the quantiles at the given positions are made of."""
+    split = [_split_position(rows, i, parts) for i in positions]
+    return {below for below, _ in split} | {below + 1 for below, share in split if share}
+
 
+class _Placement:
+    """Cells between the bounds of all brackets, per group, and SQL text to find them."""
+
+    def __init__(self, brackets: dict[int, set[Bracket]], groups: int):
+        self.cuts: list[list[float]] = []
+        self.inside: list[list[int]] = []  # open cells that lie in a bracket
+        for g in range(groups):
+            mine = brackets.get(g, set())
+            cuts = sorted({v for b in mine for v in (b.low, b.high) if v is not None})
+            ends = [None, *cuts, None]
+            self.cuts.append(cuts)
+            self.inside.append(
+                [2 * i for i in range(len(cuts) + 1) if any(_covers(b, ends[i], ends[i + 1]) for b in mine)]
+            )
+
+    def cell(self) -> str:
+        """Cell of a value ``v`` of a group ``g``."""
+        checks = 2 * sum(map(len, self.cuts))
+        if checks <= cells.COMPILED_CHECKS or len(self.cuts) == 1:
+            return cells.by_group("g", [cells.cell_of("v", cuts) for cuts in self.cuts])
+        mine = f"get(array({', '.join(map(cells.sql_array, self.cuts))}), g)"
+        return cells.cell_in("v", mine, max(map(len, self.cuts)))
+
+    def kept(self) -> str:
+        """Is the cell ``c`` inside a bracket?"""
+        tests = [f"c IN ({', '.join(map(str, k))})" if k else "false" for k in self.inside]
+        return cells.by_group("g", tests)
+
+    def ends(self, g: int, c: int) -> tuple[float | None, float | None]:
+        """Bounds of an open cell."""
+        ends = [None, *self.cuts[g], None]
+        return ends[c // 2], ends[c // 2 + 1]
+
+
+def _covers(b: Bracket, low: float | None, high: float | None) -> bool:
+    return (b.low is None or (low is not None and b.low <= low)) and (
+        b.high is None or (high is not None and high <= b.high)
+    )
 
-def _narrow(rows, groups, open_cells, sizes, wanted, positions, parts) -> dict[int, list[tuple]]:
-    """Sketch the open intervals and bracket every wanted rank.
 
-    Returns, per group, brackets ``(lower, upper, expected rows, interval ends)``.
-    """
-    first = not sizes
-    intervals = list(open_cells)
-    ranks = [i / RANK_STEPS for i in range(RANK_STEPS + 1)]
-    if first:
-        marked = rows.withColumn("_open", F.col("g"))
-    else:
-        marked = rows.withColumn("_open", _inside(open_cells)).where("_open is not null")
-    brackets: dict[int, list[tuple]] = {}
-    for row in cells.sketch(marked, "v", ["_open"], ranks):
-        interval = intervals[row["_open"]]
-        g, n, quantiles, below = interval[0], row["n"], row["quantiles"], open_cells[interval]
-        if first:
-            sizes[g] = n
-            wanted[g] = _ranks(n, positions, parts)
-        for rank in wanted[g]:
-            if below <= rank < below + n:
-                at = (rank - below) / n
-                lower = max(0, math.floor((at - cells.RANK_MARGIN) * RANK_STEPS))
-                upper = min(RANK_STEPS, math.ceil((at + cells.RANK_MARGIN) * RANK_STEPS))
-                share = (upper - lower) / RANK_STEPS
-                bracket = (quantiles[lower], quantiles[upper], share * n, interval[1:])
-                brackets.setdefault(g, []).append(bracket)
+def _count_and_sketch(rows: DataFrame, placement: _Placement) -> dict[int, list[tuple]]:
+    """Per group, ``(cell, rows, quantiles)`` of every cell, quantiles inside brackets only."""
+    steps = [i / RANK_STEPS for i in range(RANK_STEPS + 1)]
+    placed = rows.select("g", "v", F.expr(placement.cell()).alias("c"))
+    counted: dict[int, list[tuple]] = {}
+    for row in cells.sketch(placed, "v", ["g", "c"], steps, placement.kept()):
+        counted.setdefault(row["g"], []).append((row["c"], row["n"], row["quantiles"]))
+    return {g: sorted(mine, key=lambda r: r[0]) for g, mine in counted.items()}
+
+
+def _tighten(counted: dict, placement: _Placement, pending: dict, found: dict) -> dict[int, set[Bracket]]:
+    """Brackets around the ranks that are still open, from exact counts and sketches."""
+    brackets: dict[int, set[Bracket]] = {}
+    for g, mine in counted.items():
+        below = 0
+        for c, n, quantiles in mine:
+            for rank in [r for r in pending[g] if below <= r < below + n]:
+                if c % 2:
+                    found[g][rank] = placement.cuts[g][c // 2]
+                    pending[g].discard(rank)
+                elif quantiles is None:
+                    brackets.setdefault(g, set()).add(Bracket(*placement.ends(g, c), n))
+                else:
+                    at = (rank - below) / n
+                    lower = max(0, math.floor((at - cells.RANK_MARGIN) * RANK_STEPS))
+                    upper = min(RANK_STEPS, math.ceil((at + cells.RANK_MARGIN) * RANK_STEPS))
+                    low, high = quantiles[lower], quantiles[upper]
+                    expected = 0 if low == high else n * (upper - lower) / RANK_STEPS
+                    brackets.setdefault(g, set()).add(Bracket(low, high, expected))
+            below += n
     return brackets
 
 
-def _select(rows, groups, brackets, wanted, found, rows_per_cell) -> dict:
-    """Count all cells and read off the wanted ranks; returns the intervals to narrow further."""
-    bounds, kept, ranks, expected = [], [], [], 0.0
-    for g in range(groups):
-        mine = brackets.get(g, [])
-        cuts = sorted({b for low, high, _, ends in mine for b in (low, high, *ends) if b is not None})
-        bounds.append(cuts)
-        kept.append(
-            [2 * i for i in range(1, len(cuts)) if any(b[0] <= cuts[i - 1] and cuts[i] <= b[1] for b in mine)]
-        )
-        ranks.append(sorted(wanted.get(g, set()) - found[g].keys()))
-        expected += sum(size for low, high, size in {b[:3] for b in mine} if low < high)
-
-    if 2 * sum(map(len, bounds)) <= cells.COMPILED_CHECKS or groups == 1:
-        cell = cells.by_group("g", [cells.cell_of("v", b) for b in bounds])
-    else:
-        cuts = f"get(array({', '.join(map(cells.sql_array, bounds))}), g)"
-        cell = cells.cell_in("v", cuts, max(map(len, bounds)))
-
-    # Values are kept only inside brackets, and only while those are few enough
-    # for one task to sort; all other rows of a cell become one count.
-    value = "double(NULL)"
-    if expected <= rows_per_cell * len(brackets):
-        kept_in = [f"c IN ({', '.join(map(str, k))})" if k else "false" for k in kept]
-        value = f"CASE WHEN {cells.by_group('g', kept_in)} THEN v END"
+def _read_values(rows: DataFrame, placement: _Placement, pending: dict, found: dict) -> dict[int, set[Bracket]]:
+    """Group the values inside brackets and read off the wanted ranks.
+
+    All other rows of a cell become one count, so a group has few enough rows
+    for one task to sort. Returns the gaps that hold a rank, if any.
+    """
     counted = (
-        rows.select("g", "v", F.expr(cell).alias("c"))
-        .groupBy("g", "c", F.expr(value).alias("v"))
+        rows.select("g", "v", F.expr(placement.cell()).alias("c"))
+        .groupBy("g", "c", F.expr(f"CASE WHEN {placement.kept()} THEN v END").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     running = Window.partitionBy("g").orderBy("c", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    targets = [f"array({', '.join(f'{r}L' for r in rank)})" if rank else "array(-1L)" for rank in ranks]
+    wanted = [sorted(pending.get(g, ())) for g in range(len(placement.cuts))]
     hits = (
         counted.withColumn("stop", F.sum("n").over(running))
-        .selectExpr("g", "c", "v", "stop - n AS start", "stop", f"{cells.by_group('g', targets)} AS targets")
-        .selectExpr("*", "filter(targets, r -> r >= start AND r < stop) AS hit")
-        .where("size(hit) > 0")
+        .selectExpr("g", "c", "v", "stop - n AS start", "stop")
+        .where(cells.by_group("g", [_holds_any(ranks) for ranks in wanted]))
     )
-    again: dict[tuple, int] = {}
+    missed: dict[int, set[Bracket]] = {}
     for row in hits.collect():
-        g, c, cuts = row["g"], row["c"], bounds[row["g"]]
-        if c % 2:
-            found[g].update({r: cuts[c // 2] for r in row["hit"]})
-        elif row["v"] is not None:
-            found[g].update({r: row["v"] for r in row["hit"]})
-        else:
-            low = cuts[c // 2 - 1] if c else None
-            high = cuts[c // 2] if c // 2 < len(cuts) else None
-            again[(g, low, high)] = row["start"]
-    return again
+        g, c = row["g"], row["c"]
+        value = placement.cuts[g][c // 2] if c % 2 else row["v"]
+        if value is None:
+            missed.setdefault(g, set()).add(Bracket(*placement.ends(g, c), row["stop"] - row["start"]))
+            continue
+        for rank in wanted[g]:
+            if row["start"] <= rank < row["stop"]:
+                found[g][rank] = value
+                pending[g].discard(rank)
+    return missed
+
+
+def _holds_any(ranks: list[int]) -> str:
+    """SQL text: does the run of rows from start to stop hold one of the ranks?"""
+    return " OR ".join(f"(start <= {r}L AND stop > {r}L)" for r in ranks) or "false"

@@ -73,7 +73,7 @@ SAMPLES = {
 
 
 @pytest.mark.parametrize("sample", SAMPLES)
-@pytest.mark.parametrize("rows_per_cell", [20, 2_000_000])
+@pytest.mark.parametrize("rows_per_cell", [20, 4_000_000])
 def test_exact_quantiles_match_numpy(spark, sample, rows_per_cell):
     values = SAMPLES[sample](random.Random(7))
     df = frame(spark, [*values, None, math.nan]).repartition(4)
@@ -161,3 +161,21 @@ def test_explicit_edges_on_a_stream(spark, tmp_path):
     running.processAllAvailable()
     running.stop()
     assert {r["b"]: r["count"] for r in spark.table("binned").collect()} == {1: 1, 2: 1, None: 1}
+
+
+@pytest.mark.parametrize("rows_per_cell", [20, 4_000_000])
+def test_wrong_sketches_do_not_change_quantiles(spark, monkeypatch, rows_per_cell):
+    """Brackets that miss their rank are noticed and the gap is searched."""
+    right = cells.sketch
+
+    def shifted(df, value, keys, ranks, only="true"):
+        kept = len(ranks) - 30
+        return [
+            {**r.asDict(), "quantiles": r["quantiles"] and r["quantiles"][:30] * 2 + r["quantiles"][: kept - 30]}
+            for r in right(df, value, keys, ranks, only)
+        ]
+
+    monkeypatch.setattr(cells, "sketch", shifted)
+    values = [float(i * 7919 % 5000) for i in range(5000)]
+    got = sl.quantile_edges(frame(spark, values), "x", 5, rows_per_cell=rows_per_cell)["x"]
+    assert got == pytest.approx(np.quantile(values, np.linspace(0, 1, 6)), rel=1e-12)

@@ -53,7 +53,7 @@ def frame(spark, data):
 
 
 @pytest.mark.parametrize("kind", KINDS)
-@pytest.mark.parametrize("rows_per_cell", [15, 2_000_000])
+@pytest.mark.parametrize("rows_per_cell", [15, 4_000_000])
 @pytest.mark.parametrize("drop", [True, False])
 def test_summary_matches_brute_force(spark, kind, rows_per_cell, drop):
     data = sample(kind)
@@ -65,7 +65,7 @@ def test_summary_matches_brute_force(spark, kind, rows_per_cell, drop):
 
 
 @pytest.mark.parametrize("kind", KINDS)
-@pytest.mark.parametrize("rows_per_cell", [15, 2_000_000])
+@pytest.mark.parametrize("rows_per_cell", [15, 4_000_000])
 @pytest.mark.parametrize("drop", [True, False])
 def test_curve_matches_brute_force(spark, kind, rows_per_cell, drop):
     data = sample(kind)
@@ -80,7 +80,7 @@ def test_curve_matches_brute_force(spark, kind, rows_per_cell, drop):
     assert got[-1][1:] == (1, 1)
 
 
-@pytest.mark.parametrize("rows_per_cell", [15, 2_000_000])
+@pytest.mark.parametrize("rows_per_cell", [15, 4_000_000])
 def test_keys_are_separate(spark, rows_per_cell):
     data = {k: sample("distinct", seed) for seed, k in enumerate("abc")}
     rows = [(k, y, s, float(w)) for k, d in data.items() for y, s, w in d]
