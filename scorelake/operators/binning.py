@@ -49,6 +49,17 @@ def bin_sql(x: str, edges: list[float], closed: str = "right") -> str:
     return f"CASE WHEN {x} >= {low} AND {x} <= {high} THEN least(greatest({number}, 1), {last}) END"
 
 
+def bin_sql_of_group(x: str, edges: list[list[float]], closed: str) -> str:
+    """`bin_sql` with the edges of the group ``_g``."""
+    checks = sum(map(len, edges))
+    if checks <= cells.COMPILED_CHECKS or all(e == edges[0] for e in edges):
+        return cells.by_group("_g", [bin_sql(x, e, closed) for e in edges])
+    x, mine = f"double(`{x}`)", cells.array_of_group("_g", edges)
+    inside = f"{x} >= get(cuts, 0) AND {x} <= element_at(cuts, -1)"
+    number = f"CASE WHEN {inside} THEN least(greatest(found, 1), size(cuts) - 1) END"
+    return cells.count_below(x, mine, max(map(len, edges)), inclusive=closed != "right", finish=number)
+
+
 def assign_bin(x: str, edges: list[float], closed: str = "right") -> Column:
     """Bin number of a column from 1, null outside the edges and for null or NaN.
 

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import numeric_label, psi, safe_div
 from . import cells
-from .binning import bin_edges, bin_sql, bin_struct, check_bins, round_edges
+from .binning import bin_edges, bin_sql_of_group, bin_struct, check_bins, round_edges
 
-FEATURES_PER_SCAN = 50
 COUNTS = ["bin_num", "bad_num", "good_num"]
 STATS = [
     *COUNTS,
@@ -49,7 +48,6 @@ def bin_stat(
     precision: int | None = 3,
     fillna: str | None = None,
     method: str = "exact",
-    keys: list[str] | None = None,
     group: tuple[Column, list[str], str] | None = None,
     stat_cols: list[str] | None = None,
 ) -> DataFrame:
@@ -57,8 +55,9 @@ def bin_stat(
 
     Features are binned together: each row becomes one small ``(feature, bin,
     label)`` row per feature, summed before the shuffle, so the shuffle carries
-    at most one row per bin and task. Rows without a bin
-    are left out unless `fillna` names them; they then form bin 0.
+    at most one row per bin and task. A scan takes as many features as compile
+    well, and reads their columns only. Rows without a bin are left out unless
+    `fillna` names them; they then form bin 0.
 
     `group` is used by the reports by date: a group number column, the name of
     each group and the result column; edges are then computed inside every group.
@@ -74,16 +73,20 @@ def bin_stat(
     rows = df.select(
         *[F.col(f"`{c}`") for c in dict.fromkeys(columns)], (F.lit(0) if number is None else number).alias("_g"), *y
     )
-    numbers = []
+    batches: list[list[int]] = [[]]
+    numbers, checks = [], 0
     for i, c in enumerate(columns):
-        b = cells.by_group("_g", [bin_sql(c, edges[g * width + i], closed) for g in range(len(names))])
+        mine = [edges[g * width + i] for g in range(len(names))]
+        b = bin_sql_of_group(c, mine, closed)
         numbers.append(f"coalesce({b}, 0)" if fillna is not None else b)
+        checks += sum(map(len, mine))
+        if batches[-1] and checks > cells.COMPILED_CHECKS:
+            batches.append([])
+            checks = sum(map(len, mine))
+        batches[-1].append(i)
     counted = reduce(
         DataFrame.unionByName,
-        [
-            _count_bins(rows, range(start, min(start + FEATURES_PER_SCAN, width)), numbers, pred is not None)
-            for start in range(0, width, FEATURES_PER_SCAN)
-        ],
+        [_count_bins(rows, {i: numbers[i] for i in batch}, pred is not None) for batch in batches],
     )
     stats = rate_columns(counted, ["_g", "_f"], "_b", ascending)
     if pred is not None:
@@ -105,14 +108,15 @@ def bin_stat(
     )
 
 
-def _count_bins(rows: DataFrame, features: range, numbers: list[str], with_pred: bool) -> DataFrame:
-    """Counts and sums of some features per group and bin, in one scan of their columns."""
+def _count_bins(rows: DataFrame, numbers: dict[int, str], with_pred: bool) -> DataFrame:
+    """Counts and sums of some features per group and bin, in one scan of their columns.
+
+    Bins are made inside `inline`, so that the filter on them does not repeat
+    their expressions.
+    """
     kept = ["_g", "_y", *(["_p"] if with_pred else [])]
-    if len(features) == 1:
-        binned = rows.selectExpr(*kept, f"{features[0]} AS _f", f"{numbers[features[0]]} AS _b")
-    else:
-        pairs = ", ".join(f"named_struct('_f', {i}, '_b', {numbers[i]})" for i in features)
-        binned = rows.selectExpr(*kept, f"inline(array({pairs}))")
+    pairs = ", ".join(f"named_struct('_f', {i}, '_b', {number})" for i, number in numbers.items())
+    binned = rows.selectExpr(*kept, f"inline(array({pairs}))")
     sums = [F.count("_y").alias("bin_num"), F.coalesce(F.sum("_y"), F.lit(0)).alias("bad_num")]
     if with_pred:
         sums += [F.sum("_p").alias("_pred_sum"), F.count("_p").alias("_pred_num")]

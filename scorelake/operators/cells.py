@@ -20,8 +20,9 @@ SKETCH_GROUPS = 64
 #: Cells per level, and rows a single task is given to sort.
 CELLS_PER_LEVEL = 256
 ROWS_PER_CELL = 4_000_000
-#: Up to this many comparisons are compiled; beyond, cells are found by bisection.
-COMPILED_CHECKS = 48
+#: Up to this many comparisons are written out in one expression. Longer code is
+#: refused by the JIT compiler and runs many times slower than bisection.
+COMPILED_CHECKS = 100
 
 
 def sql_double(value: float) -> str:
@@ -43,15 +44,17 @@ def literal_array(values: list, type_name: str = "double") -> Column:
     return F.split(F.lit(",".join(str(v) for v in values)), ",").cast(f"array<{type_name}>")
 
 
-def count_below(value: str, cuts: str, size: int, inclusive: bool = False) -> str:
+def count_below(value: str, cuts: str, size: int, inclusive: bool = False, finish: str = "found") -> str:
     """How many of the sorted cuts are below (or equal to) the value, by bisection, as SQL text.
 
-    Jumps of falling powers of two; a cut past the end is null and ends the jump.
+    Jumps of falling powers of two; a cut past the end is null and ends the
+    jump. `finish` may use ``found`` and ``cuts``, which are evaluated once.
     """
     jumps = ",".join(str(2**k) for k in reversed(range(size.bit_length())))
     test = "<=" if inclusive else "<"
-    step = f"CASE WHEN get({cuts}, found + jump - 1) {test} {value} THEN found + jump ELSE found END"
-    return f"aggregate(array({jumps}), 0, (found, jump) -> {step})"
+    step = f"CASE WHEN get(cuts, found + jump - 1) {test} {value} THEN found + jump ELSE found END"
+    search = f"aggregate(array({jumps}), 0, (found, jump) -> {step}, found -> {finish})"
+    return f"transform(array({cuts}), cuts -> {search})[0]"
 
 
 def cell_of(value: str, cuts: list[float]) -> str:
@@ -72,8 +75,13 @@ def cell_of(value: str, cuts: list[float]) -> str:
 
 def cell_in(value: str, cuts: str, size: int) -> str:
     """`cell_of` for cuts in an array expression of at most the given size."""
-    below = count_below(value, cuts, size)
-    return f"2 * {below} + int(coalesce(array_contains({cuts}, {value}), false))"
+    finish = f"2 * found + int(coalesce(get(cuts, found) = {value}, false))"
+    return count_below(value, cuts, size, finish=finish)
+
+
+def array_of_group(group: str, arrays: list[list[float]]) -> str:
+    """SQL text of the array belonging to a group number."""
+    return f"get(array({', '.join(map(sql_array, arrays))}), {group})"
 
 
 def by_group(group: str | None, choices: list[str]) -> str:

@@ -121,11 +121,12 @@ class _Placement:
         checks = 2 * sum(map(len, self.cuts))
         if checks <= cells.COMPILED_CHECKS or len(self.cuts) == 1:
             return cells.by_group("g", [cells.cell_of("v", cuts) for cuts in self.cuts])
-        mine = f"get(array({', '.join(map(cells.sql_array, self.cuts))}), g)"
-        return cells.cell_in("v", mine, max(map(len, self.cuts)))
+        return cells.cell_in("v", cells.array_of_group("g", self.cuts), max(map(len, self.cuts)))
 
     def kept(self) -> str:
         """Is the cell ``c`` inside a bracket?"""
+        if len(self.inside) > 8:
+            return f"array_contains({cells.array_of_group('g', self.inside)}, double(c))"
         tests = [f"c IN ({', '.join(map(str, k))})" if k else "false" for k in self.inside]
         return cells.by_group("g", tests)
 

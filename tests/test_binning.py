@@ -53,7 +53,7 @@ def test_bisection_agrees_with_compiled_checks(spark, monkeypatch, closed):
         assert got == (k if 0 < k < len(edges) else None)
 
 
-@pytest.mark.parametrize("compiled", [48, 0])
+@pytest.mark.parametrize("compiled", [80, 0])
 def test_cells_put_cut_values_apart(spark, monkeypatch, compiled):
     monkeypatch.setattr(cells, "COMPILED_CHECKS", compiled)
     df = frame(spark, [0.0, 1.0, 1.5, 2.0, 9.0]).selectExpr(f"{cells.cell_of('x', [1.0, 2.0])} AS c")

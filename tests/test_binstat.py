@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import scorelake as sl
-from scorelake.operators import binning, binstat
+from scorelake.operators import binning, cells
 from scorelake.operators.binstat import STATS
 
 
@@ -91,8 +91,9 @@ def test_features_in_several_scans(spark, monkeypatch):
     options = {"bins": 4, "group": (F.col("g"), ["x", "y", "z"], "name")}
     together = sl.bin_stat(df, ["a", "b", "c"], "y", **options).collect()
     monkeypatch.setattr(binning, "GROUPS_PER_PASS", 3)
-    monkeypatch.setattr(binstat, "FEATURES_PER_SCAN", 2)
-    assert sl.bin_stat(df, ["a", "b", "c"], "y", **options).collect() == together and len(together) > 30
+    for checks in (30, 14, 0):  # fewer features per scan, then bisection
+        monkeypatch.setattr(cells, "COMPILED_CHECKS", checks)
+        assert sl.bin_stat(df, ["a", "b", "c"], "y", **options).collect() == together and len(together) > 30
 
 
 def test_fillna_forms_a_bin(spark):
