@@ -99,18 +99,19 @@ def run_sqls(
     A failing statement leaves its exception in its slot. `args` and `conf` are
     shared when a dict, or one per statement when a list. Results are lazy
     frames; `action`, such as a write or a count, is applied inside the thread,
-    which is what makes their jobs overlap. With ``sync=False`` the futures are
+    which is what makes their jobs overlap. With a database or options,
+    statements run in sessions that see tables but no temporary views. With ``sync=False`` the futures are
     returned at once. Each call has its own scheduler pool, so under
     ``spark.scheduler.mode=FAIR`` calls share the cluster evenly.
     """
     statements = split_statements(sqls) if isinstance(sqls, str) else list(sqls)
     pool = f"run_sqls-{uuid4().hex[:8]}"
-    # Binding named parameters and switching databases are session state, so
-    # statements only share the session when no database is asked for.
+
     def run(i: int):
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", pool)
         mine = args[i] if isinstance(args, list) else args
         options = conf[i] if isinstance(conf, list) else conf
+        # The current database belongs to a session, so threads must not share one.
         session = spark.newSession() if database else spark
         result = run_sql(session, statements[i], mine, database, conf=options)
         return action(result) if action else result
