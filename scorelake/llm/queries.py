@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .near_copies import near_copies
 from .packing import pack
 from .patched_ids import token_ids
+from .repetition import quality_report
+from .suffix_dedup import without_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -22,11 +25,26 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query
+def op1_suffix_dedup(spark, sf_dir):
+    return without_repeats(documents(spark, sf_dir)).drop("spans", "kept")
+
+
 @query
 def op3_token_ids(spark, sf_dir):
     return token_ids(documents(spark, sf_dir))
 
 
+@query
+def op5_repetition_rules(spark, sf_dir):
+    return quality_report(documents(spark, sf_dir))
+
+
 @query
 def op7_best_fit_packing(spark, sf_dir):
     return pack(documents(spark, sf_dir))
+
+
+@query
+def op8_near_copies(spark, sf_dir):
+    return near_copies(documents(spark, sf_dir))
