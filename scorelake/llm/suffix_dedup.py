@@ -12,8 +12,9 @@ a shallow depth, then a blind trie for each group with a longer common prefix. A
 window repeats if another stretch of the group shares enough bytes on both sides, which the
 classes of both orders at the two depths tell without comparing pairs.
 
-*Hot groups* with more different stretches than a task should sort are split by the digest of
-each 200-byte suffix, counted with partial sums.
+*Hot groups* with more different stretches than a task should sort are cut into cells of a few
+windows, whose shared bytes are their anchor. Cells that are equal fall together, and what
+differs is sorted as above; groups that are still hot are cut into single windows.
 """
 
 from __future__ import annotations
@@ -22,16 +23,18 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, Prefix, buffers, mix, passes, ship, stored, text_of
+from .common import Prefix, buffers, mix, passes, ship, stored, text_of
 
 WINDOW, CORE = 200, 32
 #: Depth in bytes to which multikey quicksort goes.
 SHALLOW = 64
 #: Different stretches of a group that one task sorts; the rest of the rows are sorted in lots of so many.
 SORTED_TOGETHER, LOT = 2000, 20_000
+#: Windows of a cell of a hot group, and of a cell of a group that is still hot.
+CELLS = (8, 1)
 #: Window starts of a very long text that are handled at once.
 SEGMENT = 1 << 20
 #: Enough for a place in a pass or a segment.
@@ -326,44 +329,87 @@ def sorted_groups(rows: DataFrame, window: int) -> DataFrame:
     return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, SPANS)
 
 
-def split_groups(rows: DataFrame, window: int) -> DataFrame:
-    """Repeated windows of the stretches of hot groups, from the digests of all their windows."""
-    names = ["one", "two", "doc_id", "place", "seen", "number"]
+def cells(rows: DataFrame, step: int, window: int) -> DataFrame:
+    """Rows cut into stretches of ``step`` windows, with the digest of what all windows of one share as their anchor.
+
+    Windows that are equal fall into equal places of cells with an equal anchor, as
+    cells are counted from the old anchor.
+    """
+    names = ["anchor", "stretch", "doc_id", "place", "seen", "bytes"]
 
     def run(batches):
         for batch in batches:
-            data, offsets = buffers(batch.column(3).cast(pa.large_binary()).view(pa.large_string()))
+            data, offsets = buffers(batch.column(4).cast(pa.large_binary()).view(pa.large_string()))
             if not len(data):
                 continue
-            counts = np.diff(offsets) - window + 1
-            row = np.repeat(np.arange(len(counts)), counts)
-            number = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-            begin = offsets[row] + number
-            digests = [pa.array(Prefix(data, base).hash(begin, begin + window).view(np.int64)) for base in (BASE, OTHER_BASE)]
+            first = (batch.column(0).to_numpy().view(np.uint64) & np.uint64(255)).astype(np.int64)
+            many = np.diff(offsets) - window + 1
+            # A window's cell: how many steps the anchor lies behind it.
+            row = np.repeat(np.arange(len(many)), many)
+            number = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+            cell = (first[row] - number) // step
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (cell[1:] != cell[:-1])
+            at = np.flatnonzero(new)
+            size = np.diff(np.append(at, len(row)))
+            row, number, cell = row[at], number[at], cell[at]
+            # The bytes that all windows of the cell share; every one of them holds these, so each row has them.
+            last = first[row] - cell * step
+            begin, end = offsets[row] + number, offsets[row] + number + size + window - 1
+            core = offsets[row] + last, offsets[row] + last - step + 1 + window
+            anchor = Prefix(data).hash(*core)
+            whole = Prefix(data, OTHER_BASE).hash(begin, end)
+            raw = data.tobytes()
+            stretch = (whole >> np.uint64(16) << np.uint64(16)) | (size.astype(np.uint64) << np.uint64(8)) | (last - number).astype(np.uint64)
+            parts = pa.array([raw[x:y] for x, y in zip(begin.tolist(), end.tolist())], pa.binary())
             at = pa.array(row)
-            columns = [*digests, batch.column(0).take(at), batch.column(1).take(at), batch.column(2).take(at), pa.array(number, pa.int32())]
+            columns = [pa.array(anchor.view(np.int64)), pa.array(stretch.view(np.int64)), batch.column(1).take(at), pa.array(batch.column(2).to_numpy()[row] + number), batch.column(3).take(at), parts]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    windows = rows.select("doc_id", "place", "seen", "bytes").mapInArrow(run, "one long, two long, doc_id long, place long, seen long, number int")
-    twice = windows.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two")
-    return windows.where("seen = 1").join(twice, ["one", "two"]).select("doc_id", "place", F.col("number").alias("windows_from"), F.col("number").alias("windows_to"))
+    return rows.select("stretch", "doc_id", "place", "seen", "bytes").mapInArrow(run, "anchor long, stretch long, doc_id long, place long, seen long, bytes binary")
+
+
+def last_window() -> Column:
+    return F.shiftright("stretch", 8).bitwiseAND(255).cast("int") - 1
+
+
+def resolved(rows: DataFrame, window: int, together: int, steps: tuple[int, ...]) -> DataFrame:
+    """Spans of repeated windows of ``rows``: different stretches of anchors with several, with their bytes.
+
+    Groups beyond ``together`` are cut into cells of ``steps[0]`` windows and what is
+    left of those likewise; a cell of one window is a group of one kind.
+    """
+    rows = rows.select("anchor", "stretch", "doc_id", "place", "seen", "bytes", "kinds")
+    spans = sorted_groups(rows.where(F.col("kinds") <= together), window)
+    hot = rows.where(F.col("kinds") > together)
+    if not steps or hot.isEmpty():
+        return spans
+    cut = stored(cells(hot, steps[0], window), "cells")
+    same = ["anchor", "stretch"]
+    kinds = cut.groupBy(*same).agg(F.sum("seen").alias("seen"), F.first(F.struct("doc_id", "place", "bytes")).alias("one"))
+    kinds = stored(kinds.select(*same, "seen", "one.*"), "cell-kinds")
+    several = stored(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"), "cell-groups")
+    whole = cut.where("seen = 1").join(kinds.where("seen > 1").select(*same), same)
+    whole = whole.select("doc_id", "place", F.lit(0).alias("windows_from"), last_window().alias("windows_to"))
+    return spans.union(whole).union(resolved(kinds.join(several, "anchor"), window, together, steps[1:]))
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, core: int = CORE, together: int = SORTED_TOGETHER) -> DataFrame:
     """(doc_id, mark, spans) of documents with repeats: byte ranges, which may overlap."""
+    same = ["anchor", "stretch"]
     found = anchored(docs, window, core)
-    twice = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # Counts are written tables, so that joins with them can be split where an anchor is frequent.
+    twice = stored(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "frequent")
     again = stored(found.join(twice, "anchor"), "anchors")
-    kinds = again.groupBy("anchor", "stretch").agg(F.count("*").alias("seen"), F.first(F.struct("doc_id", "place")).alias("one"))
-    kinds = stored(kinds.select("anchor", "stretch", "seen", "one.doc_id", "one.place"), "stretches")
-    whole = again.join(kinds.where("seen > 1").select("anchor", "stretch"), ["anchor", "stretch"])
-    last = F.shiftright("stretch", 8).bitwiseAND(255).cast("int") - 1
-    whole = whole.select("doc_id", "place", F.lit(0).alias("windows_from"), last.alias("windows_to"))
-    different = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    kinds = again.groupBy(*same).agg(F.count("*").alias("seen"), F.first(F.struct("doc_id", "place")).alias("one"))
+    kinds = stored(kinds.select(*same, "seen", "one.doc_id", "one.place"), "stretches")
+    whole = again.join(kinds.where("seen > 1").select(*same), same)
+    whole = whole.select("doc_id", "place", F.lit(0).alias("windows_from"), last_window().alias("windows_to"))
+    different = stored(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"), "groups")
     held = bytes_of(kinds.join(different, "anchor"), docs, window)
     # Rows of one id and text fetch the same bytes; one is enough.
-    held = stored(held.dropDuplicates(["anchor", "stretch"]), "bytes")
-    spans = whole.union(sorted_groups(held.where(F.col("kinds") <= together), window)).union(split_groups(held.where(F.col("kinds") > together), window))
+    held = stored(held.dropDuplicates(same), "bytes")
+    spans = whole.union(resolved(held, window, together, CELLS))
     begin = F.col("place").bitwiseAND(0xFFFFFFFF)
     return (
         spans.select("doc_id", F.shiftright("place", 32).cast("int").alias("mark"), (begin + F.col("windows_from")).alias("a"), (begin + F.col("windows_to") + window).alias("b"))

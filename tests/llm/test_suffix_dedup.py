@@ -105,8 +105,19 @@ def test_against_brute_force(spark):
     compare(spark, passages(1, 60))
 
 
-def test_hot_groups_are_split(spark):
-    compare(spark, passages(2, 80), together=2)
+@pytest.mark.parametrize("together", [1, 2, 5])
+def test_hot_groups_are_split(spark, together):
+    compare(spark, passages(2, 80), together=together)
+
+
+def test_cells_sort_what_differs(spark):
+    rng = random.Random(9)
+    stem = "".join(rng.choice("abc") for _ in range(420))
+    texts = []
+    for _ in range(40):
+        a = rng.randrange(150, 260)
+        texts.append(stem[:a] + rng.choice("xyz") + stem[a + 1 :])
+    compare(spark, texts, together=3)
 
 
 def test_repeated_ids_and_rows(spark):
