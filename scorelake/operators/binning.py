@@ -23,7 +23,7 @@ BRACKETS = {"right": ("(", "]"), "left": ("[", ")"), "both": ("[", "]"), "neithe
 def check_bins(bins, cut_method: str, closed: str) -> list[float] | None:
     """Validate the binning options; explicit edges come back sorted and unique."""
     if cut_method not in CUT_METHODS:
-        raise ValueError(f"cut method should be either 'quantile' or 'percentile', got {cut_method!r}")
+        raise ValueError(f"unknown cut method {cut_method!r}: use one of {', '.join(CUT_METHODS)}")
     if closed not in BRACKETS:
         raise ValueError(f"closed should be one of {', '.join(BRACKETS)}, got {closed!r}")
     if isinstance(bins, Iterable) and not isinstance(bins, str):
@@ -32,7 +32,7 @@ def check_bins(bins, cut_method: str, closed: str) -> list[float] | None:
             raise ValueError("explicit bins need at least two different edges")
         return edges
     if isinstance(bins, bool) or not isinstance(bins, int) or bins < 2:
-        raise ValueError("bins should be edges or an integer no less than 2")
+        raise ValueError(f"give edges or a whole number of at least two bins, not {bins!r}")
     return None
 
 
@@ -147,7 +147,7 @@ def bin_edges(
         raw = [None] * total
         for g, low, high in rows.groupBy("g").agg(F.min("v"), F.max("v")).collect():
             if math.isinf(low) or math.isinf(high):
-                raise ValueError("cannot specify integer `bins` when x contains infinity")
+                raise ValueError("equal widths need finite values: give the edges of a column with infinite ones")
             step = (high - low) / bins
             raw[g] = [low + step * i for i in range(bins + 1)]
     inner = [sorted(set(edges[1:-1])) if edges else [] for edges in raw]

@@ -8,10 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import numeric_label, psi, safe_div
+from ..sources.scratch import settled
 from . import cells
 from .binning import bin_edges, bin_sql_of_group, bin_struct, check_bins, round_edges
 
+GROUP = "_group_number"
 COUNTS = ["bin_num", "bad_num", "good_num"]
+# The statistics of a bin, in their order.
 STATS = [
     *COUNTS,
     "bin_rate", "bad_rate", "good_rate", "odds",
@@ -65,6 +68,12 @@ def bin_stat(
     columns = [x] if isinstance(x, str) else list(x)
     explicit = check_bins(bins, cut_method, closed)
     number, names, group_name = group or (None, [None], None)
+    # Several scans read these columns; a join or a grouping behind them is run once.
+    needed = [F.col(f"`{c}`") for c in dict.fromkeys([*columns, label, *([pred] if pred is not None else [])])]
+    if number is not None:
+        needed.append(number.alias(GROUP))
+        number = F.col(GROUP)
+    df = settled(df.select(*needed))
     edges = bin_edges(df, columns, bins, cut_method, closed, method, number, len(names))
     width = len(columns)
 

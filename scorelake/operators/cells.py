@@ -9,14 +9,20 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from ..functions.conf import with_conf
+
 SKETCH_K = 2048
 #: More than the rank error of a KLL sketch of that size, as a share of the rows.
 RANK_MARGIN = 0.004
 #: Sketches are merged in this many groups before the last merge.
 SKETCH_GROUPS = 64
+#: Sketches that a task holds at once before it sorts its rows by key instead.
+SKETCHES_PER_TASK = 8192
+#: Rows looked at to choose a cut between cells of rows.
+SAMPLES_PER_CELL = 32
 #: Cells per level, and rows a single task is given to sort.
 CELLS_PER_LEVEL = 256
 ROWS_PER_CELL = 4_000_000
@@ -91,6 +97,41 @@ def by_group(group: str | None, choices: list[str]) -> str:
     return f"CASE {group} {' '.join(f'WHEN {i} THEN {c}' for i, c in enumerate(choices))} END"
 
 
+def sampled_cuts(distinct: DataFrame, columns: list[str], rows_per_cell: int = ROWS_PER_CELL) -> list[Row]:
+    """Rows of the given columns that split a table of distinct ones in cells, in order; none if one task can sort them all.
+
+    They are chosen from a sample of fixed size per cell, of those with the least
+    digests, so the same rows always give the same cuts. Values of any ordered type will do.
+    """
+    every = [F.col(f"`{c}`") for c in columns]
+    rows = distinct.select(*every)
+    size = rows.agg(F.approx_count_distinct(F.xxhash64(*every))).first()[0]
+    cells = math.ceil(size * 1.1 / rows_per_cell)
+    if cells <= 1:
+        return []
+    sample = rows.orderBy(F.xxhash64(F.lit(1), *every)).limit(cells * SAMPLES_PER_CELL)
+    ordered = sample.orderBy(*[c.asc_nulls_first() for c in every]).collect()
+    step = len(ordered) / cells
+    return [ordered[int(i * step)] for i in range(1, cells)]
+
+
+def cell_of_row(df: DataFrame, columns: list[str], cuts: list[Row]) -> Column:
+    """How many of the cuts lie below or at a row, by bisection; nulls come first."""
+    if not cuts:
+        return F.lit(0)
+    types = [df.schema[c].dataType for c in columns]
+    value = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+    literal = F.array(*[F.struct(*[F.lit(v).cast(t).alias(f"c{i}") for i, (v, t) in enumerate(zip(cut, types))]) for cut in cuts])
+    jumps = F.array(*[F.lit(2**k) for k in reversed(range(len(cuts).bit_length()))])
+    return F.aggregate(
+        jumps,
+        F.lit(0),
+        lambda found, jump: F.when(
+            (found + jump <= len(cuts)) & (F.get(literal, found + jump - 1) <= value), found + jump
+        ).otherwise(found),
+    )
+
+
 def sketch(df: DataFrame, value: str, keys: list[str], ranks: list[float], only: str = "true") -> list:
     """Rows and approximate quantiles per key, merged as a tree.
 
@@ -107,7 +148,10 @@ def sketch(df: DataFrame, value: str, keys: list[str], ranks: list[float], only:
     merged = partial.groupBy(*keys).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
     quantiles = F.kll_sketch_get_quantile_double("sketch", literal_array(ranks))
     has_values = F.kll_sketch_get_n_double("sketch") > 0
-    return merged.select(*keys, "n", F.when(has_values, quantiles).alias("quantiles")).collect()
+    result = merged.select(*keys, "n", F.when(has_values, quantiles).alias("quantiles"))
+    # Sketches of more keys than usual are kept side by side: the other way would be to sort all rows.
+    with with_conf(df.sparkSession, {"spark.sql.objectHashAggregate.sortBased.fallbackThreshold": str(SKETCHES_PER_TASK)}):
+        return result.collect()
 
 
 def balanced_cuts(df: DataFrame, value: str, rows_per_cell: int = ROWS_PER_CELL) -> list[float]:

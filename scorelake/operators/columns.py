@@ -72,9 +72,22 @@ def usage_report(
 
 
 def stitch_columns(frames: list[DataFrame], key: str | list[str]) -> DataFrame:
-    """Put column slices of the same rows side by side, matched on a row key."""
+    """Put column slices of the same rows side by side, matched on a row key.
+
+    Every row of every slice stays: a null key matches a null key, and a slice
+    without the row leaves its columns null. Keys should be unique in each slice.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    return reduce(lambda a, b: a.join(b, keys, "inner"), frames)
+
+    def side_by_side(a: DataFrame, b: DataFrame) -> DataFrame:
+        names = [f"_key{i}" for i in range(len(keys))]
+        b = b.withColumnsRenamed(dict(zip(keys, names)))
+        same = reduce(lambda x, y: x & y, [F.col(f"`{k}`").eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+        rest = [c for c in (*a.columns, *b.columns) if c not in keys and c not in names]
+        merged = [F.coalesce(F.col(f"`{k}`"), F.col(n)).alias(k) for k, n in zip(keys, names)]
+        return a.join(b, same, "full").select(*merged, *[F.col(f"`{c}`") for c in rest])
+
+    return reduce(side_by_side, frames)
 
 
 def stack(frames: list[DataFrame]) -> DataFrame:
@@ -97,8 +110,8 @@ def first_per_key(df: DataFrame, keys: list[str], order_by: list[str], descendin
         row = pick_by(F.struct(*[F.col(f"`{c}`") for c in rest]), ordered)
     else:
         row = pick(ordered)
-    picked = df.groupBy(*keys).agg(row.alias("_row"))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"_row.`{c}`") for c in df.columns])
+    picked = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(row.alias("_row"))
+    return picked.select(*[F.col(f"`{c}`") if c in keys else F.col(f"_row.`{c}`") for c in df.columns])
 
 
 def _has_map(data_type: T.DataType) -> bool:

@@ -16,26 +16,34 @@ FIRST_START = rf"\n(?=#*{MARK})"
 def assemble_documents(
     df: DataFrame, doc: str, index: str, text: str, sep: str = "\n", part_size: int | None = 10_000
 ) -> DataFrame:
-    """Join the paragraphs of each document in order: ``(doc, part, paragraphs, script)``.
+    """Join the paragraphs of each document in order: ``(doc, paragraphs, script)``.
 
     A line ``%name`` becomes ``#%name``. Text is rewritten before the shuffle.
-    Documents are put together in parts of `part_size` index values, so that a
-    document of any length is spread over tasks and rows; the parts in order,
-    joined by `sep`, are the document. ``part_size=None`` makes one part each.
+    Paragraphs are first put in order and joined in parts of `part_size` index
+    values, by as many tasks as a long document has parts; the parts are then
+    joined to the script, one row per document for any `part_size`.
+    Null texts are left out of the script, but counted.
     """
     part = F.lit(0).cast("bigint") if part_size is None else F.floor(F.col(index) / F.lit(part_size)).cast("bigint")
     marked = F.regexp_replace(F.col(text), rf"\s*({MARK})", "#$1")
     paragraphs = F.array_sort(F.collect_list(F.struct(F.col(index).alias("i"), marked.alias("t"))))
-    return (
-        df.groupBy(F.col(doc), part.alias("part"))
+    parts = (
+        df.groupBy(F.col(doc).alias("d"), part.alias("part"))
         .agg(paragraphs.alias("p"))
         .select(
-            doc,
+            "d",
             "part",
-            F.size("p").cast("bigint").alias("paragraphs"),
-            F.concat_ws(sep, F.col("p.t")).alias("script"),
+            F.size("p").cast("bigint").alias("n"),
+            # A part of null texts only adds nothing, not even a separator.
+            F.when(F.exists("p.t", lambda t: t.isNotNull()), F.concat_ws(sep, F.col("p.t"))).alias("t"),
         )
     )
+    scripts = F.array_sort(F.collect_list(F.struct("part", "t")))
+    return (
+        parts.groupBy("d")
+        .agg(F.sum("n").alias("paragraphs"), scripts.alias("s"))
+        .select(F.col("d").alias(doc), "paragraphs", F.concat_ws(sep, F.col("s.t")).alias("script"))
+    )
 
 
 def split_documents(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import numeric_label
+from .cells import ROWS_PER_CELL, cell_of_row, sampled_cuts
 from .dates import RANGE, date_ranges, named, numbered
+from .prefix import prefix_sums
 from .roc import auc
 
 # The statistics of the table, in their order.
@@ -24,11 +26,11 @@ def performance_table(
     ascending: bool = True,
     stat_cols: list[str] | None = None,
     keys: list[str] | None = None,
+    rows_per_cell: int = ROWS_PER_CELL,
 ) -> DataFrame:
     """Fifteen statistics per score cut, every step rounded half to even.
 
-    `cut` is a column of bins: after the group-by the windows hold one row per
-    bin. Odds and running rates are made from rounded values, and KS compares
+    `cut` may be a column of bins or of any ordered values. Odds and running rates are made from rounded values, and KS compares
     the running bad rate with the running share of goods; both are part of the
     definition of this table.
     """
@@ -41,37 +43,40 @@ def performance_table(
         .agg(F.count("_y").alias("TOTAL"), F.coalesce(F.sum("_y"), F.lit(0)).alias("BAD_NUM"))
         .withColumn("GOOD_NUM", F.expr("TOTAL - BAD_NUM"))
     )
-    whole = Window.partitionBy(*(keys or [F.lit(0)]))
-    order = F.col("SCORE_CUT").asc() if ascending else F.col("SCORE_CUT").desc()
-    running = whole.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    to_end = whole.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    summed = counted.select(
-        "*",
-        *[F.sum(c).over(running).alias(f"_cum_{c}") for c in ("TOTAL", "BAD_NUM")],
-        *[F.sum(c).over(whole).alias(f"_all_{c}") for c in ("TOTAL", "BAD_NUM", "GOOD_NUM")],
-    )
+    # Cells by value: any number of cuts is summed by many tasks, a few by one.
+    cuts = sampled_cuts(counted.select("SCORE_CUT").distinct(), ["SCORE_CUT"], rows_per_cell)
+    number = cell_of_row(counted, ["SCORE_CUT"], cuts)
+    cell = None
+    if cuts:
+        cell = number if ascending else F.lit(len(cuts)) - number
+    down = not ascending
+    summed = prefix_sums(counted, "SCORE_CUT", ["TOTAL", "BAD_NUM", "GOOD_NUM"], keys, down, cell=cell)
     rates = summed.selectExpr(
-        "*",
+        *keys, "SCORE_CUT", "TOTAL", "BAD_NUM", "GOOD_NUM",
         "bround(try_divide(BAD_NUM, TOTAL), 4) AS BAD_RATE",
         "bround(try_divide(GOOD_NUM, TOTAL), 4) AS GOOD_RATE",
-        "bround(try_divide(TOTAL, _all_TOTAL), 4) AS POP",
-        "bround(try_divide(_cum_BAD_NUM, _cum_TOTAL), 4) AS CUM_POP_BAD_RATE",
-        "bround(try_divide(BAD_NUM, _all_BAD_NUM), 4) AS GLOBAL_BAD_RATE",
-        "bround(try_divide(GOOD_NUM, _all_GOOD_NUM), 4) AS GLOBAL_GOOD_RATE",
-    )
-    cumulated = rates.select(
+        "bround(try_divide(TOTAL, total_TOTAL), 4) AS POP",
+        "bround(try_divide(cum_BAD_NUM, cum_TOTAL), 4) AS CUM_POP_BAD_RATE",
+        "bround(try_divide(BAD_NUM, total_BAD_NUM), 4) AS GLOBAL_BAD_RATE",
+        "bround(try_divide(GOOD_NUM, total_GOOD_NUM), 4) AS GLOBAL_GOOD_RATE",
+        # The running rate at the last cut is the rate of all.
+        "bround(try_divide(total_BAD_NUM, total_TOTAL), 4) AS _last_pop",
+    )
+    shares = prefix_sums(rates, "SCORE_CUT", ["GLOBAL_BAD_RATE", "GLOBAL_GOOD_RATE"], keys, down, cell=cell)
+    cumulated = shares.select(
         "*",
-        F.bround(F.sum("GLOBAL_BAD_RATE").over(running), 4).alias("CUM_GLOBAL_BAD_RATE"),
-        F.bround(F.sum("GLOBAL_GOOD_RATE").over(running), 4).alias("CUM_GLOBAL_GOOD_RATE"),
-        F.last("CUM_POP_BAD_RATE").over(to_end).alias("_last_pop"),
-    )
+        F.expr("bround(cum_GLOBAL_BAD_RATE, 4) AS CUM_GLOBAL_BAD"),
+        F.expr("bround(cum_GLOBAL_GOOD_RATE, 4) AS CUM_GLOBAL_GOOD"),
+        F.expr("bround(total_GLOBAL_BAD_RATE, 4) AS TOTAL_BAD_RATE"),
+    ).drop("cum_GLOBAL_BAD_RATE", "cum_GLOBAL_GOOD_RATE")
+    cumulated = cumulated.withColumnsRenamed({"CUM_GLOBAL_BAD": "CUM_GLOBAL_BAD_RATE", "CUM_GLOBAL_GOOD": "CUM_GLOBAL_GOOD_RATE"})
     table = cumulated.select(
         "*",
         F.expr("bround(try_divide(1D - BAD_RATE, BAD_RATE), 3) AS ODDS"),
-        F.last("CUM_GLOBAL_BAD_RATE").over(to_end).alias("TOTAL_BAD_RATE"),
         F.expr("bround(abs(CUM_POP_BAD_RATE - CUM_GLOBAL_GOOD_RATE), 4) AS KS"),
         F.expr("bround(abs(try_divide(CUM_POP_BAD_RATE, _last_pop)), 4) AS LIFT"),
     )
+    order = F.col("SCORE_CUT").asc() if ascending else F.col("SCORE_CUT").desc()
     return table.orderBy(*keys, order).select(*keys, "SCORE_CUT", *(stat_cols or PERFORMANCE_COLUMNS))
 
 

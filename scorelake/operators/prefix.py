@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.scratch import ensure_checkpoint_dir
-from .cells import cell_of, literal_array
+from .cells import ROWS_PER_CELL, cell_of, cell_of_row, literal_array, sampled_cuts
+
+#: Numbers of copies that one row is turned into at a time.
+COPIES_PER_BLOCK = 100_000
 
 
 def prefix_sums(
@@ -19,18 +21,22 @@ def prefix_sums(
     descending: bool = False,
     cuts: list[float] | None = None,
     lead: bool = False,
+    cell: Column | None = None,
 ) -> DataFrame:
     """Add ``cum_<v>`` and ``total_<v>`` per key, in the order of a column.
 
     `points` holds at most one row per key and order value (group first). With
     `cuts`, rows are put in cells by value, each cell is summed by its own task
     and the totals of the cells before it are added: a two-level prefix sum.
+    `cell` may give the cells themselves, as numbers that rise along the order.
     With `lead`, ``next_<v>`` holds the value of the following row. The cell
     stays in the result as ``_cell``.
     """
     keys = list(keys or [])
     direction = F.desc if descending else F.asc
-    if cuts:
+    if cell is not None:
+        points = points.withColumn("_cell", cell)
+    elif cuts:
         number = F.expr(cell_of(order, cuts))
         points = points.withColumn("_cell", (F.lit(2 * len(cuts)) - number) if descending else number)
     else:
@@ -42,7 +48,7 @@ def prefix_sums(
         *[F.sum(v).over(running).alias(f"cum_{v}") for v in values],
         *([F.lead(v).over(inside).alias(f"next_{v}") for v in values] if lead else []),
     )
-    if not cuts:
+    if not cuts and cell is None:
         whole = Window.partitionBy(*keys, "_cell")
         return summed.select("*", *[F.sum(v).over(whole).alias(f"total_{v}") for v in values])
 
@@ -63,7 +69,12 @@ def prefix_sums(
         *[F.sum(f"sum_{v}").over(whole).alias(f"total_{v}") for v in values],
         *([F.lead("first").over(following).alias("_first")] if lead else []),
     )
-    joined = summed.join(offsets, [*keys, "_cell"])
+    # Keys may be null, and a null key is a group like any other.
+    renamed = offsets.withColumnsRenamed({k: f"_key{i}" for i, k in enumerate(keys)} | {"_cell": "_cell_of"})
+    same = summed["_cell"] == renamed["_cell_of"]
+    for i, k in enumerate(keys):
+        same = same & summed[k].eqNullSafe(renamed[f"_key{i}"])
+    joined = summed.join(renamed, same).drop("_cell_of", *[f"_key{i}" for i in range(len(keys))])
     joined = joined.withColumns({f"cum_{v}": F.col(f"cum_{v}") + F.col(f"_before_{v}") for v in values})
     if lead:
         joined = joined.withColumns(
@@ -72,39 +83,65 @@ def prefix_sums(
     return joined.drop("_first", *[f"_before_{v}" for v in values])
 
 
-def row_numbers(df: DataFrame, order_by: list[str], name: str = "row_number") -> DataFrame:
+def row_numbers(
+    df: DataFrame, order_by: list[str], name: str = "row_number", rows_per_cell: int = ROWS_PER_CELL
+) -> DataFrame:
     """Number all rows from 1 by a given order, with every task sorting its own range.
 
-    Equal keys are split by a hash of the whole row and then by position, so
-    neither a hot key nor a group of copies lands in one task. The sorted rows
-    are checkpointed, because positions and counts must come from the same
-    partitions even when an executor is lost.
+    Rows that are equal in all columns are first counted as one, and equal keys are
+    split by a hash of the whole row, so neither a hot key nor a group of copies
+    lands in one task. Cuts by value put rows in cells; a cell's first number
+    comes from the exact counts of the cells before it. All of it depends on values
+    only, so a task that is run again gives the same numbers, and no row is stored.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    hashable = [c for c, t in df.dtypes if "map<" not in t and "variant" not in t]
-    keyed = df.withColumn("_hash", F.xxhash64(*[F.col(f"`{c}`") for c in hashable]))
-    # The local sort makes positions, and so the ranges, the same when a task is run again.
-    placed = keyed.sortWithinPartitions(*order_by, "_hash").withColumn("_position", F.monotonically_increasing_id())
-    ranked = (
-        placed.repartitionByRange(*order_by, "_hash", "_position")
-        .sortWithinPartitions(*order_by, "_hash", "_position")
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_index", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-        .checkpoint()
-    )
-    # One number per partition, so its size is the partition count, not the data.
-    counts = dict(ranked.groupBy("_part").count().collect())
-    before = [0, *itertools.accumulate(counts.get(p, 0) for p in range(max(counts, default=0)))]
-    offset = F.get(literal_array(before, "bigint"), F.col("_part"))
-    return ranked.select(*[F.col(f"`{c}`") for c in df.columns], (offset + F.col("_index") + 1).alias(name))
+    names = df.columns
+    copies, digest, cell = (_free(n, names) for n in ("copies", "digest", "cell"))
+    every = [F.col(f"`{c}`") for c in names]
+    plain = not any("map<" in t or "variant" in t for _, t in df.dtypes)
+    hashable = [F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t and "variant" not in t]
+    # Rows that hold maps can't be counted as one.
+    rows = df.groupBy(*every).agg(F.count(F.lit(1)).alias(copies)) if plain else df.withColumn(copies, F.lit(1).cast("bigint"))
+    rows = rows.withColumn(digest, F.xxhash64(*hashable))
+    place = [*dict.fromkeys(order_by), digest]
+    distinct = df.withColumn(digest, F.xxhash64(*hashable)).select(*[F.col(f"`{c}`") for c in place]).distinct()
+    cuts = sampled_cuts(distinct, place, rows_per_cell)
+    rows = rows.withColumn(cell, cell_of_row(rows, place, cuts))
+    # One number per cell, so its size does not grow with the rows of a cell.
+    counts = {}
+    if cuts:
+        found = df.withColumn(digest, F.xxhash64(*hashable))
+        found = found.groupBy(cell_of_row(found, place, cuts).alias(cell)).agg(F.count(F.lit(1)).alias("n"))
+        counts = {r[0]: r[1] for r in found.collect()}
+    before = [0, *itertools.accumulate(counts.get(c, 0) for c in range(len(cuts)))]
+    order = Window.partitionBy(cell).orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in place])
+    last = F.sum(copies).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    offset = F.get(literal_array(before, "bigint"), F.col(cell))
+    last_name = _free("last", names)
+    numbered = rows.select(*every, copies, (last + offset).alias(last_name))
+    if not plain:
+        return numbered.select(*every, F.col(last_name).alias(name))
+    # Many copies are dealt out in blocks, and then one by one.
+    block = _free("block", names)
+    first = F.col(last_name) - F.col(copies) + 1
+    blocks = numbered.select(*every, last_name, F.explode(F.sequence(first, F.col(last_name), F.lit(COPIES_PER_BLOCK))).alias(block))
+    end = F.least(F.col(last_name), F.col(block) + F.lit(COPIES_PER_BLOCK - 1))
+    return blocks.select(*every, F.explode(F.sequence(F.col(block), end)).alias(name))
+
+
+def _free(name: str, taken: list[str]) -> str:
+    """A column name that clashes with none."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = f"_{name}"
+    return name
 
 
 def chunk_ids(df: DataFrame, order_by: list[str], n: int, name: str = "chunk") -> DataFrame:
     """Cut rows in chunks of `n` by a given order, numbered from 0."""
     if n < 1:
         raise ValueError("chunk size must be positive")
-    numbered = row_numbers(df, order_by, "_row_number")
+    number = _free("row_number", df.columns)
+    numbered = row_numbers(df, order_by, number)
     return numbered.select(
         *[F.col(f"`{c}`") for c in df.columns],
-        F.floor((F.col("_row_number") - 1) / F.lit(n)).cast("bigint").alias(name),
+        F.floor((F.col(number) - 1) / F.lit(n)).cast("bigint").alias(name),
     )

@@ -14,8 +14,6 @@ TYPE_WIDTHS = {
     "date": 4, "timestamp": 8, "timestamp_ntz": 8,
 }
 
-LONG_TEXT = 64  # bytes
-
 
 def _quoted(name: str) -> Column:
     return F.col(f"`{name}`")
@@ -48,9 +46,7 @@ def _value_rows(df: DataFrame, columns: list[str], measured: bool = False) -> Da
         elif isinstance(data_type, (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
             value = F.when(c.isNotNull(), F.to_json(F.struct(c)))
         if slot == "s":
-            # Long text travels as its digest, which no shorter text can equal.
-            digest = F.concat(F.lit("#"), F.sha2(value, 256))
-            value = F.when(F.octet_length(value) > LONG_TEXT, digest).otherwise(value)
+            value = F.sha2(value, 256)  # text travels as its digest
         slots = {"l": "bigint", "d": "double", "s": "string"}
         fields = [value.alias(k) if k == slot else F.lit(None).cast(t).alias(k) for k, t in slots.items()]
         if measured:
@@ -87,8 +83,14 @@ def nunique(df: DataFrame, columns: list[str] | None = None, axis: int = 0, appr
     """
     columns = columns or df.columns
     if axis == 1:
-        cells = F.array(*[_quoted(c).cast("double") for c in columns])
-        present = F.filter(cells, lambda v: v.isNotNull() & ~F.isnan(v))
+        # The array brings its cells to their common type; only floats can be NaN.
+        types = [df.schema[c].dataType for c in columns]
+        if any(isinstance(t, (T.StringType, T.BooleanType)) for t in types) and len({t.simpleString() for t in types}) > 1:
+            cells = F.array(*[_quoted(c).cast("string") for c in columns])
+        else:
+            cells = F.array(*map(_quoted, columns))
+        floats = any(_is_float(t) for t in types) and not any(isinstance(t, T.StringType) for t in types)
+        present = F.filter(cells, lambda v: v.isNotNull() & ~F.isnan(v) if floats else v.isNotNull())
         return df.select(
             "*", (F.size(F.array_distinct(present)) + F.size(cells) - F.size(present)).alias("nunique")
         )

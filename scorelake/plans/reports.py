@@ -10,6 +10,13 @@ from ..operators.binstat import COUNTS, bin_stat
 from ..operators.classify import CLASS_STATS, class_columns, target_types
 from ..operators.dates import RANGE, DateRange, date_ranges, named, numbered
 from ..operators.roc import roc_summary
+from ..sources.scratch import settled
+
+
+def _settled(df: DataFrame, *columns: str | list[str] | None) -> DataFrame:
+    """The columns of a report, from a frame that its scans can read again and again."""
+    names = [n for c in columns if c is not None for n in ([c] if isinstance(c, str) else c)]
+    return settled(df.select(*[F.col(f"`{n}`") for n in dict.fromkeys(names)]))
 
 
 def _check_targets(df: DataFrame, label: str, score: str) -> None:
@@ -76,6 +83,7 @@ def binary_report(
     is None without `bin_x`. `ValueError` unless the label is binary and the
     score continuous; `check_types=False` saves those two scans.
     """
+    df = _settled(df, label, score, weight, bin_x)
     if check_types:
         _check_targets(df, label, score)
     stats = _model_stats(df, label, score, pos_label, threshold, weight, precision, [])
@@ -118,12 +126,14 @@ def binary_report_by_date(
             df, label, score, pos_label, threshold, bin_x, bins, cut_method, ascending, weight, precision,
             bin_stat_cols, method, check_types,
         )
+    df = _settled(df, label, score, weight, bin_x, date_col)
     if check_types:
         _check_targets(df, label, score)
     ranges = date_ranges(df, date_col, cutoffs, datetime_format, strftime, date_sep)
     dated = numbered(df, date_col, ranges)
     stats = named(_model_stats(dated, label, score, pos_label, threshold, weight, precision, [RANGE]), ranges)
-    group: tuple[Column, list[str], str] = (F.col(RANGE), [r.label for r in ranges], "date_range")
+    # Without any range the tables are empty, with the same columns.
+    group: tuple[Column, list[str], str] = (F.col(RANGE), [r.label for r in ranges] or [""], "date_range")
     binned = _bin_stats(
         dated, label, score, pos_label, threshold, bin_x, bin_stat_cols, group,
         bins=bins, cut_method=cut_method, ascending=ascending, precision=precision, method=method,

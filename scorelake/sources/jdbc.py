@@ -22,7 +22,7 @@ def oracle_url(hostname: str, service_name: str | None = None, sid: str | None =
         return f"jdbc:oracle:thin:@{hostname}:{port}:{sid}"
     if service_name is not None:
         return f"jdbc:oracle:thin:@//{hostname}:{port}/{service_name}"
-    raise ValueError("either service_name or sid should be provided")
+    raise ValueError("an Oracle URL needs a service name or a SID")
 
 
 def read_options(
@@ -58,12 +58,27 @@ def read_options(
     return options
 
 
+def bounds_options(options: dict) -> dict:
+    """Options of the query for the least and the greatest value of the partition column."""
+    source = options.get("table") or f"({options['query'].strip().rstrip(';')}) q"
+    column = options["partition_column"]
+    kept = {k: v for k, v in options.items() if k not in ("table", "query", "partition_column", "bounds", "num_partitions")}
+    return {**kept, "query": f"SELECT min({column}) AS low, max({column}) AS high FROM {source}"}
+
+
 def read_jdbc(spark: SparkSession, url: str, n_rows: int | None = None, **options) -> DataFrame:
     """Read a table or query; filters and limits are pushed to the database.
 
-    Without a partition column one task reads everything, so give one for large
-    tables. `n_rows`: None or negative means all rows, 0 none.
+    With a partition column and a number of partitions many tasks read; bounds
+    that are not given are asked from the database first. Without a partition
+    column one task reads everything. `n_rows`: None or negative means all rows, 0 none.
     """
+    if options.get("partition_column") is not None and options.get("bounds") is None and options.get("num_partitions"):
+        asked = spark.read.format("jdbc").options(**read_options(url, **bounds_options(options))).load().first()
+        if asked[0] is None:  # no rows to split
+            options = {k: v for k, v in options.items() if k not in ("partition_column", "bounds", "num_partitions")}
+        else:
+            options = {**options, "bounds": (asked[0], asked[1])}
     df = spark.read.format("jdbc").options(**read_options(url, **options)).load()
     return df if n_rows is None or n_rows < 0 else df.limit(n_rows)
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+_ending: set[str] = set()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -30,5 +33,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder; what is written there is deleted when the application ends."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
+    if root not in _ending:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        store.mkdirs(folder)
+        store.deleteOnExit(folder)
+        _ending.add(root)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+#: Steps of a plan that cost no more than a scan.
+CHEAP = {"Project", "Filter", "Relation", "LogicalRelation", "LocalRelation", "LogicalRDD", "Range", "RelationV2", "DataSourceV2ScanRelation", "InMemoryRelation", "Union"}
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """A frame that can be scanned many times: itself if it is a plain scan, else written to the shared folder once.
+
+    Give it only the columns that are needed.
+    """
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    steps = [re.match(r"[\s:+|-]*(\w+)", line) for line in lines]
+    if all(s is None or s[1] in CHEAP for s in steps):
+        return df
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

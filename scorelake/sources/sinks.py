@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +13,27 @@ from ..functions.crypto import encrypt_columns
 from ..operators.columns import rename_columns, select_columns
 
 MAX_ROWS_PER_FILE = 100_000
+#: What every csv is written with: a null is an empty cell, an empty text is ``""``, quotes
+#: are doubled, spaces stay, and times keep their microseconds.
+CSV_WRITE = {
+    "nullValue": "",
+    "emptyValue": '""',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+#: And read with: cells may span lines. An empty cell is read as the null mark, which no text
+#: should be equal to, so that ``""`` stays an empty text. Times are parsed in any usual form.
+CSV_READ = {
+    "multiLine": "true",
+    "escape": '"',
+    "nullValue": "\x00null\x00",
+    "emptyValue": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def write_csv(
@@ -25,7 +47,7 @@ def write_csv(
 ) -> str:
     """Write a csv directory, one file per task, each with a header."""
     named = rename_columns(df, column_names)
-    named.write.options(**options).mode(mode).csv(path, header=header, encoding=encoding)
+    named.write.options(**{**CSV_WRITE, **options}).mode(mode).csv(path, header=header, encoding=encoding)
     return path
 
 
@@ -54,7 +76,7 @@ def export_chunked(
     if partition_by:
         writer = writer.partitionBy(partition_by)
     if format == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**CSV_WRITE).option("header", True)
     writer.format(format).save(path)
     return path
 
@@ -63,7 +85,7 @@ def read_chunks(spark: SparkSession, path: str, format: str = "csv", schema: T.S
     """All files of an export as one table."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     if format == "csv":
-        reader = reader.option("header", True).option("inferSchema", schema is None)
+        reader = reader.options(**CSV_READ).option("header", True).option("inferSchema", schema is None)
     return reader.format(format).load(path)
 
 
@@ -90,7 +112,21 @@ def save_table(
     made_up = f"upload_{uuid4().hex[:12]}"
     if table is None or (if_exists == "silent" and spark.catalog.tableExists(table)):
         table = made_up
-    writer = df.write.format(format).mode("overwrite" if if_exists == "replace" else "error")
+    mode = "overwrite" if if_exists == "replace" else "error"
+    if mode == "overwrite" and spark.catalog.tableExists(table):
+        beside = f"{table}_{uuid4().hex[:12]}"
+        files = set(spark.table(table).inputFiles())
+        if path is None or files.intersection(df.inputFiles()):
+            # The rows may come from the table itself: write them beside it, then put them in its place.
+            df.write.format(format).mode(mode).saveAsTable(beside)
+            if path is None:
+                drop_table(spark, table)
+                rename_table(spark, beside, table)
+                return table
+            spark.table(beside).write.format(format).mode(mode).option("path", path).saveAsTable(table)
+            drop_table(spark, beside)
+            return table
+    writer = df.write.format(format).mode(mode)
     (writer.option("path", path) if path else writer).saveAsTable(table)
     return table
 
@@ -125,14 +161,25 @@ def prepared(df, columns, column_names, encrypt, key) -> DataFrame:
 def split_table(df: DataFrame, path: str, conditions: dict[str, Column | str], format: str = "parquet") -> dict[str, str]:
     """Write the rows that meet each condition to their own folder, reading the table once.
 
-    A row that meets several conditions goes to each of them.
+    A row that meets several conditions goes to each of them. Folders are numbered
+    in the order of the conditions, so names may hold any character and columns any name;
+    a condition that no row meets has an empty table of the same columns.
     """
+    spark, taken = df.sparkSession, {c.lower() for c in df.columns}
+    route = next(name for i in range(len(taken) + 1) if (name := f"_part{i}") not in taken)
     met = F.array_compact(
-        F.array(*[F.when(F.expr(c) if isinstance(c, str) else c, F.lit(name)) for name, c in conditions.items()])
+        F.array(*[F.when(F.expr(c) if isinstance(c, str) else c, F.lit(i)) for i, c in enumerate(conditions.values())])
     )
-    routed = df.withColumn("part", F.explode(met))
-    routed.write.mode("overwrite").partitionBy("part").format(format).save(path)
-    return {name: f"{path}/part={name}" for name in conditions}
+    routed = df.withColumn(route, F.explode(met))
+    options = {**CSV_WRITE, "header": "true"} if format == "csv" else {}
+    routed.write.options(**options).mode("overwrite").partitionBy(route).format(format).save(path)
+    paths = {name: f"{path}/{route}={i}" for i, name in enumerate(conditions)}
+    for folder in paths.values():
+        try:
+            spark.read.schema(df.schema).format(format).load(folder)
+        except AnalysisException:  # no row met the condition, so there is no folder
+            df.limit(0).write.options(**options).format(format).save(folder)
+    return paths
 
 
 def create_like(spark: SparkSession, table: str, like: str) -> None:

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from concurrent.futures import Future, ThreadPoolExecutor
-from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions.conf import with_conf as with_conf
+
 #: Statements run at the same time unless told otherwise.
 MAX_CONCURRENT = 4
 # Quoted text and comments are one piece each, so a ";" inside does not count.
@@ -30,25 +31,6 @@ def split_statements(script: str) -> list[str]:
     return [s.strip() for s in [*statements, current] if bare.sub("", s).strip()]
 
 
-@contextmanager
-def with_conf(spark: SparkSession, conf: dict | None = None, unset: tuple[str, ...] = ()) -> Iterator[SparkSession]:
-    """Set and unset session options, and put the old values back afterwards."""
-    conf = conf or {}
-    before = {key: spark.conf.get(key, None) for key in [*conf, *unset]}
-    try:
-        for key, value in conf.items():
-            spark.conf.set(key, value)
-        for key in unset:
-            spark.conf.unset(key)
-        yield spark
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
-
-
 def session_with(spark: SparkSession, conf: dict | None) -> SparkSession:
     """A session of its own with options set; shares tables, but not temporary views."""
     if not conf:
@@ -138,8 +120,28 @@ def run_sql_script(
     sync: bool = True,
     n_jobs: int = MAX_CONCURRENT,
 ) -> list:
-    """Run the statements of a script, in order or side by side."""
-    return run_sqls(spark, script, args, conf, n_jobs=n_jobs if concurrent else 1, sync=sync)
+    """Run the statements of a script, in order or side by side.
+
+    In order, a statement that fails ends the script: its exception is the last
+    result. Statements are commands or lazy queries, so a query fails here only
+    if it can't be analysed. Side by side, every statement is run.
+    """
+    if concurrent:
+        return run_sqls(spark, script, args, conf, n_jobs=n_jobs, sync=sync)
+
+    def in_order() -> list:
+        results = []
+        for i, statement in enumerate(split_statements(script)):
+            mine = args[i] if isinstance(args, list) else args
+            options = conf[i] if isinstance(conf, list) else conf
+            try:
+                results.append(run_sql(spark, statement, mine, conf=options))
+            except Exception as error:  # noqa: BLE001
+                results.append(error)
+                break
+        return results
+
+    return in_order() if sync else run_all([in_order], 1, False, spark)
 
 
 def run_sql_file(spark: SparkSession, path: str, encoding: str = "utf-8", concurrent: bool = False, **options) -> list:

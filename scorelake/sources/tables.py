@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import csv
+import io
+import itertools
 import os
 from collections.abc import Iterator
 from functools import reduce
@@ -14,10 +16,12 @@ from pyspark.sql import types as T
 
 from ..functions.crypto import decrypt_columns
 from ..operators.columns import rename_columns, select_columns
-from .sinks import export_chunked
+from .sinks import CSV_READ, MAX_ROWS_PER_FILE, export_chunked
 from .statements import run_all, session_with
 
 ROWS_PER_BATCH = 32_768
+#: Lines of a file in which its header row is looked for, beyond the number of the row.
+HEADER_LINES = 1000
 BLOCK_BYTES = 25 * 1024 * 1024
 FORMATS = {"csv": "csv", "json": "json", "parquet": "parquet", "orc": "orc", "txt": "text", "text": "text"}
 
@@ -31,11 +35,13 @@ def read_table(
     key: str | Column | None = None,
     limit: int | None = None,
     path: str | None = None,
+    format: str = "csv",
+    max_rows: int = MAX_ROWS_PER_FILE,
 ) -> DataFrame:
     """A table with a choice of columns, new names and columns decrypted.
 
     Columns to decrypt are added to the chosen ones. With a path the result is
-    also written there in files of bounded size.
+    also written there in the given format, in files of at most `max_rows` rows.
     """
     df = table if isinstance(table, DataFrame) else spark.table(table)
     df = select_columns(df, columns, decrypt)
@@ -47,7 +53,7 @@ def read_table(
     if limit is not None and limit >= 0:
         df = df.limit(limit)
     if path:
-        export_chunked(df, path)
+        export_chunked(df, path, max_rows, format)
     return df
 
 
@@ -60,10 +66,12 @@ def read_tables(
     paths: list | None = None,
     key: str | Column | None = None,
     n_jobs: int = 10,
+    format: str = "csv",
+    max_rows: int = MAX_ROWS_PER_FILE,
 ) -> list:
     """Read, and with paths write, many tables at once; options are one list entry per table.
 
-    Results keep their order; an error takes the place of its table.
+    Files are written as `read_table` does. Results keep their order; an error takes the place of its table.
     """
     options = [columns, column_names, decrypt, paths]
     for given in options:
@@ -72,7 +80,7 @@ def read_tables(
     per_table = [[None] * len(tables) if o is None else o for o in options]
 
     def task(table, cols, names, secret, path):
-        return lambda: read_table(spark, table, cols, names, secret, key, path=path)
+        return lambda: read_table(spark, table, cols, names, secret, key, None, path, format, max_rows)
 
     return run_all([task(t, *rest) for t, *rest in zip(tables, *per_table)], n_jobs, True, spark)
 
@@ -95,9 +103,9 @@ def load_file(
     """Read files by suffix: csv, json, parquet, orc or text.
 
     A csv without schema is read twice, once to infer its types; pass a schema
-    for large files. `header` may be the row of the header, from 0: a row above
-    0 skips the rows before it in every file, and columns are then text unless
-    a schema is given.
+    for large files. Cells of a csv may span lines, so a task reads whole files.
+    `header` may be the row of the header, from 0: the rows before it are
+    skipped in every file, and types are inferred below it as for row 0.
     """
     first = path if isinstance(path, str) else path[0]
     suffix = (format or os.path.basename(first.rstrip("/")).rpartition(".")[2]).lower()
@@ -105,7 +113,7 @@ def load_file(
         raise ValueError(f"format not supported: {suffix!r}")
     if FORMATS[suffix] == "csv" and not isinstance(header, bool) and header > 0:
         return _csv_below(spark, path, header, schema, options)
-    reader = spark.read.options(**options)
+    reader = spark.read.options(**({**CSV_READ, **options} if FORMATS[suffix] == "csv" else options))
     if schema is not None:
         reader = reader.schema(schema)
     if FORMATS[suffix] == "csv":
@@ -114,21 +122,58 @@ def load_file(
 
 
 def _csv_below(spark, path, header_row, schema, options) -> DataFrame:
-    """Csv rows below the given header row of each file."""
-    # One split per task, so that the position in the task is the line of the file.
-    session = session_with(spark, {"spark.sql.files.openCostInBytes": spark.conf.get("spark.sql.files.maxPartitionBytes")})
-    lines = session.read.text(path).select(
-        "value",
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("line"),
-        (F.col("_metadata.file_block_start") == 0).alias("first_split"),
-    )
+    """Csv rows below the given header row of each file, with cells that may span lines.
+
+    The files are parsed whole and without a header, all cells as text. A task
+    reads files one after the other, so a row's place in its file is counted
+    from the first row of the file in the task.
+    """
+    if isinstance(schema, str):
+        schema = spark.createDataFrame([], schema).schema
+    head = _header(spark, path, header_row, options)
+    width = max(len(head), len(schema.fields) if schema is not None else 0)
+    cells = [f"_c{i}" for i in range(width)]
+    text = T.StructType([T.StructField(c, T.StringType()) for c in cells])
+    rows = spark.read.options(**{**CSV_READ, **options}).schema(text).csv(path, header=False)
+    placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_at"))
+    first = placed.groupBy("_file").agg(F.min("_at").alias("_first"))
+    placed = placed.join(first, "_file").withColumn("_row", F.col("_at") - F.col("_first"))
+    below = placed.where(F.col("_row") > header_row)
     if schema is None:
-        names = lines.where(F.col("first_split") & (F.col("line") == header_row)).first()["value"]
-        schema = ", ".join(f"`{n.strip()}` string" for n in next(csv.reader([names], delimiter=options.get("sep", ","))))
-    elif isinstance(schema, T.StructType):
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    below = lines.where(~(F.col("first_split") & (F.col("line") <= header_row)))
-    return below.select(F.from_csv("value", schema, options).alias("row")).select("row.*")
+        return _typed(below.select(*[F.col(c).alias(n) for c, n in zip(cells, head) if n]))
+    return below.select(*[F.col(c).try_cast(f.dataType).alias(f.name) for c, f in zip(cells, schema.fields)])
+
+
+def _header(spark, path, header_row, options) -> list[str]:
+    """The names in the header row of the first file; empty lines are no rows."""
+    given = {k.lower(): v for k, v in options.items()}
+    coding = given.get("encoding", given.get("charset", "utf-8"))
+    first = min(spark.read.text(path).inputFiles())
+    # The bytes of the lines, which are decoded here: the text source knows UTF-8 only.
+    head = spark.read.text(first).select(F.col("value").cast("binary").alias("line")).limit(header_row + HEADER_LINES)
+    lines = [bytes(r["line"]).decode(coding) for r in head.collect()]
+    rows = csv.reader(io.StringIO("\n".join(lines)), delimiter=options.get("sep", options.get("delimiter", ",")))
+    names = next(itertools.islice((r for r in rows if r), header_row, None), None)
+    if names is None:
+        raise ValueError(f"no row {header_row} for a header in {first}")
+    return [n.strip() for n in names]
+
+
+def _typed(df: DataFrame) -> DataFrame:
+    """Text columns in the narrowest type that every value has: int, bigint, double, boolean, timestamp or text."""
+    kinds = ["int", "bigint", "double", "boolean", "timestamp_ntz"]
+    fits = []
+    for i, name in enumerate(df.columns):
+        c = F.col(f"`{name}`")
+        fits.append(F.count(c).alias(f"n{i}"))
+        fits += [F.count(c.try_cast(kind)).alias(f"{kind}{i}") for kind in kinds]
+    found = df.agg(*fits).first()
+    out = []
+    for i, name in enumerate(df.columns):
+        kind = next((k for k in kinds if found[f"n{i}"] and found[f"{k}{i}"] == found[f"n{i}"]), "string")
+        kind = "timestamp" if kind == "timestamp_ntz" and df.sparkSession.conf.get("spark.sql.timestampType") == "TIMESTAMP_LTZ" else kind
+        out.append(F.col(f"`{name}`").try_cast(kind).alias(name))
+    return df.select(*out)
 
 
 def load(spark: SparkSession, data, **options) -> DataFrame:

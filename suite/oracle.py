@@ -104,6 +104,8 @@ def class_metrics(digits: int, weight: str = "1", key: str = "", source: str = "
       sum({LABEL} * {weight})::DOUBLE AS pos, sum((1 - {LABEL}) * {weight})::DOUBLE AS neg FROM {source} {group}))"""
 
 
+START = "UNION ALL SELECT 'infinity'::DOUBLE, 0, 0"
+NULL_STATUS = "(SELECT *, nullif(l_linestatus, 'O') AS status FROM lineitem)"
 COUNT_SUPPORT = "neg::BIGINT AS support_0, pos::BIGINT AS support_1"
 DATED_ITEMS = f"(SELECT *, {DATED} AS date_range FROM lineitem, {LIMITS})"
 
@@ -157,7 +159,7 @@ DOCUMENTS = {"doc_id": "bigint", "text": "string", "lang": "string", "source": "
 LINEITEM = {
     "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
     "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
-    "l_returnflag": "string", "l_linestatus": "string",
+    "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp",
 }
 WIDTH = "CASE '{t}' WHEN 'bigint' THEN 8 WHEN 'double' THEN 8 WHEN 'int' THEN 4 ELSE strlen({c}::VARCHAR) END"
 PROFILE = (
@@ -178,8 +180,8 @@ def readable(size: str) -> str:
 
 PRICE = f"SELECT 'price' AS feature, l_extendedprice AS x, {LABEL} AS y, {DEC} AS dec FROM lineitem"
 TURNS = "SELECT conv_id, turn, regexp_replace('%' || role || chr(10) || text, '\\s*(%[\\w.]+\\s*\\n)', '#\\1', 'g') AS t FROM conversations"
-SCRIPTS = f"""SELECT conv_id, turn // 10000 AS part, count(*) AS paragraphs, string_agg(t, chr(10) ORDER BY turn, t) AS script
-    FROM ({TURNS}) GROUP BY ALL"""
+SCRIPTS = f"""SELECT conv_id, count(*) AS paragraphs, string_agg(t, chr(10) ORDER BY turn, t) AS script
+    FROM ({TURNS}) GROUP BY conv_id"""
 CLEAN = "regexp_replace(replace(replace(replace({c}, '&copy;', chr(169)), '&middot;', chr(183)), '&quot;', '\"'), '&amp;?', '&', 'g')"
 PIVOT_EDGES = [0, 20000, 50000, 80000, 200000]
 PIVOT_BIN = "CASE " + " ".join(
@@ -207,9 +209,13 @@ ORACLE: dict[str, str] = {
     "quantile_edges": f"""SELECT feature, unnest(range(0, 11))::INT AS i, round_even(unnest(e), 6) AS edge FROM (
       SELECT 'price' AS feature, quantile_cont(l_extendedprice, [{", ".join(f"{i}/10" for i in range(11))}]) AS e FROM lineitem UNION ALL
       SELECT 'l_quantity', quantile_cont(l_quantity, [{", ".join(f"{i}/10" for i in range(11))}]) FROM lineitem)""",
-    "roc_curve_ties": f"WITH {points()} SELECT s AS threshold, round_even(cfp / n, 6) AS fpr, round_even(ctp / p, 6) AS tpr FROM cum",
-    "roc_curve_kept_points": f"""WITH {points(score="l_extendedprice")} SELECT count(*) AS points,
-      round_even(sum(cfp / n), 4) AS fpr_sum, round_even(sum(ctp / p), 4) AS tpr_sum FROM kept""",
+    "roc_curve_ties": f"WITH {points()} SELECT s AS threshold, round_even(cfp / n, 6) AS fpr, round_even(ctp / p, 6) AS tpr FROM cum {START}",
+    "roc_curve_kept_points": f"""WITH {points(score="l_extendedprice")} SELECT s AS threshold, round_even(cfp / n, 9) AS fpr,
+      round_even(ctp / p, 9) AS tpr FROM kept {START}""",
+    "roc_curve_null_keys": f"""WITH {points(key="status", source=NULL_STATUS)} SELECT status, s AS threshold, round_even(cfp / n, 6) AS fpr,
+      round_even(ctp / p, 6) AS tpr FROM cum UNION ALL SELECT DISTINCT status, 'infinity'::DOUBLE, 0, 0 FROM cum""",
+    "auc_null_keys": f"""WITH {points(score="l_extendedprice", key="status", source=NULL_STATUS)}
+      SELECT status, round_even({AUC_TRAPEZOID}, 6) AS auc FROM cum GROUP BY status""",
     "auc_right": f"WITH {points(score='l_extendedprice')} SELECT round_even({AUC_RIGHT}, 6) AS auc FROM kept",
     "auc_trapezoid": f"WITH {points()} SELECT round_even({AUC_TRAPEZOID}, 6) AS auc FROM cum",
     "auc_of_class": f"""WITH {points(label="(l_returnflag = 'A')::INT")} SELECT round_even({AUC_TRAPEZOID}, 6) AS auc FROM cum""",
@@ -235,6 +241,12 @@ ORACLE: dict[str, str] = {
             "l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1999-01-01'",
             "l_shipdate >= TIMESTAMP '1999-01-01'",
         ))) + " FROM lineitem GROUP BY 1",
+    "pivot_performance": "SELECT floor(l_extendedprice / 10000)::INT AS SCORE_CUT, " + ", ".join(
+        f"nullif(count(*) FILTER ({w}), 0) AS r{i}_TOTAL, sum({LABEL}) FILTER ({w})::BIGINT AS r{i}_BAD_NUM" for i, w in enumerate((
+            "l_shipdate < TIMESTAMP '1997-01-01'",
+            "l_shipdate >= TIMESTAMP '1997-01-01' AND l_shipdate < TIMESTAMP '1999-01-01'",
+            "l_shipdate >= TIMESTAMP '1999-01-01'",
+        ))) + " FROM lineitem GROUP BY 1",
     "performance_table": performance(descending=True),
     "performance_by_date": performance("date_range", DATED_ITEMS),
     "performance_auc_by_date": f"""WITH {points(score="l_extendedprice", key="date_range", source=DATED_ITEMS)}
@@ -246,6 +258,10 @@ ORACLE: dict[str, str] = {
     "nunique": per_column("lineitem", LINEITEM, "SELECT '{c}' AS column_name, count(DISTINCT {c}) AS nunique FROM {table}"),
     "nunique_rows": """SELECT len(list_distinct([l_quantity, l_linenumber::DOUBLE, l_suppkey::DOUBLE]))::INT AS nunique, count(*) AS rows
       FROM lineitem GROUP BY 1""",
+    "nunique_rows_text": """SELECT o_orderkey, whole, words FROM (SELECT o_orderkey,
+        len(list_distinct([9007199254740992 + o_orderkey % 2, 9007199254740993, o_custkey]))::INT AS whole FROM orders)
+      FULL JOIN (SELECT doc_id AS o_orderkey, (len(list_distinct([lang, source, text[1:2]])) + (lang IS NULL)::INT + (source IS NULL)::INT
+        + (text IS NULL)::INT)::INT AS words FROM documents) USING (o_orderkey)""",
     "column_profile": per_column("customer", CUSTOMER, PROFILE),
     "describe_table": per_column("part", PART, PROFILE),
     "column_sizes": f"""SELECT column_name, bytes, {readable("bytes")} AS size FROM ({per_column("documents", DOCUMENTS,
@@ -255,7 +271,8 @@ ORACLE: dict[str, str] = {
     "table_sizes": " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {t}" for t in (
         "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
         "pages", "benchmark", "labels", "conversations")),
-    "shrink_types": """SELECT p_partkey::SMALLINT AS p_partkey, p_name, p_brand, p_type, p_size::TINYINT AS p_size FROM part""",
+    "shrink_types": """SELECT p_partkey::SMALLINT AS p_partkey, p_name, p_brand, p_type, p_size::TINYINT AS p_size,
+      p_retailprice FROM part""",
     "normalize_decimals": """SELECT o_orderkey, o_totalprice::DECIMAL(12,2)::DOUBLE AS price, o_custkey AS customer FROM orders""",
     "cast_schema": """SELECT o_orderkey, o_custkey::INT AS o_custkey, o_orderstatus, o_totalprice::DECIMAL(12,2) AS o_totalprice,
       o_orderdate::DATE AS o_orderdate, o_orderpriority FROM orders""",
@@ -283,10 +300,17 @@ ORACLE: dict[str, str] = {
     "split_table": """SELECT 'open' AS part, o_orderkey FROM orders WHERE o_orderstatus = 'O' UNION ALL
       SELECT 'dear', o_orderkey FROM orders WHERE o_totalprice >= 250000""",
     "write_csv": """SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation, c_acctbal AS balance, c_mktsegment AS segment FROM customer""",
+    **{f"csv_{t}": f"SELECT * FROM {t}" for t in ("documents", "pages", "conversations", "events")},
     "append_csv": "SELECT o_orderkey, o_totalprice FROM orders",
     "save_table_replace": "SELECT o_orderkey, o_custkey FROM orders",
     "insert_rows": "SELECT c_custkey, c_name FROM customer",
     "encrypt_roundtrip": "SELECT c_custkey, c_name, false AS readable FROM customer",
+    "save_table_silent": "SELECT c_name AS value FROM customer UNION ALL SELECT c_custkey::VARCHAR FROM customer",
+    "create_like_rename": "SELECT * FROM nation",
+    "read_table_decrypted": "SELECT c_custkey AS id, c_name AS name FROM customer ORDER BY c_custkey LIMIT 100",
+    "load": "SELECT * FROM supplier",
+    "with_conf": "SELECT o_orderstatus, count(*) AS rows, 3 AS partitions FROM orders GROUP BY 1",
+    "run_sql_database": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 1000",
     "run_sql_params": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 100000",
     "run_sql_script": "SELECT 'a;b' AS name, count(*) AS rows FROM orders UNION ALL SELECT 'c', count(*) FROM lineitem",
     "run_sqls": """SELECT name, rows, 1 AS errors FROM (SELECT 'orders' AS name, count(*) AS rows FROM orders UNION ALL
@@ -296,10 +320,12 @@ ORACLE: dict[str, str] = {
     "limit_rows": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100",
     "read_tables": "SELECT o_orderkey AS id FROM orders UNION ALL SELECT c_custkey FROM customer",
     "clean_text": f"SELECT page_id, {CLEAN.format(c='url')} AS url, {CLEAN.format(c='html')} AS html FROM pages",
-    "read_text_blocks": """SELECT count(*) AS lines,
-      sum(strlen(concat_ws('|', o_orderkey, o_orderstatus, o_orderpriority)))::BIGINT AS chars FROM orders""",
+    "read_text_blocks": """WITH l AS (SELECT o_orderkey, concat_ws('|', o_orderkey, o_orderstatus, o_orderpriority) AS v FROM orders),
+      p AS (SELECT v, sum(strlen(v) + 1) OVER (ORDER BY o_orderkey) - strlen(v) - 1 AS pos, sum(strlen(v) + 1) OVER () AS size FROM l)
+      SELECT CASE WHEN greatest(1, ceil(pos / 65536)) >= ceil(size / 65536) THEN -1 ELSE greatest(1, ceil(pos / 65536)) END::BIGINT AS block,
+        count(*) AS lines, sum(length(v))::BIGINT AS chars FROM p GROUP BY 1""",
     "assemble_documents": SCRIPTS,
-    "split_documents": f"""WITH s AS (SELECT conv_id, part, string_split(regexp_replace(script,
+    "split_documents": f"""WITH s AS (SELECT conv_id, string_split(regexp_replace(script,
         '\\n[ \\t]*#+(%[\\w.]+[ \\t\\r]*\\n)', chr(1) || '\\1', 'g'), chr(1)) AS p FROM ({SCRIPTS}))
-      SELECT conv_id, part, (unnest(range(len(p))))::BIGINT AS index, unnest(p) AS paragraph FROM s""",
+      SELECT conv_id, (unnest(range(len(p))))::BIGINT AS index, unnest(p) AS paragraph FROM s""",
 }

@@ -47,7 +47,13 @@ def test_usage_report_and_stitch(spark):
     assert [(r["k"], r["memory"]) for r in report] == [("k1", "512.00 B"), ("k2", "2.93 KiB")]
     raw = sl.usage_report(sessions, procs, "k", "memory", human_readable=False, ascending=False)
     assert [r["memory"] for r in raw.collect()] == [3000, 512]
-    assert sl.stitch_columns([sessions, procs, procs.withColumnRenamed("memory", "m2")], "k").count() == 2
+    # Every row of every slice stays, also one with a null key.
+    more = procs.union(spark.createDataFrame([(None, 7)], procs.schema))
+    wide = sl.stitch_columns([sessions, more, more.withColumnRenamed("memory", "m2")], "k")
+    assert wide.columns == ["k", "path", "memory", "m2"]
+    assert sorted(map(tuple, wide.collect()), key=repr) == sorted(
+        [("k1", "x", 512, 512), ("k2", "y", 3000, 3000), ("k3", "z", None, None), ("k9", None, 1, 1), (None, None, 7, 7)], key=repr
+    )
 
 
 @pytest.mark.parametrize("hot", [False, True])
@@ -209,11 +215,25 @@ def test_profile_of_long_text_and_of_nothing(spark):
 def test_documents(spark):
     turns = [(1, 0, "%py\nx = 1\n"), (1, 1, "  \n%sql\nselect 1"), (1, 10, "no mark"), (2, 0, "%md \n# title")]
     df = spark.createDataFrame(turns, "doc int, i int, t string").repartition(3)
-    whole = {r["doc"]: r["script"] for r in sl.assemble_documents(df, "doc", "i", "t", part_size=None).collect()}
-    assert whole == {1: "#%py\nx = 1\n\n#%sql\nselect 1\nno mark", 2: "#%md \n# title"}
-    parts = sorted(sl.assemble_documents(df, "doc", "i", "t", part_size=10).where("doc = 1").collect())
-    assert [(p["part"], p["paragraphs"]) for p in parts] == [(0, 2), (1, 1)]
-    assert "\n".join(p["script"] for p in parts) == whole[1]
+    for size in (1, 10, None):
+        whole = {r["doc"]: r["script"] for r in sl.assemble_documents(df, "doc", "i", "t", part_size=size).collect()}
+        assert whole == {1: "#%py\nx = 1\n\n#%sql\nselect 1\nno mark", 2: "#%md \n# title"}
+
+
+def test_inner_parts_change_nothing(spark):
+    rows = [(1, i, f"%py\nx = {i}" if i % 4 else (None if i % 8 else f"no mark {i}\n%sql\ny")) for i in range(25)]
+    rows += [(2, 0, "one paragraph\nof two lines"), (3, 5, None), (None, 1, "%md\na"), (None, 0, "b"), (4, None, "c"), (4, 1, "d")]
+    df = spark.createDataFrame(rows, "doc int, i int, t string").repartition(4)
+    found = []
+    for size in (3, 10, None):
+        scripts = sl.assemble_documents(df, "doc", "i", "t", part_size=size)
+        assert scripts.columns == ["doc", "paragraphs", "script"]
+        pieces = sl.split_documents(scripts, "doc", "script")
+        found.append((sorted(map(tuple, scripts.collect()), key=repr), sorted(map(tuple, pieces.collect()), key=repr)))
+    assert found[0] == found[1] == found[2]
+    assert len(found[0][0]) == 5 and [r[1] for r in found[0][0] if r[0] == 1] == [25]
+    numbers = [i for d, i, _ in found[0][1] if d == 1]
+    assert sorted(numbers) == list(range(len(numbers)))
 
 
 @pytest.mark.parametrize(
@@ -233,3 +253,33 @@ def test_split_documents(spark, text, expected):
     got = sorted(sl.split_documents(df, "doc", "t").collect(), key=lambda r: r["index"])
     assert [r["paragraph"] for r in got] == expected
     assert [r["index"] for r in got] == list(range(len(expected)))
+
+
+def test_row_numbers_of_copies_and_cells(spark):
+    rows = [(i % 5 if i % 3 else None, i % 7, "x" if i % 2 else None) for i in range(400)] + [(2, 2, "same")] * 300
+    df = spark.createDataFrame(rows, "k int, v int, copies string").repartition(5)
+    for size in (10, 100, 10**6):
+        got = sl.row_numbers(df, ["k", "v"], rows_per_cell=size).collect()
+        assert sorted(r["row_number"] for r in got) == list(range(1, 701))
+        by_number = [(r["k"], r["v"]) for r in sorted(got, key=lambda r: r["row_number"])]
+        assert by_number == sorted(by_number, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        assert sorted((tuple(r)[:3] for r in got), key=repr) == sorted(rows, key=repr)
+    held = df.withColumn("m", F.create_map(F.lit("a"), F.col("v")))
+    assert sorted(r["row_number"] for r in sl.row_numbers(held, ["k"], rows_per_cell=100).collect()) == list(range(1, 701))
+    assert sl.row_numbers(df.limit(0), ["k"]).collect() == []
+
+
+def test_distinct_values_per_row_of_any_type(spark):
+    rows = [(2**53, 2**53 + 1, "a", "b"), (5, 5, "a", "a"), (None, 5, None, None)]
+    df = spark.createDataFrame(rows, "a long, b long, s string, t string")
+    assert [r["nunique"] for r in sl.nunique(df, ["a", "b"], axis=1).collect()] == [2, 1, 2]
+    assert [r["nunique"] for r in sl.nunique(df, ["s", "t"], axis=1).collect()] == [2, 1, 2]
+    assert [r["nunique"] for r in sl.nunique(df, ["a", "s"], axis=1).collect()] == [2, 2, 2]
+    floats = spark.createDataFrame([(1.0, float("nan"), 1)], "x double, y double, z int")
+    assert sl.nunique(floats, axis=1).first()["nunique"] == 2
+
+
+def test_first_per_key_with_dots(spark):
+    df = spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (2, 9, "c")], ["t.k", "t.o", "t.v"])
+    got = sl.first_per_key(df, ["t.k"], ["t.o"])
+    assert got.columns == df.columns and sorted(map(tuple, got.collect())) == [(1, 1, "a"), (2, 9, "c")]

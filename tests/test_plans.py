@@ -57,6 +57,40 @@ def test_cells_share_the_grouping(spark):
     assert "ReusedExchange" in plan(points, executed=True)
 
 
+def test_a_join_is_run_once_for_all_scans(spark):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    text = plan(sl.bin_stat(sl.join_on(labels, docs, ["doc_id"]), "n_chars", "quality", bins=4))
+    assert "Join" not in text
+
+
+def test_many_cuts_are_split_by_cell(spark):
+    text = plan(sl.performance_table(scored(spark, SF), "label", "price", rows_per_cell=500))
+    assert "hashpartitioning(_cell" in text and "Window" in text
+    cells_only = [w for w in re.findall(r"Window \[[^\n]*", text) if "windowspecdefinition(0" in w.replace(" ", "")]
+    assert all("sum_" in w or "_cell" in w for w in cells_only)
+
+
+def test_row_numbers_store_nothing(spark):
+    df = spark.read.parquet(f"{SF}/orders.parquet")
+    text = plan(sl.row_numbers(df, ["o_orderdate"], rows_per_cell=200))
+    assert "ExistingRDD" not in text and "SinglePartition" not in text
+
+
+def test_sketches_of_many_features_are_not_sorted(spark):
+    from pyspark.sql import functions as F
+
+    from scorelake.operators import cells as c
+
+    rows = spark.range(4000).select((F.col("id") % 740).cast("int").alias("g"), F.rand(1).alias("v"))
+    before = spark.conf.get("spark.sql.objectHashAggregate.sortBased.fallbackThreshold")
+    found = c.sketch(rows, "v", ["g"], [0.0, 1.0])
+    assert len(found) == 740
+    assert spark.conf.get("spark.sql.objectHashAggregate.sortBased.fallbackThreshold") == before
+    # 20 features with 37 cells each.
+    assert c.SKETCHES_PER_TASK >= 20 * 37
+
+
 def test_windows_over_points_are_split_by_cell(spark):
     rows = scored_rows(scored(spark, SF), "label", "price")
     cuts = balanced_cuts(rows, "score", 500)

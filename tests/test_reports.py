@@ -195,3 +195,24 @@ def test_performance_by_date_with_area(loans):
         mine = table.where(F.col("date_range") == r.label).drop("date_range")
         assert mine.collect() == alone.collect()
         assert areas[r.label] == pytest.approx(sl.auc(part, "y", "score").first()["auc"])
+
+
+def test_no_date_in_any_range(spark):
+    rows = [(1, 0.5, None), (0, 0.2, None), (1, 0.7, None)]
+    df = spark.createDataFrame(rows, "y int, s double, d date")
+    stats, binned = sl.binary_report_by_date(df, "y", "s", "d", ["2024-01-01"], threshold=0.4, bin_x="s", bins=2, check_types=False)
+    full = spark.createDataFrame([(1, 0.5, "2024-01-02"), (0, 0.2, "2024-01-03")], "y int, s double, d string")
+    some = sl.binary_report_by_date(full, "y", "s", "d", ["2024-01-01"], threshold=0.4, bin_x="s", bins=2, check_types=False)
+    assert stats.collect() == [] and stats.dtypes == some[0].dtypes
+    assert binned.collect() == [] and binned.dtypes == some[1].dtypes
+
+
+def test_many_cuts_equal_one_window(spark):
+    rows = [(i % 3 == 0 and 1 or 0, (i * 37) % 211 if i % 17 else None, f"k{i % 2}") for i in range(900)]
+    df = spark.createDataFrame(rows, "y int, cut int, k string")
+    for up in (True, False):
+        for col in ("cut", "text"):
+            wide = df.withColumn("text", df["cut"].cast("string"))
+            one = sl.performance_table(wide, "y", col, up, keys=["k"]).collect()
+            many = sl.performance_table(wide, "y", col, up, keys=["k"], rows_per_cell=20).collect()
+            assert one == many and len(one) > 300

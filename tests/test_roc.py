@@ -144,3 +144,12 @@ def test_target_types(spark):
     assert sl.target_types(df, list("bfcstmn")) == {
         "b": "binary", "f": "binary", "c": "continuous", "s": "binary", "t": "binary", "m": "multiclass", "n": "binary",
     }
+
+
+def test_a_null_key_is_a_group_of_any_size(spark):
+    rows = [(i % 2, (i * 31) % 97 / 10, None if i % 3 else "a") for i in range(500)]
+    df = spark.createDataFrame(rows, "y int, s double, k string")
+    for f in (sl.auc, sl.ks, sl.roc_curve):
+        one = sorted(map(tuple, f(df, "y", "s", keys=["k"]).collect()), key=repr)
+        many = sorted(map(tuple, f(df, "y", "s", keys=["k"], rows_per_cell=10).collect()), key=repr)
+        assert one == many and {r[0] for r in one} == {None, "a"}

@@ -49,13 +49,50 @@ def test_csv_with_header_further_down(spark, tmp_path):
     (tmp_path / "a.csv").write_text("made by x\nid,name\n1,a\n2,b\n")
     (tmp_path / "b.csv").write_text("made by y\nid,name\n3,\"c,d\"\n")
     got = sl.load_file(spark, str(tmp_path), "csv", header=1)
-    assert got.dtypes == [("id", "string"), ("name", "string")]
-    assert sorted(map(tuple, got.collect())) == [("1", "a"), ("2", "b"), ("3", "c,d")]
+    assert got.dtypes == [("id", "int"), ("name", "string")]
+    assert sorted(map(tuple, got.collect())) == [(1, "a"), (2, "b"), (3, "c,d")]
     typed = sl.load_file(spark, str(tmp_path), "csv", "k int, v string", header=1)
     assert sorted(r["k"] for r in typed.collect()) == [1, 2, 3]
     assert sl.load_file(spark, str(tmp_path / "a.csv"), header=0).columns == ["made by x"]
 
 
+def test_header_row_with_cells_over_lines(spark, tmp_path):
+    rows = 'a title\n\nof two rows\nid,name,day,x,ok,big\n1,"two\nlines",2024-01-02 03:04:05.000006,1.5,true,1\n2,"say ""so""",2024-01-03 00:00:00,2,false,9007199254740993\n'
+    (tmp_path / "a.csv").write_text(rows)
+    got = sl.load_file(spark, str(tmp_path / "a.csv"), header=2)
+    assert [t for _, t in got.dtypes] == ["int", "string", "timestamp", "double", "boolean", "bigint"]
+    assert [tuple(r)[:2] for r in got.orderBy("id").collect()] == [(1, "two\nlines"), (2, 'say "so"')]
+    assert got.orderBy("id").first()["day"].microsecond == 6 and got.agg(F.max("big")).first()[0] == 9007199254740993
+    (tmp_path / "b.csv").write_bytes("Über\nn\u00e4me;k\né;1\n".encode("latin-1"))
+    other = sl.load_file(spark, str(tmp_path / "b.csv"), header=1, encoding="ISO-8859-1", sep=";")
+    assert other.columns == ["näme", "k"] and tuple(other.first()) == ("é", 1)
+    with pytest.raises(ValueError):
+        sl.load_file(spark, str(tmp_path / "b.csv"), header=9)
+
+
+def test_csv_keeps_every_cell(spark, tmp_path):
+    import datetime as dt
+
+    texts = ["a\nb", "c\r\nd", "e\rf", 'say "so"', "back\\slash", "\\", '\\"', " spaces ", "", None, ",", '"', "\t", "é\U0001f600", "null", "\\N", "#"]
+    when = dt.datetime(2024, 3, 31, 1, 30, 0, 123456)
+    df = spark.createDataFrame([(i, t, when, when.date(), 1.1 * i) for i, t in enumerate(texts)], "id long, t string, at timestamp, d date, x double")
+    df = df.withColumn("ntz", F.col("at").cast("timestamp_ntz"))
+    path = sl.export_chunked(df, str(tmp_path / "x"), max_rows=4)
+    back = sl.read_chunks(spark, path, schema=df.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    sl.write_csv(df, str(tmp_path / "y"))
+    sl.append_csv(df.limit(0), str(tmp_path / "y"))
+    back = sl.load_file(spark, str(tmp_path / "y"), "csv", df.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_read_table_writes_as_asked(spark, items, tmp_path):
+    sl.read_table(spark, items, path=str(tmp_path / "p"), format="parquet", max_rows=300)
+    assert spark.read.parquet(str(tmp_path / "p")).count() == items.count()
+    results = sl.read_tables(spark, [items, items], paths=[str(tmp_path / "a"), str(tmp_path / "b")], format="json", max_rows=100)
+    assert not any(isinstance(r, Exception) for r in results) and spark.read.json(str(tmp_path / "a")).count() == items.count()
+
+
 def test_load_other_kinds(spark, items, tmp_path):
     (tmp_path / "t.txt").write_text("x\ny\n")
     assert sl.load(spark, str(tmp_path / "t.txt")).count() == 2
@@ -79,7 +116,35 @@ def test_export_is_cut_in_files(spark, items, tmp_path):
 def test_split_table(spark, items, tmp_path):
     paths = sl.split_table(items, str(tmp_path / "s"), {"low": "id < 600", "even": F.col("id") % 2 == 0, "none": "false"})
     assert spark.read.parquet(paths["low"]).count() == 600 and spark.read.parquet(paths["even"]).count() == 500
-    assert not os.path.exists(paths["none"])
+    none = spark.read.parquet(paths["none"])
+    assert none.columns == items.columns and none.count() == 0
+    odd = items.withColumn("part", F.lit("kept")).withColumn("_part0", F.lit(1))
+    paths = sl.split_table(odd, str(tmp_path / "odd"), {"a=b": "id < 3", "x/y": "id >= 998", "": "false", "é *": "id = 5"})
+    counts = {name: spark.read.parquet(p).where("part = 'kept'").count() for name, p in paths.items()}
+    assert counts == {"a=b": spark.read.parquet(paths["a=b"]).count(), "x/y": odd.where("id >= 998").count(), "": 0, "é *": 1}
+    assert counts["a=b"] == odd.where("id < 3").count() and spark.read.parquet(paths["a=b"]).columns == odd.columns
+
+
+def test_a_script_stops_at_its_first_error(spark):
+    script = "CREATE TABLE made_by_script USING parquet AS SELECT 1 AS a; SELECT missing; INSERT INTO made_by_script VALUES (2)"
+    results = sl.run_sql_script(spark, script)
+    assert len(results) == 2 and isinstance(results[1], Exception)
+    assert spark.table("made_by_script").count() == 1
+    together = sl.run_sql_script(spark, "SELECT 1; SELECT missing; SELECT 3", concurrent=True)
+    assert [isinstance(r, Exception) for r in together] == [False, True, False]
+    future = sl.run_sql_script(spark, "SELECT 1 AS a", sync=False)[0]
+    assert future.result()[0].first()["a"] == 1
+    sl.drop_table(spark, "made_by_script")
+
+
+def test_a_table_replaces_itself(spark, items, tmp_path):
+    for path in (None, str(tmp_path / "t")):
+        sl.save_table(items, "self", path=path)
+        sl.save_table(spark.table("self").where("id < 10"), "self", if_exists="replace", path=path)
+        assert spark.table("self").count() == items.where("id < 10").count()
+        sl.drop_table(spark, "self")
+        if path is None:
+            assert not [t for t in sl.list_tables(spark) if "self" in str(t)]
 
 
 def test_save_table_modes(spark, items):
