@@ -10,6 +10,7 @@ from .contamination import contaminated
 from .license_rules import scan
 from .line_templates import dropped_lines
 from .near_copies import near_copies
+from .oracle import ORACLE as ORACLE
 from .packing import pack
 from .patched_ids import token_ids
 from .private_data import private_spans
@@ -18,7 +19,6 @@ from .rule_ensemble import scored
 from .suffix_dedup import without_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(function):
