@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.conf import with_conf
+from ..sources.scratch import is_scan
 
 SKETCH_K = 2048
 #: More than the rank error of a KLL sketch of that size, as a share of the rows.
@@ -140,12 +141,12 @@ def sketch(df: DataFrame, value: str, keys: list[str], ranks: list[float], only:
     and keys without sketched rows have no quantiles.
     """
     sketched = F.expr(f"CASE WHEN {only} THEN {value} END")
-    partial = (
-        df.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)))
-        .groupBy(*keys, "_part")
-        .agg(F.count(value).alias("n"), F.kll_sketch_agg_double(sketched, F.lit(SKETCH_K)).alias("sketch"))
-    )
-    merged = partial.groupBy(*keys).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
+    made = [F.count(value).alias("n"), F.kll_sketch_agg_double(sketched, F.lit(SKETCH_K)).alias("sketch")]
+    if is_scan(df) and df.rdd.getNumPartitions() <= SKETCH_GROUPS:
+        merged = df.groupBy(*keys).agg(*made)  # few tasks, so one merge is enough
+    else:
+        partial = df.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))).groupBy(*keys, "_part").agg(*made)
+        merged = partial.groupBy(*keys).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
     quantiles = F.kll_sketch_get_quantile_double("sketch", literal_array(ranks))
     has_values = F.kll_sketch_get_n_double("sketch") > 0
     result = merged.select(*keys, "n", F.when(has_values, quantiles).alias("quantiles"))

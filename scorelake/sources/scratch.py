@@ -45,7 +45,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 #: Steps of a plan that cost no more than a scan.
-CHEAP = {"Project", "Filter", "Relation", "LogicalRelation", "LocalRelation", "LogicalRDD", "Range", "RelationV2", "DataSourceV2ScanRelation", "InMemoryRelation", "Union"}
+CHEAP = {"Project", "Filter", "Relation", "LogicalRelation", "LocalRelation", "LogicalRDD", "Range", "RelationV2", "DataSourceV2ScanRelation", "InMemoryRelation", "Union", "Generate"}
+
+
+def is_scan(df: DataFrame) -> bool:
+    """Whether a frame is read without any shuffle."""
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    steps = [re.match(r"[\s:+|-]*(\w+)", line) for line in lines]
+    return all(s is None or s[1] in CHEAP for s in steps)
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -53,9 +60,7 @@ def settled(df: DataFrame) -> DataFrame:
 
     Give it only the columns that are needed.
     """
-    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
-    steps = [re.match(r"[\s:+|-]*(\w+)", line) for line in lines]
-    if all(s is None or s[1] in CHEAP for s in steps):
+    if is_scan(df):
         return df
     path = scratch_path(df.sparkSession, "settled")
     df.write.parquet(path)
