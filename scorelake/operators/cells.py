@@ -133,10 +133,10 @@ def cell_of_row(df: DataFrame, columns: list[str], cuts: list[Row]) -> Column:
     )
 
 
-def sketch(df: DataFrame, value: str, keys: list[str], ranks: list[float], only: str = "true") -> list:
+def sketch(df: DataFrame, value: str, keys: list[str], ranks: list[float], only: str = "true", then=None) -> list:
     """Rows and approximate quantiles per key, merged as a tree.
 
-    One final task never receives more than `SKETCH_GROUPS` sketches per key.
+    `then` is applied to the table ``(keys, n, quantiles)`` before the driver fetches it. One final task never receives more than `SKETCH_GROUPS` sketches per key.
     `only` is a condition on the rows that are sketched; all rows are counted,
     and keys without sketched rows have no quantiles.
     """
@@ -151,6 +151,8 @@ def sketch(df: DataFrame, value: str, keys: list[str], ranks: list[float], only:
     has_values = F.kll_sketch_get_n_double("sketch") > 0
     result = merged.select(*keys, "n", F.when(has_values, quantiles).alias("quantiles"))
     # Sketches of more keys than usual are kept side by side: the other way would be to sort all rows.
+    if then is not None:
+        result = then(result)
     with with_conf(df.sparkSession, {"spark.sql.objectHashAggregate.sortBased.fallbackThreshold": str(SKETCHES_PER_TASK)}):
         return result.collect()
 

@@ -72,7 +72,7 @@ def grouped_quantiles(
     while brackets:
         placement = _Placement(brackets, groups)
         if max(sum(b.rows for b in mine) for mine in brackets.values()) > rows_per_cell:
-            counted = _count_and_sketch(rows, placement)
+            counted = _count_and_sketch(rows, placement, _ranks_of(pending, groups, positions, parts))
             if not sizes:
                 sizes = {g: sum(n for _, n, _ in counted[g]) for g in counted}
                 pending = {g: _ranks(n, positions, parts) for g, n in sizes.items()}
@@ -142,34 +142,59 @@ def _covers(b: Bracket, low: float | None, high: float | None) -> bool:
     )
 
 
-def _count_and_sketch(rows: DataFrame, placement: _Placement) -> dict[int, list[tuple]]:
-    """Per group, ``(cell, rows, quantiles)`` of every cell, quantiles inside brackets only."""
+def _count_and_sketch(rows: DataFrame, placement: _Placement, wanted: str) -> dict[int, list[tuple]]:
+    """Per group, ``(cell, rows, bounds)`` of every cell.
+
+    `wanted` is SQL text of the ranks to find, an array that may use ``total``, the rows of the group.
+    Bounds hold ``(low, high, share)`` for each wanted rank in a cell that was
+    sketched, and are None for other cells: the driver gets no more than it needs.
+    """
     steps = [i / RANK_STEPS for i in range(RANK_STEPS + 1)]
+    lower = f"int(greatest(0, floor(((r - start) / n - {cells.RANK_MARGIN}D) * {RANK_STEPS})))"
+    upper = f"int(least({RANK_STEPS}, ceil(((r - start) / n + {cells.RANK_MARGIN}D) * {RANK_STEPS})))"
+    bounds = f"named_struct('rank', bigint(r), 'low', quantiles[{lower}], 'high', quantiles[{upper}], 'steps', {upper} - {lower})"
+
+    def pick(merged: DataFrame) -> DataFrame:
+        # These windows run over the cells of a group, a few for each bracket.
+        cells_of = Window.partitionBy("g")
+        before = cells_of.orderBy("c").rowsBetween(Window.unboundedPreceding, -1)
+        placed = merged.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0))).withColumn("total", F.sum("n").over(cells_of))
+        inside = f"filter({wanted}, r -> r >= start AND r < start + n)"
+        return placed.selectExpr("g", "c", "n", f"CASE WHEN quantiles IS NOT NULL THEN transform({inside}, r -> {bounds}) END AS bounds")
+
     placed = rows.select("g", "v", F.expr(placement.cell()).alias("c"))
     counted: dict[int, list[tuple]] = {}
-    for row in cells.sketch(placed, "v", ["g", "c"], steps, placement.kept()):
-        counted.setdefault(row["g"], []).append((row["c"], row["n"], row["quantiles"]))
+    for row in cells.sketch(placed, "v", ["g", "c"], steps, placement.kept(), pick):
+        found = row["bounds"] if row["bounds"] is None else {b["rank"]: (b["low"], b["high"], b["steps"]) for b in row["bounds"]}
+        counted.setdefault(row["g"], []).append((row["c"], row["n"], found))
     return {g: sorted(mine, key=lambda r: r[0]) for g, mine in counted.items()}
 
 
+def _ranks_of(pending: dict[int, set[int]], groups: int, positions: range, parts: int) -> str:
+    """SQL text of the ranks to find in a group; before its size is known, of those that follow from ``total``."""
+    if pending:
+        return cells.array_of_group("g", [sorted(map(float, pending.get(g, ()))) for g in range(groups)])
+    numbers = ", ".join(f"{i}L" for i in positions)
+    below = f"((total - 1) * i DIV {parts})"
+    both = f"IF((total - 1) * i % {parts} > 0, array({below}, {below} + 1), array({below}))"
+    return f"array_distinct(flatten(transform(array({numbers}), i -> {both})))"
+
+
 def _tighten(counted: dict, placement: _Placement, pending: dict, found: dict) -> dict[int, set[Bracket]]:
     """Brackets around the ranks that are still open, from exact counts and sketches."""
     brackets: dict[int, set[Bracket]] = {}
     for g, mine in counted.items():
         below = 0
-        for c, n, quantiles in mine:
+        for c, n, bounds in mine:
             for rank in [r for r in pending[g] if below <= r < below + n]:
                 if c % 2:
                     found[g][rank] = placement.cuts[g][c // 2]
                     pending[g].discard(rank)
-                elif quantiles is None:
+                elif bounds is None:
                     brackets.setdefault(g, set()).add(Bracket(*placement.ends(g, c), n))
                 else:
-                    at = (rank - below) / n
-                    lower = max(0, math.floor((at - cells.RANK_MARGIN) * RANK_STEPS))
-                    upper = min(RANK_STEPS, math.ceil((at + cells.RANK_MARGIN) * RANK_STEPS))
-                    low, high = quantiles[lower], quantiles[upper]
-                    expected = 0 if low == high else n * (upper - lower) / RANK_STEPS
+                    low, high, steps = bounds[rank]
+                    expected = 0 if low == high else n * steps / RANK_STEPS
                     brackets.setdefault(g, set()).add(Bracket(low, high, expected))
             below += n
     return brackets
