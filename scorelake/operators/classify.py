@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,11 +63,17 @@ def _value(df: DataFrame, column: str) -> tuple[Column, bool]:
 
 
 def target_types(df: DataFrame, columns: list[str]) -> dict[str, str]:
+    """Type of target per column: continuous, binary or multiclass; see `first_look`."""
+    return first_look(df, columns)[0]
+
+
+def first_look(df: DataFrame, columns: list[str], also: list[Column] = ()) -> tuple[dict[str, str], Row]:
     """Type of target per column: continuous, binary or multiclass.
 
     Continuous if any value is not whole, else binary if at most two values
     occur. Instead of counting distinct values, a second scan looks for one
     that is neither the minimum nor the maximum; neither scan shuffles rows.
+    The first one takes more aggregates along, whose values come back beside the types.
     """
     parts = []
     for i, name in enumerate(columns):
@@ -75,7 +81,7 @@ def target_types(df: DataFrame, columns: list[str]) -> dict[str, str]:
         parts += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
         fraction = F.bool_or(c != F.floor(c)) if fractional else F.lit(False)
         parts.append(fraction.alias(f"fraction{i}"))
-    row = df.agg(*parts).first()
+    row = df.agg(*parts, *also).first()
     result = {name: "continuous" for i, name in enumerate(columns) if row[f"fraction{i}"]}
     whole = [(i, name) for i, name in enumerate(columns) if name not in result]
     if whole:
@@ -88,7 +94,7 @@ def target_types(df: DataFrame, columns: list[str]) -> dict[str, str]:
             ]
         ).first()
         result.update({name: "multiclass" if between[f"m{i}"] else "binary" for i, name in whole})
-    return {name: result[name] for name in columns}
+    return {name: result[name] for name in columns}, row
 
 
 def target_type(df: DataFrame, column: str) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 
@@ -50,21 +50,34 @@ def date_ranges(
     One job counts the rows between cutoffs and finds both ends; the ranges are
     then made from these few numbers.
     """
+    found = df.agg(*date_counts(date_col, cutoffs, datetime_format)).first()
+    return ranges_from(found, cutoffs, datetime_format, strftime, sep)
+
+
+def _steps(cutoffs: list, datetime_format: str) -> list[dt.datetime]:
+    return sorted({_as_date(c, datetime_format) for c in cutoffs})
+
+
+def date_counts(date_col: str, cutoffs: list, datetime_format: str = "%Y-%m-%d") -> list[Column]:
+    """Aggregates that `ranges_from` makes the ranges of: rows between cutoffs and both ends."""
+    d = f"cast(`{date_col}` AS timestamp_ntz)"
+    steps = _steps(cutoffs, datetime_format)
+    place = "0" if not steps else " + ".join(f"int({d} >= {_literal(s)})" for s in steps)
+    rows = [F.expr(f"count_if({d} IS NOT NULL AND {place} = {k}) AS _rows{k}") for k in range(len(steps) + 1)]
+    return [*rows, F.expr(f"min({d}) AS _low"), F.expr(f"max({d}) AS _high")]
+
+
+def ranges_from(
+    found: Row, cutoffs: list, datetime_format: str = "%Y-%m-%d", strftime: str = "%Y%m%d", sep: str = " ~ "
+) -> list[DateRange]:
+    """The ranges of `date_ranges` from its counts."""
+    low, high = found["_low"], found["_high"]
+    if low is None:
+        return []
     given = sorted(cutoffs, key=lambda c: _as_date(c, datetime_format))
     dates = [_as_date(c, datetime_format) for c in given]
-    steps = sorted(set(dates))
-    place = "0" if not steps else " + ".join(f"int(d >= {_literal(s)})" for s in steps)
-    found = (
-        df.select(F.col(f"`{date_col}`").cast("timestamp_ntz").alias("d"))
-        .where("d IS NOT NULL")
-        .groupBy(F.expr(place).alias("place"))
-        .agg(F.count("*").alias("rows"), F.min("d").alias("lo"), F.max("d").alias("hi"))
-        .collect()
-    )
-    if not found:
-        return []
-    low, high = min(r["lo"] for r in found), max(r["hi"] for r in found)
-    counts = {r["place"]: r["rows"] for r in found}
+    steps = _steps(cutoffs, datetime_format)
+    counts = {k: found[f"_rows{k}"] for k in range(len(steps) + 1)}
 
     def rows_between(start: dt.datetime, end: dt.datetime) -> int:
         first = 0 if start <= low else sum(s <= start for s in steps)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.expr import binarize
 from ..operators.binstat import COUNTS, bin_stat
-from ..operators.classify import CLASS_STATS, class_columns, target_types
-from ..operators.dates import RANGE, DateRange, date_ranges, named, numbered
+from ..operators.classify import CLASS_STATS, class_columns, first_look, target_types
+from ..operators.dates import RANGE, DateRange, date_counts, date_ranges, named, numbered, ranges_from
 from ..operators.roc import roc_summary
 from ..sources.scratch import settled
 
@@ -19,10 +19,11 @@ def _settled(df: DataFrame, *columns: str | list[str] | None) -> DataFrame:
     return settled(df.select(*[F.col(f"`{n}`") for n in dict.fromkeys(names)]))
 
 
-def _check_targets(df: DataFrame, label: str, score: str) -> None:
-    types = target_types(df, [label, score])
+def _check_targets(df: DataFrame, label: str, score: str, also: list[Column] = ()) -> Row:
+    types, found = first_look(df, [label, score], also)
     if types[label] != "binary" or types[score] != "continuous":
         raise ValueError("the label must be binary and the score continuous")
+    return found
 
 
 def _model_stats(df, label, score, pos_label, threshold, weight, precision, keys) -> DataFrame:
@@ -128,8 +129,10 @@ def binary_report_by_date(
         )
     df = _settled(df, label, score, weight, bin_x, date_col)
     if check_types:
-        _check_targets(df, label, score)
-    ranges = date_ranges(df, date_col, cutoffs, datetime_format, strftime, date_sep)
+        found = _check_targets(df, label, score, date_counts(date_col, cutoffs, datetime_format))
+        ranges = ranges_from(found, cutoffs, datetime_format, strftime, date_sep)
+    else:
+        ranges = date_ranges(df, date_col, cutoffs, datetime_format, strftime, date_sep)
     dated = numbered(df, date_col, ranges)
     stats = named(_model_stats(dated, label, score, pos_label, threshold, weight, precision, [RANGE]), ranges)
     # Without any range the tables are empty, with the same columns.
