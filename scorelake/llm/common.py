@@ -15,8 +15,8 @@ from ..sources.scratch import scratch_path
 
 #: Rows per Arrow batch: with very long texts, a batch still fits a worker.
 BATCH_ROWS = 500
-#: Bytes of text that one numpy pass covers.
-PASS_BYTES = 1 << 20
+#: Bytes of text that one numpy pass covers: its arrays stay in the processor's cache.
+PASS_BYTES = 1 << 18
 
 
 def ship(spark: SparkSession) -> None:

@@ -8,8 +8,8 @@ radius are verified by the exact weighted similarity of the shingles (summed
 minima by summed maxima of their counts).
 
 A window that reaches the similarity holds that share of an item's shingles at
-least, so only windows with as many shingles of the benchmark are hashed: a lossless
-filter that spares almost all text.
+least, so only windows with as many shingles of items of their size are hashed: a
+lossless filter that spares almost all text.
 """
 
 from __future__ import annotations
@@ -81,7 +81,7 @@ class Index:
     def __init__(self, texts: list[str], least: float = SIMILARITY, radius: int = RADIUS):
         data, offsets = buffers(pa.array(texts, pa.large_string()))
         words, bounds = word_hashes(data, offsets)
-        self.least, self.radius = least, radius
+        self.least, self.radius, self.blocks = least, radius, blocks(radius)
         self.sizes: dict[int, list[int]] = {}
         self.items: dict[int, np.ndarray] = {}
         self.prints: dict[int, int] = {}
@@ -97,43 +97,53 @@ class Index:
             self.sizes.setdefault(len(own), []).append(i)
             known.setdefault(width, []).append(self.items[i])
         self.known = {w: np.unique(np.concatenate(s)) for w, s in known.items()}
+        # For each shingle, the sizes of the items that hold it.
+        self.found_in: dict[int, dict[int, list[int]]] = {w: {} for w in known}
+        for size, items in sorted(self.sizes.items()):
+            for key in np.unique(np.concatenate([self.items[i] for i in items])).tolist():
+                self.found_in[min(SHINGLE, size)].setdefault(key, []).append(size)
         for n, items in self.sizes.items():
-            self.tables[n] = [{} for _ in blocks(radius)]
+            self.tables[n] = [{} for _ in self.blocks]
             for i in items:
-                for table, (shift, width) in zip(self.tables[n], blocks(radius)):
+                for table, (shift, width) in zip(self.tables[n], self.blocks):
                     table.setdefault(self.prints[i] >> shift & (1 << width) - 1, []).append(i)
 
+    def windows(self, places: list[int], size: int, width: int, n: int) -> list[int]:
+        """Starts of the windows that hold enough of the given places of shingles to reach the similarity."""
+        span = min(size, n) - width + 1
+        need = max(1, int(np.ceil(self.least * (size - width + 1) - 1e-9)))
+        starts: list[int] = []
+        for first, last in zip(places, places[need - 1 :]):
+            low = max(last - span + 1, starts[-1] + 1 if starts else 0, 0)
+            starts.extend(range(low, min(first, n - width + 1 - span) + 1))
+        return starts
+
     def search(self, words: np.ndarray, hits: dict[int, np.ndarray]) -> list[tuple[int, int, int, float]]:
         """(item, first word, words, similarity) of the best window of each item that a text holds."""
         best: dict[int, tuple[float, int, int]] = {}
         n = len(words)
-        for width, flags in hits.items():
-            if not flags.any():
-                continue
+        for width, at in hits.items():
             mine = shingles(words, width)
-            counts = np.concatenate([[0], np.cumsum(flags)])
-            for size, items in self.sizes.items():
-                if min(SHINGLE, size) != width:
-                    continue
+            places: dict[int, list[int]] = {}
+            for place, key in zip(at.tolist(), mine[at].tolist()):
+                for size in self.found_in[width][key]:
+                    places.setdefault(size, []).append(place)
+            for size, own in places.items():
                 span = min(size, n) - width + 1
-                if span <= 0:
+                starts = self.windows(own, size, width, n) if span > 0 else []
+                if not starts:
                     continue
-                need = max(1, int(np.ceil(self.least * (size - width + 1) - 1e-9)))
-                if counts[-1] < need:
-                    continue
-                windows = np.flatnonzero(counts[span:] - counts[:-span] >= need)
-                for w in windows.tolist():
-                    part = mine[w : w + span]
-                    mark = int(simhash(signs(part).sum(axis=0)[None])[0])
+                low, begin = starts[0], np.array(starts) - starts[0]
+                sums = np.zeros((starts[-1] + span - low + 1, BITS), np.int32)
+                np.cumsum(signs(mine[low : starts[-1] + span]), axis=0, out=sums[1:])
+                for w, mark in zip(starts, simhash(sums[begin + span] - sums[begin]).tolist()):
                     seen = set()
-                    for table, (shift, bits) in zip(self.tables[size], blocks(self.radius)):
+                    for table, (shift, bits) in zip(self.tables[size], self.blocks):
                         seen.update(table.get(mark >> shift & (1 << bits) - 1, ()))
                     for i in sorted(seen):
-                        if (mark ^ self.prints[i]).bit_count() > self.radius:
-                            continue
-                        if i in best and best[i][0] == 1:
+                        if (mark ^ self.prints[i]).bit_count() > self.radius or (i in best and best[i][0] == 1):
                             continue
-                        s = similarity(part, self.items[i])
+                        s = similarity(mine[w : w + span], self.items[i])
                         if s >= self.least and (i not in best or s > best[i][0]):
                             best[i] = (s, w, min(size, n))
         return [(i, w, size, s) for i, (s, w, size) in sorted(best.items())]
@@ -148,7 +158,7 @@ class Index:
         sums = {w: np.concatenate([[0], np.cumsum(f)]) for w, f in flags.items()}
         out = []
         for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
-            some = {w: flags[w][a : b - w + 1] for w in flags if b - a >= w and sums[w][b - w + 1] > sums[w][a]}
+            some = {w: np.flatnonzero(flags[w][a : b - w + 1]) for w in flags if b - a >= w and sums[w][b - w + 1] > sums[w][a]}
             out.append(self.search(words[a:b], some) if some else [])
         return out
 

@@ -20,14 +20,17 @@ def grams(w, size):
 
 def brute(docs, items):
     out = []
+    targets = [(i, words(t)) for i, t in items]
     for doc_id, text in docs:
         own = words(text)
-        for item_id, item in items:
-            other = words(item)
+        have = {k: set(grams(own, k)) for k in range(1, 6)}
+        for item_id, other in targets:
             n, size = len(other), min(5, len(other))
             if not n or len(own) < size or item_id is None:
                 continue
             target, best = grams(other, size), (0, 0)
+            if have[size].isdisjoint(target):
+                continue  # no window shares anything
             for a in range(max(1, len(own) - n + 1)):
                 mine = grams(own[a : a + n], size)
                 s = sum((mine & target).values()) / sum((mine | target).values())
