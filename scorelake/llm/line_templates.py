@@ -50,15 +50,19 @@ def repeats(docs: DataFrame, least: int = LEAST_TOKENS, depth: int = DEPTH, sect
     # Null ids come first; only lines of leaves with several documents go on.
     number = F.coalesce("doc_id", F.lit(-(2**63)))
     found = found.withColumn("number", number)
-    several = lambda df, key: df.groupBy(key).agg(F.min("number").alias("first"), F.max("number").alias("last")).where("first < last")
-    shared = found.join(several(found, "leaf").select("leaf"), "leaf")
+
+    def several(df: DataFrame, key: str) -> DataFrame:
+        """Keys of several documents. A written table, so that the join with it can be split where a key is frequent."""
+        ends = df.groupBy(key).agg(F.min("number").alias("first"), F.max("number").alias("last"))
+        return stored(ends.where("first < last").select(key, "first"), f"several-{key}")
+
+    shared = found.join(several(found, "leaf").drop("first"), "leaf")
     whole = F.xxhash64(F.lit(0), "leaf", "s1", "s2", "s3")
     parts = [F.xxhash64(F.lit(i + 1), "leaf", *(s for j, s in enumerate(("s1", "s2", "s3")) if j != i)) for i in range(3)]
     templates = F.when(F.col("n") >= sectioned, F.array(whole, *parts)).otherwise(F.array(whole))
     keyed = stored(shared.select("doc_id", "mark", "line", "number", templates.alias("templates")), "templates")
     placed = keyed.select("doc_id", "mark", "line", "number", F.explode("templates").alias("template"))
-    recurring = several(placed, "template").select("template", "first")
-    later = placed.join(recurring, "template").where("number > first")
+    later = placed.join(several(placed, "template"), "template").where("number > first")
     # A line meets up to four templates: one row for each line, then one for each document.
     return later.groupBy("doc_id", "mark").agg(F.collect_set("line").alias("dropped"))
 
