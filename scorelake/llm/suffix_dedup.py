@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Prefix, buffers, mix, passes, ship, stored, text_of
+from .common import Prefix, buffers, passes, ship, stored, text_of
 
 WINDOW, CORE = 200, 32
 #: Depth in bytes to which multikey quicksort goes.

@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from scorelake.llm.suffix_dedup import blind_trie, deep_shallow, merged, stretches, without_repeats
+from scorelake.llm.suffix_dedup import SEGMENT, blind_trie, deep_shallow, merged, segments, stretches, without_repeats
 
 
 def shared(a, b):
@@ -55,6 +55,16 @@ def test_equal_windows_have_equal_anchors():
     assert all(len(v) == 1 for v in seen.values())
 
 
+def test_segments_of_a_very_long_text_hold_every_window_once():
+    size = 2 * SEGMENT + 12_345
+    data = np.resize(np.arange(251, dtype=np.uint8), size)
+    seen = 0
+    for doc, skip, part, bounds in segments(data, np.array([0, size]), 200):
+        assert doc == 0 and skip == seen and (part == data[skip : skip + len(part)]).all()
+        seen += len(part) - 199
+    assert seen == size - 199
+
+
 def brute(texts, window):
     raw = [(t or "").encode() for t in texts]
     count = {}
