@@ -20,4 +20,6 @@ def test_entry_points(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() == 5
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    # Queries of the suite all have SQL; others may be tested against brute force instead.
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) <= set(entry.oracle_sql())
