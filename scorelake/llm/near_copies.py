@@ -91,7 +91,9 @@ def links(values: DataFrame, radius: int = RADIUS) -> DataFrame:
     if radius != 2:
         raise ValueError("the balls of radius one meet for a distance of two")
     masks = F.array(*[F.lit(m).cast("long") for m in ball()])
-    entries = values.select("fp", F.explode(masks).alias("mask")).select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("entry"))
+    # Each row becomes 65, so the rows are dealt out to all tasks first.
+    tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entries = values.repartition(tasks, "fp").select("fp", F.explode(masks).alias("mask")).select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("entry"))
     table = entries.groupBy("entry").agg(F.min("fp").alias("least"), F.max("fp").alias("most"), F.collect_set("fp").alias("members"))
     met = table.where(F.col("least") != F.col("most")).select("least", F.explode("members").alias("fp")).where("fp != least")
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("least"))) <= radius
@@ -112,7 +114,8 @@ def components(edges: DataFrame) -> DataFrame:
             both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         else:
             both = pairs
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
+        # A written table, so that the join with it can be split where a vertex has very many neighbours.
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u")), "least")
         joined = both.join(least, "u")
         if large:
             out = joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -120,7 +123,6 @@ def components(edges: DataFrame) -> DataFrame:
             out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         return out.where("u != v").distinct()
 
-    spark = edges.sparkSession
     mark = None
     while True:
         now = stored(star(star(now, True), False), "edges")
@@ -144,7 +146,7 @@ def with_groups(docs: DataFrame) -> DataFrame:
     roots = components(links(values.select("fp")))
     named = values.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = stored(named, "roots")
-    first = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    first = stored(named.groupBy("root").agg(F.min("first").alias("component_id")), "components")
     known = named.select("fp", "root").join(first, "root")
     return marked.join(known, "fp").select("doc_id", "mark", "fp", "root", "component_id")
 
