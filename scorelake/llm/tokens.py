@@ -3,8 +3,10 @@
 The tokenizer splits a text into pieces before it merges bytes, and no piece goes
 over a space that precedes a solid character or over a lone line feed. So texts are
 cut there, every distinct piece is encoded once by the tokenizers library, and the
-ids of a text are those of its pieces in a row. Texts with other white space or
-with a special token's string are encoded whole.
+ids of a text are those of its pieces in a row. A piece of letters only is not
+split further and goes straight to the library's BPE model. Texts with other white space or
+with a special token's string are encoded whole, and so are all texts if the
+tokenizer's file is of another kind.
 """
 
 from __future__ import annotations
@@ -28,16 +30,34 @@ def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_alphabet() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level model: its own if it can be seen, else one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Pieces(dict):
     """Ids of pieces as little-endian unsigned 32-bit bytes; a missing one is encoded."""
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer, self.old = tokenizer, {}
+        self.tokenizer, self.model, self.old = tokenizer, tokenizer.model, {}
+        self.alphabet = byte_alphabet()
+        self.space = self.alphabet[32]
+        before = tokenizer.pre_tokenizer
+        self.byte_level = tokenizer.normalizer is None and type(before).__name__ == "ByteLevel" and not before.add_prefix_space
         self[""] = b""
 
     def encode(self, text: str) -> bytes:
-        ids = array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
+        space = text[0] == " "
+        word = text[1:] if space else text
+        # Letters up to Latin Extended-B are letters for every version of Unicode.
+        if self.byte_level and word.isalpha() and (word.isascii() or max(word) < "\u0250"):
+            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
+            ids = array.array("I", [t.id for t in self.model.tokenize(self.space + spelled if space else spelled)])
+        else:
+            ids = array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
         if sys.byteorder != "little":
             ids.byteswap()
         return ids.tobytes()
@@ -81,6 +101,6 @@ def encode(text: str | None, pieces: Pieces, end_id: int | None = END_ID) -> byt
     """The ids of a text as little-endian unsigned 32-bit bytes, with the end id."""
     text = text or ""
     end = b"" if end_id is None else end_id.to_bytes(4, "little")
-    if plain(text):
+    if pieces.byte_level and plain(text):
         return b"".join(map(pieces.__getitem__, text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0"))) + end
     return (pieces.encode(text) if text else b"") + end

@@ -21,11 +21,26 @@ def test_pieces_equal_the_whole_text():
     parts = [" ", "  ", "\n", "\t", "a", "word", "It's", ".", "...", ",", "12", "é", "İ", "中文", "\x00", "\x1c",
              " ", "\x85", "<|endoftext|>", "'ll", "é.", "_.", "½.", "x."]
     known = pieces_of(tokenizer_path())
+    assert known.byte_level
     for _ in range(3000):
         text = "".join(random.choice(parts) for _ in range(random.randint(0, 12)))
         assert np.frombuffer(encode(text, known), "<u4").tolist() == ids_of(text), repr(text)
 
 
+def test_a_tokenizer_of_another_kind_gets_whole_texts():
+    other = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    known = pieces_of(tokenizer_path("word_bpe_49k.json"))
+    assert not known.byte_level
+    for text in ("A few  words, and\nIT'S more.", "x", " y"):
+        assert np.frombuffer(encode(text, known, None), "<u4").tolist() == other.encode(text, add_special_tokens=False).ids
+
+
+def test_letters_of_many_kinds():
+    known = pieces_of(tokenizer_path())
+    for text in ("Straße naïve", "éÉèç ñandú ŒUVRE", "Ωmega мир", "ǅ ɐ a\u0301", "ªº aª"):
+        assert np.frombuffer(encode(text, known), "<u4").tolist() == ids_of(text), text
+
+
 @pytest.mark.parametrize("top", [1, 2, 300, 50_000, 2**32])
 def test_blocks_round_trip(top):
     rng = np.random.default_rng(top)
