@@ -161,10 +161,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
     return with_groups(docs).select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with one of each group: its least doc_id, of repeated ids the least digest of the text."""
+def first_of_groups(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with the first one of each root of ``found`` (doc_id, mark, root)."""
     names = docs.columns
-    found = with_groups(docs.select("doc_id", "text"))
     # A null id stands behind all others.
     order = found.select("root", F.struct(F.isnull("doc_id").alias("unknown"), "doc_id", "mark").alias("key"))
     kept = order.groupBy("root").agg(F.min("key").alias("key")).select(F.col("key.doc_id").alias("_id"), F.col("key.mark").alias("_digest"))
@@ -172,3 +171,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     same = docs["doc_id"].eqNullSafe(kept["_id"]) & (mark == kept["_digest"])
     held = docs.join(kept, same).select(*[docs[f"`{c}`"] for c in names], "_id", "_digest")
     return held.dropDuplicates(["_id", "_digest"]).select(*[F.col(f"`{c}`") for c in names])
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with one of each group: its least doc_id, of repeated ids the least digest of the text."""
+    return first_of_groups(docs, with_groups(docs.select("doc_id", "text")))
