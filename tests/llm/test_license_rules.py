@@ -91,3 +91,27 @@ def test_specific_rules_win(spark):
 def test_no_python_and_no_shuffle(docs):
     plan = scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Exchange|Join", plan)
+
+
+def test_bodies_headers_and_versions_without_a_gate_word(spark):
+    from scorelake.llm.license_rules import SIGNATURES
+
+    cases = [
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "mit"),
+        ("Redistribution and use in source and binary forms, with or without modification, are permitted provided", "bsd"),
+        ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products", "bsd-3-clause"),
+        ("Apache License v2.0", "apache-2.0"),
+        ("licensed under GPL v3", "gpl-3.0"),
+        ("BSD 3-Clause", "bsd-3-clause"),
+        ("see Apache 2.0 here", "apache-2.0"),
+        ("SPDX-License-Identifier: ISC", "isc"),
+    ]
+    plain = [(re.sub(r"\(\?:[^()]*\)\?|\?", "", w.replace("(?:[^ ]+ ){1,16}", "x ").replace("(?:only|or later)", "only").replace("[1234] [05]", "4 0")), label) for label, _, w in SIGNATURES]
+    rows = [(i, t) for i, (t, _) in enumerate([*cases, *plain])]
+    df = scan(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r["doc_id"]: r["labels"].split(",") for r in df.collect()}
+    missing = [(t, label, got[i]) for i, (t, label) in enumerate(cases) if label not in got[i]]
+    assert not missing
+    check(df.drop("detections"), rows)
+    # Every signature is found by itself or lies in a longer one.
+    assert all(any(got[len(cases) + i]) for i in range(len(plain)))
