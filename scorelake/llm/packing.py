@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ship, stored, text_of
-from .tokens import END_ID, encode, pieces_of, tokenizer_path
+from .tokens import END_ID, encode_all, pieces_of, tokenizer_path
 
 #: Pieces of one length that one task ranks.
 RANKED_TOGETHER = 20_000
@@ -102,10 +102,12 @@ def pieces(docs: DataFrame, size: int = 1024, path: str | None = None, end_id: i
         known = pieces_of(path)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = encode(text, known, end_id)
-                for k, (start, n) in enumerate(cut(len(ids) // 4, size)):
-                    rows.append((doc_id, k, start, n, zlib.crc32(ids[4 * start : 4 * (start + n)])))
+            flat, bounds = encode_all(batch.column(1), known, end_id)
+            raw = memoryview(flat.astype("<u4").tobytes())
+            for doc_id, begin, end in zip(batch.column(0).to_pylist(), bounds.tolist(), bounds[1:].tolist()):
+                for k, (start, n) in enumerate(cut(end - begin, size)):
+                    at = 4 * (begin + start)
+                    rows.append((doc_id, k, start, n, zlib.crc32(raw[at : at + 4 * n])))
             columns = list(zip(*rows)) or [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import scratch_path
 from .common import ship, text_of
-from .tokens import END_ID, encode, pieces_of, tokenizer_path
+from .tokens import END_ID, encode_all, pieces_of, tokenizer_path
 
 MAGIC = b"PFORIDS1"
 BLOCK = 1024
@@ -45,8 +45,8 @@ def pack_block(ids: np.ndarray) -> bytes:
     rest = (ids - np.uint32(low)).astype(np.uint32)
     width = int(np.partition(rest, k := int(PERCENTILE * (len(rest) - 1)))[k]).bit_length()
     late = np.flatnonzero(rest >> np.uint32(width)) if width < 32 else np.zeros(0, np.int64)
-    bits = np.unpackbits(rest.astype("<u4").view(np.uint8), bitorder="little").reshape(-1, 32)[:, :width]
-    packed = np.packbits(bits.reshape(-1), bitorder="little").tobytes()
+    shifts = np.arange(width, dtype=np.uint32)
+    packed = np.packbits((rest[:, None] >> shifts & np.uint32(1)).astype(np.uint8), bitorder="little").tobytes()
     high = (rest[late] >> np.uint32(width % 32)).astype("<u4")
     return struct.pack(HEAD, low, width, len(ids), len(late)) + packed + late.astype("<u2").tobytes() + high.tobytes()
 
@@ -69,7 +69,7 @@ class Writer:
     """One file; ids go out as soon as a block is full."""
 
     def __init__(self, out):
-        self.out, self.at, self.rest, self.ids = out, 0, b"", 0
+        self.out, self.at, self.rest, self.ids = out, 0, np.zeros(0, np.uint32), 0
         self.starts, self.counts, self.docs = [], [], []
         self._put(MAGIC)
 
@@ -77,24 +77,23 @@ class Writer:
         self.out.write(data)
         self.at += len(data)
 
-    def _blocks(self, whole: bool) -> None:
-        step, at = 4 * BLOCK, 0
-        while len(self.rest) - at >= (1 if whole else step):
+    def _blocks(self, ids: np.ndarray) -> None:
+        for at in range(0, len(ids), BLOCK):
             self.starts.append(self.at)
-            self._put(pack_block(np.frombuffer(self.rest[at : at + step], "<u4")))
-            at += step
-        self.rest = self.rest[at:]
-
-    def add(self, doc_id: int | None, ids: bytes) -> None:
-        self.docs.append(doc_id)
-        self.counts.append(len(ids) // 4)
-        self.ids += len(ids) // 4
-        self.rest += ids
-        if len(self.rest) >= 64 * BLOCK:
-            self._blocks(False)
+            self._put(pack_block(ids[at : at + BLOCK]))
+
+    def add(self, docs: list, ids: np.ndarray, bounds: np.ndarray) -> None:
+        """The ids of some documents in a row, and where each begins and ends."""
+        self.docs += docs
+        self.counts += np.diff(bounds).tolist()
+        self.ids += len(ids)
+        ids = np.concatenate([self.rest, ids])
+        whole = len(ids) // BLOCK * BLOCK
+        self._blocks(ids[:whole])
+        self.rest = ids[whole:]
 
     def close(self) -> None:
-        self._blocks(True)
+        self._blocks(self.rest)
         index = self.at
         self._put(np.array(self.starts, "<u8").tobytes())
         self._put(np.array(self.counts, "<u4").tobytes())
@@ -156,12 +155,13 @@ def write_ids(docs: DataFrame, folder: str, path: str | None = None, end_id: int
         name = f"ids-{context.partitionId():06d}.pfor"
         trial = f"{root}/_{name}.{uuid.uuid4().hex}"
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if writer is None:
-                    fs.create_dir(root, recursive=True)
-                    out = fs.open_output_stream(trial)
-                    writer, lowest = Writer(out), doc_id
-                writer.add(doc_id, encode(text, pieces, end_id))
+            names = batch.column(0).to_pylist()
+            if names and writer is None:
+                fs.create_dir(root, recursive=True)
+                out = fs.open_output_stream(trial)
+                writer, lowest = Writer(out), names[0]
+            if names:
+                writer.add(names, *encode_all(batch.column(1), pieces, end_id))
         if writer is not None:
             writer.close()
             out.close()

@@ -1,26 +1,30 @@
 """Token ids of whole texts by a public byte-level BPE tokenizer.
 
-The tokenizer splits a text into pieces before it merges bytes, and no piece goes
-over a space that precedes a solid character or over a lone line feed. So texts are
-cut there, every distinct piece is encoded once by the tokenizers library, and the
-ids of a text are those of its pieces in a row. A piece of letters only is not
-split further and goes straight to the library's BPE model. Texts with other white space or
-with a special token's string are encoded whole, and so are all texts if the
-tokenizer's file is of another kind.
+The tokenizer splits a text before it merges bytes, and none of its splits goes over
+the place where white space, of any kind or length, follows a solid character, nor over a change between letters,
+digits and other characters. So texts are cut there. The different pieces of a batch
+are found by Arrow, each is encoded once by the tokenizers library, and the ids of a
+text are those of its pieces in a row. All texts are encoded whole if the tokenizer's
+file is of another kind.
 """
 
 from __future__ import annotations
 
-import array
+import itertools
+import os
 import sys
 import types
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from .common import SPACE, buffers
+
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-#: Pieces kept by a worker process, twice at most.
+#: Pieces that a worker process keeps; beyond that it begins anew.
 KEPT_PIECES = 400_000
-#: White space beside the space and the line feed, as Python or Unicode has it.
-OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0     　​᠎﻿" + "".join(map(chr, range(0x2000, 0x200B)))
 
 
 def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
@@ -37,70 +41,199 @@ def byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-class Pieces(dict):
-    """Ids of pieces as little-endian unsigned 32-bit bytes; a missing one is encoded."""
+def doubtful(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character that ends before each place may be white space itself: a control, or one of Unicode's spaces."""
+    one = data[at - 1]
+    out = (one >= 0x1C) & (one <= 0x1F)
+    wide = np.flatnonzero(one >= 0x80)
+    if len(wide):
+        here = at[wide]
+        c, b, a = data[here - 1], data[here - 2], data[np.maximum(here - 3, 0)]
+        general = (a == 0xE2) & (b == 0x80) & ((c <= 0x8F) | (c >= 0xA8))
+        other = (a == 0xE2) & (b == 0x81) | (a == 0xE1) & ((b == 0x9A) | (b == 0xA0)) | (a == 0xE3) & (b == 0x80) | (a == 0xEF) & (b == 0xBB)
+        out[wide] = (b == 0xC2) | general | other
+    return out
+
+
+def kinds() -> np.ndarray:
+    """By byte: 1 a letter, 2 a digit, 4 another ASCII character that is solid, 8 the lead byte of a two-byte Latin letter, 0 anything else."""
+    table = np.zeros(256, np.uint8)
+    table[33:127] = 4
+    table[48:58] = 2
+    table[65:91] = table[97:123] = 1
+    table[0xC4:0xC9] = 8  # U+0100 to U+023F
+    return table
+
+
+KINDS = kinds()
+
+
+def cut_pieces(data: np.ndarray, offsets: np.ndarray, split_solid: bool = True) -> np.ndarray:
+    """Where the pieces of all texts begin: at texts that are not empty, and where white space follows a solid character.
+
+    With ``split_solid`` also between letters, digits and other ASCII characters, as the tokenizer
+    does, but for the character after an apostrophe, which may be a contraction.
+    Without, only spaces count as white space to cut at.
+    """
+    n = len(data)
+    if not n:
+        return np.zeros(0, np.int64)
+    space = SPACE[data]
+    edge = np.zeros(n, bool)
+    if split_solid:
+        np.greater(space[1:], space[:-1], out=edge[1:])
+        kind = KINDS[data]
+        # Letters of two bytes: À to ɏ but × and ÷; the second byte is of the same kind.
+        lead = np.flatnonzero((data == 0xC3) | (kind == 8))
+        lead = lead[lead + 1 < n]
+        lead = lead[(data[lead + 1] >= 0x80) & ((data[lead] != 0xC3) | (data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7))]
+        kind[kind == 8] = 0
+        kind[lead] = kind[lead + 1] = 1
+        one, other = kind[:-1], kind[1:]
+        edge[1:] |= (one != other) & (one > 0) & (other > 0) & (data[:-1] != 39)
+    else:
+        edge[1:] = (data[1:] == 32) & ~space[:-1]
+    edge[offsets[:-1][np.diff(offsets) > 0]] = False
+    at = np.flatnonzero(edge)
+    edge[at[doubtful(data, at)]] = False
+    edge[offsets[:-1][np.diff(offsets) > 0]] = True
+    return np.flatnonzero(edge)
+
+
+def text_slices(data: np.ndarray, starts: np.ndarray) -> pa.LargeStringArray:
+    """The slices of ``data`` that begin at ``starts`` and end at the next start, without a copy."""
+    edges = np.append(starts, len(data)).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def gathered(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` that begin at ``starts``, one behind the other."""
+    ends = np.cumsum(counts)
+    return flat[np.repeat(starts - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+class Ragged:
+    """Rows of numbers of different lengths, one behind the other in an array that grows."""
+
+    def __init__(self, dtype):
+        self.flat, self.used = np.zeros(1 << 12, dtype), 0
+        self.starts, self.counts = [], []
+
+    def extend(self, rows: list) -> None:
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        total = int(sizes.sum())
+        while self.used + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used : self.used + total] = np.fromiter(itertools.chain.from_iterable(rows), self.flat.dtype, total)
+        self.starts.append(self.used + np.cumsum(sizes) - sizes)
+        self.counts.append(sizes)
+        self.used += total
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows of these numbers in a row, and the length of each."""
+        if len(self.starts) > 1:
+            self.starts, self.counts = [np.concatenate(self.starts)], [np.concatenate(self.counts)]
+        if not len(numbers):
+            return self.flat[:0], np.zeros(0, np.int64)
+        counts = self.counts[0][numbers]
+        return gathered(self.flat, self.starts[0][numbers], counts), counts
+
+
+class Pieces:
+    """The pieces that a worker process has met, by number, with their ids."""
 
     def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer, self.model, self.old = tokenizer, tokenizer.model, {}
+        self.tokenizer, self.model = tokenizer, tokenizer.model
         self.alphabet = byte_alphabet()
         self.space = self.alphabet[32]
         before = tokenizer.pre_tokenizer
         self.byte_level = tokenizer.normalizer is None and type(before).__name__ == "ByteLevel" and not before.add_prefix_space
-        self[""] = b""
-
-    def encode(self, text: str) -> bytes:
-        space = text[0] == " "
-        word = text[1:] if space else text
-        # Letters up to Latin Extended-B are letters for every version of Unicode.
-        if self.byte_level and word.isalpha() and (word.isascii() or max(word) < "\u0250"):
-            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
-            ids = array.array("I", [t.id for t in self.model.tokenize(self.space + spelled if space else spelled)])
-        else:
-            ids = array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids)
-        if sys.byteorder != "little":
-            ids.byteswap()
-        return ids.tobytes()
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) > KEPT_PIECES:
-            self.old = dict(self)
-            self.clear()
-            self[""] = b""
-        ids = self.old.get(piece)
-        if ids is None:
-            # A lone full stop or comma after a letter or digit is a piece of its own.
-            if len(piece) > 2 and piece[-1] in ".," and piece[-2].isalnum():
-                ids = self[piece[:-1]] + self[piece[-1]]
+        # Strings that are tokens of their own wherever they stand in a text.
+        self.special = [] if tokenizer.encode_special_tokens else [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids = Ragged(np.uint32)
+
+    def encode_new(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of each piece. One of letters and perhaps a space is split no further and goes straight to the library's BPE model."""
+        out: list = [None] * len(pieces)
+        rest = []
+        for i, piece in enumerate(pieces):
+            space = piece[0] == " "
+            word = piece[1:] if space else piece
+            # Letters up to Latin Extended-B are letters for every version of Unicode.
+            if self.byte_level and word.isalpha() and (word.isascii() or max(word) < "\u0250"):
+                spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
+                out[i] = [t.id for t in self.model.tokenize(self.space + spelled if space else spelled)]
             else:
-                ids = self.encode(piece)
-        self[piece] = ids
-        return ids
+                rest.append(i)
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False) if rest else ()):
+            out[i] = e.ids
+        return out
 
+    def numbers(self, pieces: list[str]) -> np.ndarray:
+        """The number of each piece; new ones are encoded."""
+        found = list(map(self.known.get, pieces))
+        if None in found:
+            if len(self.known) > KEPT_PIECES:
+                self.clear()
+                found = [None] * len(pieces)
+            new = [p for p, number in zip(pieces, found) if number is None]
+            self.ids.extend(self.encode_new(new))
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            found = list(map(self.known.get, pieces))
+        return np.array(found, np.int64)
 
-def pieces_of(path: str) -> Pieces:
-    """The pieces this worker process has met; they outlive a task."""
-    home = sys.modules.setdefault("scorelake_pieces", types.ModuleType("scorelake_pieces"))
-    if path not in home.__dict__:
-        from tokenizers import Tokenizer
 
-        home.__dict__[path] = Pieces(Tokenizer.from_file(path))
-    return home.__dict__[path]
+def kept(name: str, make):
+    """What this worker process keeps under a name for later tasks, made on first use."""
+    home = sys.modules.setdefault("scorelake_kept", types.ModuleType("scorelake_kept")).__dict__
+    if name not in home:
+        home[name] = make()
+    return home[name]
+
 
+def load_tokenizer(path: str):
+    # One thread a task: Spark runs a task on every core.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
 
-def plain(text: str) -> bool:
-    """Whether all white space is single spaces and line feeds inside the text."""
-    if len(text) == 0 or text[0] in " \n" or text[-1] in " \n" or "\0" in text or "<|" in text:
-        return False
-    if "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
-        return False
-    return not any(c in text for c in OTHER_SPACE)
+    return Tokenizer.from_file(path)
+
+
+def pieces_of(path: str) -> Pieces:
+    """The pieces this worker process has met; they outlive a task."""
+    return kept(f"pieces {path}", lambda: Pieces(load_tokenizer(path)))
+
+
+def numbered(data: np.ndarray, starts: np.ndarray, pieces) -> np.ndarray:
+    """The number that ``pieces`` gives each slice of ``data``."""
+    coded = text_slices(data, starts).dictionary_encode()
+    return pieces.numbers(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy(zero_copy_only=False)] if len(starts) else np.zeros(0, np.int64)
+
+
+def encode_all(texts: pa.Array, pieces: Pieces, end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts in a row, each with the end id behind it, and where each text's ids begin and end. Null is empty."""
+    data, offsets = buffers(texts)
+    starts = cut_pieces(data, offsets) if pieces.byte_level else offsets[:-1][np.diff(offsets) > 0]
+    for text in pieces.special if pieces.byte_level else ():
+        # A text with such a string is one piece.
+        found = pc.fill_null(pc.match_substring(texts, text), False).to_numpy(zero_copy_only=False)
+        if found.any():
+            owner = np.searchsorted(offsets, starts, "right") - 1
+            starts = starts[~found[owner] | (starts == offsets[owner])]
+    numbers = numbered(data, starts, pieces)
+    ids, counts = pieces.ids.take(numbers)
+    # Ids before each text, from the pieces before it.
+    sums = np.concatenate([[0], np.cumsum(counts)])
+    bounds = sums[np.searchsorted(starts, offsets)]
+    if end_id is None:
+        return ids, bounds
+    return np.insert(ids, bounds[1:], np.uint32(end_id)), bounds + np.arange(len(bounds))
 
 
 def encode(text: str | None, pieces: Pieces, end_id: int | None = END_ID) -> bytes:
     """The ids of a text as little-endian unsigned 32-bit bytes, with the end id."""
-    text = text or ""
-    end = b"" if end_id is None else end_id.to_bytes(4, "little")
-    if pieces.byte_level and plain(text):
-        return b"".join(map(pieces.__getitem__, text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0"))) + end
-    return (pieces.encode(text) if text else b"") + end
+    return encode_all(pa.array([text], pa.string()), pieces, end_id)[0].astype("<u4").tobytes()
