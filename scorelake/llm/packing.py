@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ship, stored, text_of
-from .tokens import END_ID, encode_all, pieces_of, tokenizer_path
+from .tokens import END_ID, encode_all, larger, pieces_of, tokenizer_path
 
 #: Pieces of one length that one task ranks.
 RANKED_TOGETHER = 20_000
@@ -100,7 +100,7 @@ def pieces(docs: DataFrame, size: int = 1024, path: str | None = None, end_id: i
 
     def split(batches):
         known = pieces_of(path)
-        for batch in batches:
+        for batch in larger(batches):
             rows = []
             flat, bounds = encode_all(batch.column(1), known, end_id)
             raw = memoryview(flat.astype("<u4").tobytes())

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import scratch_path
 from .common import ship, text_of
-from .tokens import END_ID, encode_all, pieces_of, tokenizer_path
+from .tokens import END_ID, encode_all, larger, pieces_of, tokenizer_path
 
 MAGIC = b"PFORIDS1"
 BLOCK = 1024
@@ -154,7 +154,7 @@ def write_ids(docs: DataFrame, folder: str, path: str | None = None, end_id: int
         pieces, writer, out, lowest = pieces_of(path), None, None, None
         name = f"ids-{context.partitionId():06d}.pfor"
         trial = f"{root}/_{name}.{uuid.uuid4().hex}"
-        for batch in batches:
+        for batch in larger(batches):
             names = batch.column(0).to_pylist()
             if names and writer is None:
                 fs.create_dir(root, recursive=True)

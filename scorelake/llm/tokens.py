@@ -91,15 +91,31 @@ def cut_pieces(data: np.ndarray, offsets: np.ndarray, split_solid: bool = True)
         kind[lead] = kind[lead + 1] = 1
         one, other = kind[:-1], kind[1:]
         edge[1:] |= (one != other) & (one > 0) & (other > 0) & (data[:-1] != 39)
+        # The last of several spaces before a solid character goes with that character, other white space never does.
+        edge[1:] |= space[:-1] & (data[:-1] != 32) & (other > 0)
+        edge[1:-1] |= space[:-2] & space[1:-1] & (kind[2:] > 0)
     else:
         edge[1:] = (data[1:] == 32) & ~space[:-1]
     edge[offsets[:-1][np.diff(offsets) > 0]] = False
-    at = np.flatnonzero(edge)
+    at = np.flatnonzero(edge & space)
     edge[at[doubtful(data, at)]] = False
     edge[offsets[:-1][np.diff(offsets) > 0]] = True
     return np.flatnonzero(edge)
 
 
+def larger(batches, size: int = 1 << 23):
+    """Batches put together to about ``size`` bytes: the more text, the fewer different pieces for each."""
+    held, total = [], 0
+    for batch in batches:
+        held.append(batch)
+        total += batch.nbytes
+        if total >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, total = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def text_slices(data: np.ndarray, starts: np.ndarray) -> pa.LargeStringArray:
     """The slices of ``data`` that begin at ``starts`` and end at the next start, without a copy."""
     edges = np.append(starts, len(data)).astype(np.int64)
@@ -121,10 +137,14 @@ class Ragged:
 
     def extend(self, rows: list) -> None:
         sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-        total = int(sizes.sum())
+        self.append(np.fromiter(itertools.chain.from_iterable(rows), self.flat.dtype, sizes.sum()), sizes)
+
+    def append(self, flat: np.ndarray, sizes: np.ndarray) -> None:
+        """Rows that stand one behind the other in ``flat``."""
+        total = len(flat)
         while self.used + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + total] = np.fromiter(itertools.chain.from_iterable(rows), self.flat.dtype, total)
+        self.flat[self.used : self.used + total] = flat
         self.starts.append(self.used + np.cumsum(sizes) - sizes)
         self.counts.append(sizes)
         self.used += total
@@ -153,7 +173,7 @@ class Pieces:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())
         self.ids = Ragged(np.uint32)
 
     def encode_new(self, pieces: list[str]) -> list[list[int]]:
@@ -173,18 +193,20 @@ class Pieces:
             out[i] = e.ids
         return out
 
-    def numbers(self, pieces: list[str]) -> np.ndarray:
-        """The number of each piece; new ones are encoded."""
-        found = list(map(self.known.get, pieces))
-        if None in found:
-            if len(self.known) > KEPT_PIECES:
-                self.clear()
-                found = [None] * len(pieces)
-            new = [p for p, number in zip(pieces, found) if number is None]
-            self.ids.extend(self.encode_new(new))
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-            found = list(map(self.known.get, pieces))
-        return np.array(found, np.int64)
+    def numbers(self, pieces: pa.Array) -> np.ndarray:
+        """The number of each of these different pieces; new ones are encoded."""
+        if len(self.known) > KEPT_PIECES:
+            self.clear()
+        found = pc.index_in(pieces, value_set=self.known)
+        if found.null_count:
+            new = pieces.filter(found.is_null())
+            self.ids.extend(self.encode_new(new.to_numpy(zero_copy_only=False).tolist()))
+            first = len(self.known)
+            self.known = pa.concat_arrays([self.known, new])
+            out = found.fill_null(0).to_numpy().astype(np.int64)
+            out[found.is_null().to_numpy(zero_copy_only=False)] = np.arange(first, len(self.known))
+            return out
+        return found.to_numpy().astype(np.int64)
 
 
 def kept(name: str, make):
@@ -211,7 +233,7 @@ def pieces_of(path: str) -> Pieces:
 def numbered(data: np.ndarray, starts: np.ndarray, pieces) -> np.ndarray:
     """The number that ``pieces`` gives each slice of ``data``."""
     coded = text_slices(data, starts).dictionary_encode()
-    return pieces.numbers(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy(zero_copy_only=False)] if len(starts) else np.zeros(0, np.int64)
+    return pieces.numbers(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)] if len(starts) else np.zeros(0, np.int64)
 
 
 def encode_all(texts: pa.Array, pieces: Pieces, end_id: int | None = END_ID) -> tuple[np.ndarray, np.ndarray]:
