@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .blocks import block_numbers, looked_up, placed
 from .common import buffers, ship, stored
-from .tokens import DEFAULT_TOKENIZER, Pieces, Ragged, byte_alphabet, cut_pieces, kept, load_tokenizer, numbered, tokenizer_path
+from .tokens import DEFAULT_TOKENIZER, Pieces, Ragged, byte_alphabet, cut_pieces, kept, larger, load_tokenizer, numbered, tokenizer_path
 
 DEFAULT_OTHER = "piece_bpe_32k.model"
 SPACE_MARK = "▁"
@@ -177,7 +177,7 @@ def align_blocks(docs: DataFrame, path: str, other: str) -> DataFrame:
     def run(batches):
         pieces, numbers = aligned_pieces(path, other), block_numbers()
         vocabulary = pieces.known_tokens
-        for batch in batches:
+        for batch in larger(batches, 1 << 22):
             if not batch.num_rows:
                 continue
             n = batch.num_rows

@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .alignment import align
 from .contamination import contaminated
 from .license_rules import scan
 from .line_templates import dropped_lines
+from .lm_scores import scored_texts
 from .near_copies import near_copies
 from .oracle import ORACLE as ORACLE
 from .packing import pack
@@ -17,6 +19,7 @@ from .private_data import private_spans
 from .repetition import quality_report
 from .rule_ensemble import scored
 from .suffix_dedup import without_repeats
+from .whitening import whitened
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -78,3 +81,18 @@ def op9_line_templates(spark, sf_dir):
 @query
 def op10_contamination(spark, sf_dir):
     return contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query
+def op11_whitening(spark, sf_dir):
+    return whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op12_lm_scores(spark, sf_dir):
+    return scored_texts(documents(spark, sf_dir))
+
+
+@query
+def op13_alignment(spark, sf_dir):
+    return align(documents(spark, sf_dir))
