@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import block_numbers, looked_up, placed
-from .common import buffers, ship, stored
-from .tokens import DEFAULT_TOKENIZER, Pieces, Ragged, byte_alphabet, cut_pieces, kept, larger, load_tokenizer, numbered, tokenizer_path
+from .common import buffers, kept, ship, stored
+from .tokens import DEFAULT_TOKENIZER, Pieces, Ragged, byte_alphabet, cut_pieces, larger, load_tokenizer, numbered, tokenizer_path
 
 DEFAULT_OTHER = "piece_bpe_32k.model"
 SPACE_MARK = "▁"

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import importlib
+import sys
+import types
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,14 @@ def ship(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+def kept(name: str, make, version=None):
+    """What this worker process keeps under a name for later tasks, made on first use and anew for another version."""
+    home = sys.modules.setdefault("scorelake_kept", types.ModuleType("scorelake_kept")).__dict__
+    if name not in home or home[name][0] != version:
+        home[name] = (version, make())
+    return home[name][1]
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: later steps neither repeat its work nor lose it."""
     path = scratch_path(df.sparkSession, name)
@@ -38,6 +48,13 @@ def text_of(df: DataFrame) -> Column:
     return F.coalesce(df["text"], F.lit(""))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores in front where ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    longest = "_" * (max(map(len, taken), default=0) + 1)
+    return [longest + n if n.lower() in taken else n for n in names]
+
+
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts in a row and where each text begins, with the end of the last."""
     if isinstance(texts, pa.ChunkedArray):

@@ -15,6 +15,7 @@ lossless filter that spares almost all text.
 from __future__ import annotations
 
 import pickle
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Prefix, buffers, mix, passes, ship, text_of, words_of
+from .common import Prefix, buffers, kept, mix, passes, ship, text_of, words_of
 from .near_copies import LOWER
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -164,11 +165,12 @@ class Index:
 
 
 def matches(text: Column, shared) -> Column:
-    """Items of a broadcast `Index` (its class goes along by value) that a text holds."""
+    """Items of a broadcast `Index` (its class goes along by value) that a text holds. A worker loads an index once."""
+    version = uuid.uuid4().hex
 
     @F.arrow_udf(MATCH)
     def run(texts: pa.Array) -> pa.Array:
-        index = pickle.loads(shared.value)
+        index = kept("contamination", lambda: pickle.loads(shared.value), version)
         data, offsets = buffers(texts)
         rows = []
         for i, j in passes(offsets):

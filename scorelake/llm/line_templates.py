@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_of
+from .common import free_names, stored, text_of
 
 #: Shorter lines are left alone; lines from `SECTIONED` tokens on may vary in a section.
 LEAST_TOKENS, SECTIONED, DEPTH = 4, 9, 3
@@ -76,15 +76,14 @@ def without_repeats(docs: DataFrame, **tree) -> DataFrame:
     """
     names = docs.columns
     taken = {c.lower() for c in names}
-    drops = repeats(docs.select("doc_id", "text"), **tree).select(
-        F.col("doc_id").alias("_id_dropped"), F.col("mark").alias("_mark_dropped"), F.col("dropped").alias("_lines_dropped")
-    )
-    marked = docs.withColumn("_mark", row_mark())
-    same = marked["doc_id"].eqNullSafe(drops["_id_dropped"]) & (marked["_mark"] == drops["_mark_dropped"])
-    joined = marked.join(drops, same, "left")
+    id_name, mark, lines_name = free_names(docs, "dropped_id", "dropped_mark", "dropped_lines")
+    drops = repeats(docs.select("doc_id", "text"), **tree)
+    drops = drops.select(F.col("doc_id").alias(id_name), F.col("mark").alias(mark), F.col("dropped").alias(lines_name))
+    same = docs["doc_id"].eqNullSafe(drops[id_name]) & (row_mark() == drops[mark])
+    joined = docs.join(drops, same, "left")
     split = F.split(joined["text"], "\n")
-    left = F.filter(split, lambda _, i: ~F.array_contains(joined["_lines_dropped"], i))
-    changed = joined["_lines_dropped"].isNotNull()
+    left = F.filter(split, lambda _, i: ~F.array_contains(joined[lines_name], i))
+    changed = joined[lines_name].isNotNull()
     text = F.when(changed, F.array_join(left, "\n")).otherwise(joined["text"])
     columns = []
     for c in names:
@@ -97,7 +96,7 @@ def without_repeats(docs: DataFrame, **tree) -> DataFrame:
             columns.append(old)
     counts = [
         F.coalesce(F.size(split), F.lit(0)).alias("n_lines") if "n_lines" not in taken else None,
-        F.when(changed, F.size("_lines_dropped")).otherwise(0).alias("n_dropped") if "n_dropped" not in taken else None,
+        F.when(changed, F.size(lines_name)).otherwise(0).alias("n_dropped") if "n_dropped" not in taken else None,
     ]
     return joined.select(*columns, *[c for c in counts if c is not None])
 

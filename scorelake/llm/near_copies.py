@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import buffers, passes, ship, stored, text_of, words_of
+from .common import buffers, free_names, passes, ship, stored, text_of, words_of
 
 BITS, SEGMENTS, RADIUS = 64, 4, 2
 SEED = 42
@@ -166,13 +166,8 @@ def first_of_groups(docs: DataFrame, found: DataFrame) -> DataFrame:
     names = docs.columns
     # A null id stands behind all others.
     order = found.select("root", F.struct(F.isnull("doc_id").alias("unknown"), "doc_id", "mark").alias("key"))
-    kept = order.groupBy("root").agg(F.min("key").alias("key")).select(F.col("key.doc_id").alias("_id"), F.col("key.mark").alias("_digest"))
+    id_name, digest = free_names(docs, "kept_id", "kept_digest")
+    kept = order.groupBy("root").agg(F.min("key").alias("key")).select(F.col("key.doc_id").alias(id_name), F.col("key.mark").alias(digest))
     mark = F.xxhash64(text_of(docs))
-    same = docs["doc_id"].eqNullSafe(kept["_id"]) & (mark == kept["_digest"])
-    held = docs.join(kept, same).select(*[docs[f"`{c}`"] for c in names], "_id", "_digest")
-    return held.dropDuplicates(["_id", "_digest"]).select(*[F.col(f"`{c}`") for c in names])
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with one of each group: its least doc_id, of repeated ids the least digest of the text."""
-    return first_of_groups(docs, with_groups(docs.select("doc_id", "text")))
+    held = docs.join(kept, docs["doc_id"].eqNullSafe(kept[id_name]) & (mark == kept[digest]))
+    return held.dropDuplicates([id_name, digest]).select(*[F.col(f"`{c}`") for c in names])

@@ -12,14 +12,12 @@ from __future__ import annotations
 
 import itertools
 import os
-import sys
-import types
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .common import SPACE, buffers
+from .common import SPACE, buffers, kept
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
@@ -209,14 +207,6 @@ class Pieces:
         return found.to_numpy().astype(np.int64)
 
 
-def kept(name: str, make):
-    """What this worker process keeps under a name for later tasks, made on first use."""
-    home = sys.modules.setdefault("scorelake_kept", types.ModuleType("scorelake_kept")).__dict__
-    if name not in home:
-        home[name] = make()
-    return home[name]
-
-
 def load_tokenizer(path: str):
     # One thread a task: Spark runs a task on every core.
     os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -3,12 +3,16 @@ import re
 
 import xxhash
 
-from scorelake.llm.near_copies import ball, components, keep_one, links, near_copies
+from scorelake.llm.near_copies import ball, components, first_of_groups, links, near_copies, with_groups
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def keep_one(docs):
+    return first_of_groups(docs, with_groups(docs.select("doc_id", "text")))
+
+
 def mark(text):
     words = WORD.findall((text or "").translate(LOWER))
     if not words:

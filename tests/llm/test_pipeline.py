@@ -7,8 +7,8 @@ from scorelake.llm.packing import cut
 
 from .test_contamination import brute as leaks
 from .test_line_templates import brute as lines
-from .test_near_copies import groups, mark
 from .test_repetition import brute as quality
+from .test_similar_texts import brute as similar
 from .test_tokens import ids_of
 
 
@@ -32,12 +32,8 @@ def test_every_stage_against_brute_force(spark, folder):
         elif name == "line_dedup":
             want = {r[0]: r[1] for r in lines(list(want.items()))}
         elif name == "near_dedup":
-            marks = {d: mark(t) for d, t in want.items()}
-            group = groups(marks.values())
-            first = {}
-            for d, m in marks.items():
-                first[group[m]] = min(first.get(group[m], d), d)
-            want = {d: t for d, t in want.items() if first[group[marks[d]]] == d}
+            stay = set(similar(list(want.items())))
+            want = {d: t for d, t in want.items() if d in stay}
         elif name == "decontamination":
             gone = {r[0] for r in leaks(list(want.items()), items)}
             want = {d: t for d, t in want.items() if d not in gone}
@@ -58,3 +54,23 @@ def test_edge_rows(spark, edge, none, folder, tmp_path):
         benchmark.write.parquet(f"{d}/benchmark.parquet")
         # All edge texts are too short or repeat themselves.
         assert corpus_pipeline.run(spark, d).collect() == []
+
+
+#: Names of columns that the stages use inside.
+INNER = ("_id", "_mark", "_digest", "kept_id", "kept_digest", "dropped_id", "dropped_mark", "dropped_lines", "_items", "quality", "root", "fp",
+         "mark", "keys", "row", "entry", "least", "class", "n", "id", "digest", "template", "piece", "start", "item")
+
+
+def test_columns_with_inner_names_stay_as_they_are(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    plain = clashing = docs
+    for i, name in enumerate(INNER):
+        clashing = clashing.withColumn(name, F.concat(F.lit(f"{i} "), "doc_id"))
+    for name, stage in corpus_pipeline.STAGES:
+        plain, clashing = stored(stage(spark, plain, folder), name), stored(stage(spark, clashing, folder), name)
+        if name == "packing":
+            assert sorted(map(tuple, plain.drop("sequence_id", "offset").collect())) == sorted(map(tuple, clashing.drop("sequence_id", "offset").collect()))
+        else:
+            assert clashing.columns == [*plain.columns, *INNER]
+            assert sorted(r["doc_id"] for r in plain.collect()) == sorted(r["doc_id"] for r in clashing.collect())
+            assert all(r[c] == f"{i} {r['doc_id']}" for r in clashing.collect() for i, c in enumerate(INNER))
