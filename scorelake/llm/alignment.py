@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .blocks import block_numbers, looked_up, placed
 from .common import buffers, kept, ship, stored
-from .tokens import DEFAULT_TOKENIZER, Pieces, Ragged, byte_alphabet, cut_pieces, larger, load_tokenizer, numbered, tokenizer_path
+from .tokens import DEFAULT_TOKENIZER, KEPT_PIECES, Pieces, Ragged, byte_alphabet, cut_pieces, larger, load_tokenizer, numbered, tokenizer_path
 
 DEFAULT_OTHER = "piece_bpe_32k.model"
 SPACE_MARK = "▁"
@@ -81,6 +81,7 @@ class AlignedPieces(Pieces):
     def __init__(self, known: Vocabularies):
         self.known_tokens = known
         super().__init__(known.one)
+        self.most = KEPT_PIECES // 4
         if not self.byte_level:
             raise ValueError("the first tokenizer must be a byte-level BPE")
 
@@ -177,7 +178,7 @@ def align_blocks(docs: DataFrame, path: str, other: str) -> DataFrame:
     def run(batches):
         pieces, numbers = aligned_pieces(path, other), block_numbers()
         vocabulary = pieces.known_tokens
-        for batch in larger(batches, 1 << 22):
+        for batch in larger(batches, 1 << 21):
             if not batch.num_rows:
                 continue
             n = batch.num_rows

@@ -36,10 +36,10 @@ def kept(name: str, make, version=None):
     return home[name][1]
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read again: later steps neither repeat its work nor lose it."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -161,7 +161,7 @@ class Pieces:
     """The pieces that a worker process has met, by number, with their ids."""
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.model = tokenizer, tokenizer.model
+        self.tokenizer, self.model, self.most = tokenizer, tokenizer.model, KEPT_PIECES
         self.alphabet = byte_alphabet()
         self.space = self.alphabet[32]
         before = tokenizer.pre_tokenizer
@@ -193,7 +193,7 @@ class Pieces:
 
     def numbers(self, pieces: pa.Array) -> np.ndarray:
         """The number of each of these different pieces; new ones are encoded."""
-        if len(self.known) > KEPT_PIECES:
+        if len(self.known) > self.most:
             self.clear()
         found = pc.index_in(pieces, value_set=self.known)
         if found.null_count:

@@ -94,8 +94,8 @@ def test_pieces_equal_whole_texts():
 
 
 def test_pieces_forgotten_in_between(monkeypatch, docs):
-    monkeypatch.setattr("scorelake.llm.tokens.KEPT_PIECES", 50)
     pieces = aligned_pieces(tokenizer_path(), tokenizer_path(DEFAULT_OTHER))
+    monkeypatch.setattr(pieces, "most", 50)
     for r in docs.limit(30).collect():
         sums, digests, _, _ = aligned(pa.array([r["text"]], pa.string()), pieces)
         assert (*sums[0, :3].tolist(), digests[0]) == plain(r["text"])[0]
