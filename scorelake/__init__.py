@@ -48,6 +48,7 @@ from .sources.catalog import (
     table_exists,
 )
 from .sources.jdbc import doris_url, oracle_url, read_jdbc, write_jdbc
+from .sources.exports import changed_chunks, export_ordered, manifest, read_ordered
 from .sources.sinks import (
     append_csv,
     create_like,

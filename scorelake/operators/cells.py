@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..functions.conf import with_conf
-from ..sources.scratch import is_scan
+from ..sources.scratch import is_scan, written
 
 SKETCH_K = 2048
 #: More than the rank error of a KLL sketch of that size, as a share of the rows.
@@ -24,6 +24,8 @@ SKETCH_GROUPS = 64
 SKETCHES_PER_TASK = 8192
 #: Rows looked at to choose a cut between cells of rows.
 SAMPLES_PER_CELL = 32
+#: Rows are drawn for a sample in steps of one in so many.
+DRAWS = 1 << 40
 #: Cells per level, and rows a single task is given to sort.
 CELLS_PER_LEVEL = 256
 ROWS_PER_CELL = 4_000_000
@@ -98,39 +100,94 @@ def by_group(group: str | None, choices: list[str]) -> str:
     return f"CASE {group} {' '.join(f'WHEN {i} THEN {c}' for i, c in enumerate(choices))} END"
 
 
-def sampled_cuts(distinct: DataFrame, columns: list[str], rows_per_cell: int = ROWS_PER_CELL) -> list[Row]:
-    """Rows of the given columns that split a table of distinct ones in cells, in order; none if one task can sort them all.
-
-    They are chosen from a sample of fixed size per cell, of those with the least
-    digests, so the same rows always give the same cuts. Values of any ordered type will do.
-    """
-    every = [F.col(f"`{c}`") for c in columns]
-    rows = distinct.select(*every)
-    size = rows.agg(F.approx_count_distinct(F.xxhash64(*every))).first()[0]
-    cells = math.ceil(size * 1.1 / rows_per_cell)
-    if cells <= 1:
-        return []
-    sample = rows.orderBy(F.xxhash64(F.lit(1), *every)).limit(cells * SAMPLES_PER_CELL)
-    ordered = sample.orderBy(*[c.asc_nulls_first() for c in every]).collect()
-    step = len(ordered) / cells
-    return [ordered[int(i * step)] for i in range(1, cells)]
+def _row(columns: list[str]) -> Column:
+    return F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
 
 
-def cell_of_row(df: DataFrame, columns: list[str], cuts: list[Row]) -> Column:
-    """How many of the cuts lie below or at a row, by bisection; nulls come first."""
-    if not cuts:
-        return F.lit(0)
-    types = [df.schema[c].dataType for c in columns]
-    value = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
-    literal = F.array(*[F.struct(*[F.lit(v).cast(t).alias(f"c{i}") for i, (v, t) in enumerate(zip(cut, types))]) for cut in cuts])
-    jumps = F.array(*[F.lit(2**k) for k in reversed(range(len(cuts).bit_length()))])
-    return F.aggregate(
+def _cuts_at_or_below(value: Column, cuts: Column, most: int) -> Column:
+    """How many of the sorted cuts, at most ``most``, lie at or below a row, by bisection; nulls come first."""
+    jumps = F.array(*[F.lit(2**k) for k in reversed(range(most.bit_length()))])
+    # The row is the start value's field, so that it is put together once.
+    found = F.aggregate(
         jumps,
-        F.lit(0),
-        lambda found, jump: F.when(
-            (found + jump <= len(cuts)) & (F.get(literal, found + jump - 1) <= value), found + jump
-        ).otherwise(found),
-    )
+        F.struct(F.lit(0).alias("found"), value.alias("value")),
+        lambda s, jump: F.struct(
+            F.when((s["found"] + jump <= F.size(cuts)) & (F.get(cuts, s["found"] + jump - 1) <= s["value"]), s["found"] + jump)
+            .otherwise(s["found"]).alias("found"),
+            s["value"].alias("value"),
+        ),
+        lambda s: s["found"],
+    )
+    return found
+
+
+class CutTree:
+    """Cuts by value that split rows in at most 65 536 cells, as a tree of two levels.
+
+    The first level, at most 255 rows, is part of the plan. The second level is a table
+    with the cuts inside each cell of the first, so plans and the driver
+    stay the same size however many rows there are. Samples are of different rows, chosen by
+    digest: the same rows always give the same cuts.
+    """
+
+    def __init__(self, columns: list[str], top: list[Row], types: list, lower: DataFrame | None):
+        self.columns, self.top, self.types, self.lower = columns, top, types, lower
+
+    @classmethod
+    def of(cls, df: DataFrame, columns: list[str], rows: int, rows_per_cell: int = ROWS_PER_CELL, different: int | None = None) -> CutTree:
+        """The tree for ``rows`` rows of ``df`` by some of its columns; ``different`` says about how many differ there, if known."""
+        keys = df.select(*[F.col(f"`{c}`") for c in columns])
+        draw = F.pmod(F.xxhash64(F.lit(1), *[F.col(f"`{c}`") for c in columns]), F.lit(DRAWS))
+        if different is None:
+            different = keys.agg(F.approx_count_distinct(F.xxhash64(*[F.col(f"`{c}`") for c in columns]))).first()[0]
+        different = max(1, different)
+        cells = min(-(-rows // rows_per_cell), CELLS_PER_LEVEL**2)
+
+        def share(wanted: int) -> float:
+            return min(1.0, 1.1 * wanted * SAMPLES_PER_CELL / different)
+
+        def sample(wanted: int) -> DataFrame:
+            return keys.where(draw < math.ceil(share(wanted) * DRAWS)).distinct()
+
+        first = min(cells, CELLS_PER_LEVEL)
+        order = [F.col(f"`{c}`").asc_nulls_first() for c in columns]
+        ordered = sample(first).orderBy(*order).collect()
+        first = min(first, len(ordered))
+        top = [ordered[len(ordered) * i // first] for i in range(1, first)]
+        tree = cls(columns, top, [df.schema[c].dataType for c in columns], None)
+        if cells > CELLS_PER_LEVEL and top:
+            drawn = sample(cells).withColumn("_top", tree._top_cell())
+            inside = Window.partitionBy("_top")
+            numbered = drawn.select("_top", _row(columns).alias("row"), (F.row_number().over(inside.orderBy(*order)) - 1).alias("i"), F.count("*").over(inside).alias("n"))
+            # Every cell in parts of about as many samples as a cell of all has, and no cut at its first row.
+            each = max(1.0, share(cells) * different / cells)
+            parts = F.least(F.lit(CELLS_PER_LEVEL), F.greatest(F.lit(1), F.floor(F.col("n") / each)))
+            part = lambda i: F.floor(i * parts / F.col("n"))
+            cuts = numbered.where((F.col("i") > 0) & (part(F.col("i")) > part(F.col("i") - 1)))
+            tree.lower = written(cuts.groupBy("_top").agg(F.sort_array(F.collect_list("row")).alias("_cuts")), "cuts")
+        return tree
+
+    def _top_cell(self) -> Column:
+        if not self.top:
+            return F.lit(0)
+        rows = [F.struct(*[F.lit(v).cast(t).alias(f"c{i}") for i, (v, t) in enumerate(zip(cut, self.types))]) for cut in self.top]
+        return _cuts_at_or_below(_row(self.columns), F.array(*rows), len(rows))
+
+    def with_cell(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` with the cell of each row; cells rise along the order."""
+        if self.lower is None:
+            return df.withColumn(name, self._top_cell())
+        # At most 256 rows.
+        top, cuts = f"{name}_top", f"{name}_cuts"
+        joined = df.withColumn(top, self._top_cell()).join(F.broadcast(self.lower.toDF(top, cuts)), top, "left")
+        below = F.when(F.col(cuts).isNull(), 0).otherwise(_cuts_at_or_below(_row(self.columns), F.col(cuts), CELLS_PER_LEVEL - 1))
+        return joined.withColumn(name, F.col(top) * CELLS_PER_LEVEL + below).drop(top, cuts)
+
+    def offsets(self, df: DataFrame) -> DataFrame:
+        """(cell, before): the rows of ``df`` in all cells before, for each cell that has rows. A written table of at most 65 536 rows."""
+        counts = self.with_cell(df.select(*[F.col(f"`{c}`") for c in self.columns]), "_cell").groupBy("_cell").agg(F.count("*").alias("n"))
+        earlier = Window.partitionBy(F.lit(0)).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+        return written(counts.select("_cell", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")), "offsets")
 
 
 def sketch(df: DataFrame, value: str, keys: list[str], ranks: list[float], only: str = "true", then=None) -> list:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,19 +75,37 @@ def stitch_columns(frames: list[DataFrame], key: str | list[str]) -> DataFrame:
     """Put column slices of the same rows side by side, matched on a row key.
 
     Every row of every slice stays: a null key matches a null key, and a slice
-    without the row leaves its columns null. Keys should be unique in each slice.
+    without the row leaves its columns null. Keys should be unique in each slice; where one
+    repeats, its rows are matched in the order of their digests, the first with the first.
+    A column that is no key must be in one slice only, whatever its name; otherwise it is a `ValueError`.
+
+    All slices go through one shuffle by key, however many there are.
     """
     keys = [key] if isinstance(key, str) else list(key)
-
-    def side_by_side(a: DataFrame, b: DataFrame) -> DataFrame:
-        names = [f"_key{i}" for i in range(len(keys))]
-        b = b.withColumnsRenamed(dict(zip(keys, names)))
-        same = reduce(lambda x, y: x & y, [F.col(f"`{k}`").eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
-        rest = [c for c in (*a.columns, *b.columns) if c not in keys and c not in names]
-        merged = [F.coalesce(F.col(f"`{k}`"), F.col(n)).alias(k) for k, n in zip(keys, names)]
-        return a.join(b, same, "full").select(*merged, *[F.col(f"`{c}`") for c in rest])
-
-    return reduce(side_by_side, frames)
+    for frame in frames:
+        require_columns(frame, keys)
+    rest = [[c for c in f.columns if c not in keys] for f in frames]
+    names = [c.lower() for columns in rest for c in columns]
+    if repeated := sorted({c for c in names if names.count(c) > 1}):
+        raise ValueError(f"columns in several slices: {', '.join(repeated)}")
+    if len(frames) == 1:
+        return frames[0].select(*[F.col(f"`{c}`") for c in (*keys, *rest[0])])
+
+    types = [f.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("v")).schema["v"].dataType if columns else None for f, columns in zip(frames, rest)]
+    slices = []
+    for i, (frame, columns) in enumerate(zip(frames, rest)):
+        hashable = [c for c in columns if not _has_map(frame.schema[c].dataType)]
+        digest = F.xxhash64(*[F.col(f"`{c}`") for c in hashable]) if hashable else F.lit(0).cast("bigint")
+        held = [F.struct(*[F.col(f"`{c}`") for c in columns]) if j == i and columns else F.lit(None).cast(t or "int") for j, t in enumerate(types)]
+        slices.append(frame.select(*[F.col(f"`{k}`").alias(f"k{n}") for n, k in enumerate(keys)], F.lit(i).alias("slice"), digest.alias("digest"), *[v.alias(f"v{j}") for j, v in enumerate(held)]))
+    inner = [f"k{n}" for n in range(len(keys))]
+    moved = reduce(DataFrame.union, slices).repartition(*inner)
+    # The shuffle by key serves the numbering and the grouping too.
+    turn = F.row_number().over(Window.partitionBy(*inner, "slice").orderBy("digest")).alias("turn")
+    numbered = moved.select("*", turn)
+    rows = numbered.groupBy(*inner, "turn").agg(*[F.first(f"v{j}", ignorenulls=True).alias(f"v{j}") for j in range(len(frames))])
+    found = [F.col(f"v{j}.`{c}`").alias(c) for j, columns in enumerate(rest) for c in columns]
+    return rows.select(*[F.col(f"k{n}").alias(k) for n, k in enumerate(keys)], *found)
 
 
 def stack(frames: list[DataFrame]) -> DataFrame:

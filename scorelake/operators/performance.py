@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import numeric_label
-from .cells import ROWS_PER_CELL, cell_of_row, sampled_cuts
+from .cells import ROWS_PER_CELL, CutTree
 from .dates import RANGE, date_ranges, named, numbered
 from .prefix import prefix_sums
 from .roc import auc
@@ -44,15 +46,16 @@ def performance_table(
         .withColumn("GOOD_NUM", F.expr("TOTAL - BAD_NUM"))
     )
     # Cells by value: any number of cuts is summed by many tasks, a few by one.
-    cuts = sampled_cuts(counted.select("SCORE_CUT").distinct(), ["SCORE_CUT"], rows_per_cell)
-    number = cell_of_row(counted, ["SCORE_CUT"], cuts)
-    cell = None
-    if cuts:
-        cell = number if ascending else F.lit(len(cuts)) - number
+    different = math.ceil(1.1 * counted.agg(F.approx_count_distinct(F.xxhash64("SCORE_CUT"))).first()[0])
+    cell, place = None, []
+    if different > rows_per_cell:
+        tree = CutTree.of(counted, ["SCORE_CUT"], different, rows_per_cell, different)
+        counted, place = tree.with_cell(counted, "_place"), ["_place"]
+        cell = F.col("_place") if ascending else -F.col("_place")
     down = not ascending
     summed = prefix_sums(counted, "SCORE_CUT", ["TOTAL", "BAD_NUM", "GOOD_NUM"], keys, down, cell=cell)
     rates = summed.selectExpr(
-        *keys, "SCORE_CUT", "TOTAL", "BAD_NUM", "GOOD_NUM",
+        *keys, "SCORE_CUT", *place, "TOTAL", "BAD_NUM", "GOOD_NUM",
         "bround(try_divide(BAD_NUM, TOTAL), 4) AS BAD_RATE",
         "bround(try_divide(GOOD_NUM, TOTAL), 4) AS GOOD_RATE",
         "bround(try_divide(TOTAL, total_TOTAL), 4) AS POP",

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .cells import ROWS_PER_CELL, cell_of, cell_of_row, literal_array, sampled_cuts
+from ..sources.scratch import settled, written
+from .cells import ROWS_PER_CELL, CutTree, cell_of
 
 #: Numbers of copies that one row is turned into at a time.
 COPIES_PER_BLOCK = 100_000
@@ -88,44 +87,58 @@ def row_numbers(
 ) -> DataFrame:
     """Number all rows from 1 by a given order, with every task sorting its own range.
 
-    Rows that are equal in all columns are first counted as one, and equal keys are
-    split by a hash of the whole row, so neither a hot key nor a group of copies
-    lands in one task. Cuts by value put rows in cells; a cell's first number
-    comes from the exact counts of the cells before it. All of it depends on values
-    only, so a task that is run again gives the same numbers, and no row is stored.
+    Rows are put in cells by their order columns and a digest of the row, so neither a hot key nor
+    an uneven column makes a cell large. The cuts between cells form a tree of two levels,
+    of which the plan holds the first, at most 255 rows, and a small table the second. Rows
+    with very many copies are counted as one before that. Only the window over
+    the cells moves whole rows; all that comes before reads the order columns and the digest.
+    Everything depends on values only, so a task that runs again gives the same numbers.
     """
     names = df.columns
-    copies, digest, cell = (_free(n, names) for n in ("copies", "digest", "cell"))
+    df = settled(df)
+    digest, cell, copies, last = (_free(n, names) for n in ("digest", "cell", "copies", "last"))
     every = [F.col(f"`{c}`") for c in names]
-    plain = not any("map<" in t or "variant" in t for _, t in df.dtypes)
     hashable = [F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t and "variant" not in t]
-    # Rows that hold maps can't be counted as one.
-    rows = df.groupBy(*every).agg(F.count(F.lit(1)).alias(copies)) if plain else df.withColumn(copies, F.lit(1).cast("bigint"))
-    rows = rows.withColumn(digest, F.xxhash64(*hashable))
+    keyed = df.withColumn(digest, F.xxhash64(*hashable))
     place = [*dict.fromkeys(order_by), digest]
-    distinct = df.withColumn(digest, F.xxhash64(*hashable)).select(*[F.col(f"`{c}`") for c in place]).distinct()
-    cuts = sampled_cuts(distinct, place, rows_per_cell)
-    rows = rows.withColumn(cell, cell_of_row(rows, place, cuts))
-    # One number per cell, so its size does not grow with the rows of a cell.
-    counts = {}
-    if cuts:
-        found = df.withColumn(digest, F.xxhash64(*hashable))
-        found = found.groupBy(cell_of_row(found, place, cuts).alias(cell)).agg(F.count(F.lit(1)).alias("n"))
-        counts = {r[0]: r[1] for r in found.collect()}
-    before = [0, *itertools.accumulate(counts.get(c, 0) for c in range(len(cuts)))]
-    order = Window.partitionBy(cell).orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in place])
-    last = F.sum(copies).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    offset = F.get(literal_array(before, "bigint"), F.col(cell))
-    last_name = _free("last", names)
-    numbered = rows.select(*every, copies, (last + offset).alias(last_name))
-    if not plain:
-        return numbered.select(*every, F.col(last_name).alias(name))
-    # Many copies are dealt out in blocks, and then one by one.
+    order = [F.col(f"`{c}`").asc_nulls_first() for c in place]
+    # A count is in the footers of a file; more is looked at only if one task can't sort all.
+    size = df.count()
+    if size <= rows_per_cell:
+        return keyed.select(*every, F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)).cast("bigint").alias(name))
+
+    tree = CutTree.of(keyed, place, size, rows_per_cell)
+    hot = _frequent(keyed, digest, rows_per_cell) if len(hashable) == len(names) else None
+    rows = keyed.withColumn(copies, F.lit(1).cast("bigint"))
+    if hot is not None:
+        # Copies of a frequent row are counted before they move.
+        many = keyed.join(hot, digest, "left_semi").groupBy(*every, F.col(digest)).agg(F.count(F.lit(1)).alias(copies))
+        rows = rows.join(hot, digest, "left_anti").unionByName(many)
+    rows = tree.with_cell(rows, cell)
+    within = Window.partitionBy(cell).orderBy(*order)
+    if hot is None:
+        position = F.row_number().over(within).cast("bigint")
+    else:
+        position = F.sum(copies).over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = rows.select(*every, cell, copies, position.alias(last))
+    offsets, before = tree.offsets(keyed), _free("before", names)
+    placed = placed.join(F.broadcast(offsets.toDF(cell, before)), cell)  # a row for each cell, so at most 65 536
+    number = F.col(last) + F.col(before)
+    if hot is None:
+        return placed.select(*every, number.alias(name))
+    # Copies are dealt out in blocks, and then one by one.
     block = _free("block", names)
-    first = F.col(last_name) - F.col(copies) + 1
-    blocks = numbered.select(*every, last_name, F.explode(F.sequence(first, F.col(last_name), F.lit(COPIES_PER_BLOCK))).alias(block))
-    end = F.least(F.col(last_name), F.col(block) + F.lit(COPIES_PER_BLOCK - 1))
-    return blocks.select(*every, F.explode(F.sequence(F.col(block), end)).alias(name))
+    blocks = F.sequence(number - F.col(copies) + 1, number, F.lit(COPIES_PER_BLOCK))
+    dealt = placed.select(*every, number.alias(last), F.explode(blocks).alias(block))
+    end = F.least(F.col(last), F.col(block) + F.lit(COPIES_PER_BLOCK - 1))
+    return dealt.select(*every, F.explode(F.sequence(F.col(block), end)).alias(name))
+
+
+def _frequent(keyed: DataFrame, digest: str, rows_per_cell: int) -> DataFrame | None:
+    """Digests of rows whose copies would fill a good part of a cell; none if there are no such rows."""
+    counts = keyed.groupBy(digest).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max(1, rows_per_cell // 4))
+    found = written(counts.select(digest), "frequent")
+    return None if found.isEmpty() else found
 
 
 def _free(name: str, taken: list[str]) -> str:

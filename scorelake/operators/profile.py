@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.expr import human_size
+from ..sources.scratch import settled
 
 # Bytes of one value of the types with a fixed width.
 TYPE_WIDTHS = {
@@ -23,32 +26,103 @@ def _is_float(data_type: T.DataType) -> bool:
     return isinstance(data_type, (T.FloatType, T.DoubleType))
 
 
-def _value_rows(df: DataFrame, columns: list[str], measured: bool = False) -> DataFrame:
-    """One row ``(i, l, d, s[, bytes])`` per cell: the column number and the value in the slot of its kind.
+#: Values of one bitmap, and bitmaps of one column that are built side by side in one pass.
+BITMAP_VALUES, BITMAPS_AT_ONCE = 1 << 15, 8
+#: Bitmaps are merged in this many groups before the last merge.
+MERGE_GROUPS = 64
+
+
+def _whole_number(name: str, data_type: T.DataType) -> Column | None:
+    """A column of whole numbers, dates, times or booleans as long; none for others."""
+    c = _quoted(name)
+    if isinstance(data_type, (T.IntegralType, T.BooleanType)):
+        return c.cast("bigint")
+    if isinstance(data_type, T.DateType):
+        return F.unix_date(c).cast("bigint")
+    return F.unix_micros(c) if isinstance(data_type, T.TimestampType) else None
+
+
+def _bucket(value: int) -> int:
+    """The number that `bitmap_bucket_number` gives a value."""
+    return 1 + (value - 1) // BITMAP_VALUES if value > 0 else -(-value // BITMAP_VALUES)
 
-    All columns share one scan and one pair of group-bys on narrow keys; Spark's
+
+def _dense_columns(df: DataFrame, columns: list[str]) -> dict[int, range]:
+    """Column numbers whose values lie so close that bitmaps of their range take less room than the values, and their buckets."""
+    numbers = {i: v for i, c in enumerate(columns) if (v := _whole_number(c, df.schema[c].dataType)) is not None}
+    if not numbers:
+        return {}
+    bounds = df.agg(F.count(F.lit(1)), *[f(v) for v in numbers.values() for f in (F.min, F.max)]).first()
+    dense = {}
+    for k, i in enumerate(numbers):
+        low, high = bounds[1 + 2 * k : 3 + 2 * k]
+        buckets = range(0) if low is None else range(_bucket(low), _bucket(high) + 1)
+        # A bitmap has a byte for eight values; a value that is shuffled has sixteen bytes and more.
+        if len(buckets) <= BITMAPS_AT_ONCE or len(buckets) * BITMAP_VALUES // 8 <= bounds[0]:
+            dense[i] = buckets
+    return dense
+
+
+def _by_bitmap(df: DataFrame, columns: list[str], dense: dict[int, range]) -> DataFrame:
+    """(i, values, nulls) of dense columns: exact bitmaps of the values present, merged over the tasks."""
+    value = {i: _whole_number(columns[i], df.schema[columns[i]].dataType) for i in dense}
+    few = {i: b for i, b in dense.items() if len(b) <= BITMAPS_AT_ONCE}
+    bit = {i: F.bitmap_bit_position(v) for i, v in value.items()}
+    built, merged = [], []
+    for i, buckets in few.items():
+        built.append(F.count_if(value[i].isNull()).alias(f"n{i}"))
+        merged.append(F.sum(f"n{i}").alias(f"n{i}"))
+        for k, bucket in enumerate(buckets):
+            held = bit[i] if len(buckets) == 1 else F.when(F.bitmap_bucket_number(value[i]) == bucket, bit[i])
+            built.append(F.bitmap_construct_agg(held).alias(f"b{i}_{k}"))
+            merged.append(F.bitmap_or_agg(f"b{i}_{k}").alias(f"b{i}_{k}"))
+    parts = []
+    if few:
+        if df.rdd.getNumPartitions() <= MERGE_GROUPS:
+            wide = df.agg(*built)  # few tasks, so one merge is enough
+        else:
+            part = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("_part")
+            wide = df.groupBy(part).agg(*built).agg(*merged)
+        rows = []
+        for i, buckets in few.items():
+            bits = [F.coalesce(F.bitmap_count(f"b{i}_{k}"), F.lit(0)) for k in range(len(buckets))]
+            rows.append(F.struct(F.lit(i).alias("i"), sum(bits, F.lit(0).cast("bigint")).alias("values"), F.coalesce(f"n{i}", F.lit(0)).alias("nulls")))
+        parts.append(wide.select(F.inline(F.array(*rows))))
+    many = [i for i in dense if i not in few]
+    if many:
+        cells = [F.struct(F.lit(i).alias("i"), F.bitmap_bucket_number(value[i]).alias("bucket"), bit[i].alias("bit")) for i in many]
+        bitmaps = df.select(F.inline(F.array(*cells))).groupBy("i", "bucket")
+        counted = bitmaps.agg(F.bitmap_count(F.bitmap_construct_agg("bit")).alias("values"), F.count_if(F.col("bit").isNull()).alias("nulls"))
+        parts.append(counted.groupBy("i").agg(F.sum("values").alias("values"), F.sum("nulls").alias("nulls")))
+    return reduce(DataFrame.union, parts)
+
+
+def _value_rows(df: DataFrame, columns: list[str], numbers: list[int], measured: bool = False) -> DataFrame:
+    """One row ``(i, a, b, d[, bytes])`` per cell of the columns with these numbers.
+
+    The value stands in two longs or a double: whole numbers as they are, text and other types as a digest of 16
+    bytes. All columns share one scan and one pair of group-bys on keys of fixed width; Spark's
     own plan for several distinct counts carries every column in every row.
     """
     cells = []
-    for i, name in enumerate(columns):
-        c, data_type = _quoted(name), df.schema[name].dataType
-        slot, value = "s", c.cast("string")
-        if isinstance(data_type, (T.IntegralType, T.BooleanType)):
-            slot, value = "l", c.cast("bigint")
-        elif isinstance(data_type, T.DateType):
-            slot, value = "l", F.unix_date(c).cast("bigint")
-        elif isinstance(data_type, T.TimestampType):
-            slot, value = "l", F.unix_micros(c)
+    for i in numbers:
+        c, data_type = _quoted(columns[i]), df.schema[columns[i]].dataType
+        number, zero = _whole_number(columns[i], data_type), F.lit(0).cast("bigint")
+        none = F.lit(None).cast("bigint")
+        a, b, d = none, none, F.lit(None).cast("double")
+        if number is not None:
+            a, b = number, F.when(number.isNotNull(), zero)
         elif _is_float(data_type):
-            slot, value = "d", c.cast("double")
-        elif isinstance(data_type, T.BinaryType):
-            value = F.hex(c)
-        elif isinstance(data_type, (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
-            value = F.when(c.isNotNull(), F.to_json(F.struct(c)))
-        if slot == "s":
-            value = F.sha2(value, 256)  # text travels as its digest
-        slots = {"l": "bigint", "d": "double", "s": "string"}
-        fields = [value.alias(k) if k == slot else F.lit(None).cast(t).alias(k) for k, t in slots.items()]
+            d = c.cast("double")
+        else:
+            value = c.cast("string")
+            if isinstance(data_type, T.BinaryType):
+                value = c
+            elif isinstance(data_type, (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
+                value = F.to_json(F.struct(c))
+            # Two hashes that begin differently.
+            a, b = (F.when(c.isNotNull(), F.xxhash64(*first, value)) for first in ([], [F.lit(1)]))
+        fields = [a.alias("a"), b.alias("b"), d.alias("d")]
         if measured:
             fields.append(F.when(c.isNotNull(), _value_bytes(c, data_type)).cast("bigint").alias("bytes"))
         cells.append(F.struct(F.lit(i).alias("i"), *fields))
@@ -57,18 +131,29 @@ def _value_rows(df: DataFrame, columns: list[str], measured: bool = False) -> Da
 
 def _distinct_counts(df: DataFrame, columns: list[str], measured: bool = False) -> DataFrame:
     """Per column number: distinct values, nulls, NaN cells and, when measured, the longest value."""
-    longest = [F.max("bytes").alias("bytes")] if measured else []
-    values = _value_rows(df, columns, measured).groupBy("i", "l", "d", "s").agg(F.count(F.lit(1)).alias("n"), *longest)
-    # A null counted 0 times gives every column a row, even in an empty table.
-    nothing = [f"cast(NULL AS {t}) AS {c}" for c, t in values.dtypes if c not in ("i", "n")]
-    none = df.sparkSession.range(len(columns)).selectExpr("int(id) AS i", "0L AS n", *nothing)
-    values = values.unionByName(none)
-    return values.groupBy("i").agg(
-        F.expr("count_if(l IS NOT NULL OR d IS NOT NULL OR s IS NOT NULL) AS values"),
-        F.expr("coalesce(sum(n) FILTER (WHERE l IS NULL AND d IS NULL AND s IS NULL), 0) AS nulls"),
-        F.expr("coalesce(sum(n) FILTER (WHERE isnan(d)), 0) AS nans"),
-        *longest,
-    )
+    df = settled(df.select(*map(_quoted, dict.fromkeys(columns))))
+    dense = _dense_columns(df, columns)
+    others = [i for i in range(len(columns)) if i not in dense]
+    parts = []
+    if dense:
+        widths = F.get(F.array(*[F.lit(TYPE_WIDTHS.get(df.schema[c].dataType.simpleString())).cast("bigint") for c in columns]), F.col("i"))
+        longest = [F.when(F.col("values") > 0, widths).alias("bytes")] if measured else []
+        parts.append(_by_bitmap(df, columns, dense).select("i", "values", "nulls", F.lit(0).cast("bigint").alias("nans"), *longest))
+    if others:
+        longest = [F.max("bytes").alias("bytes")] if measured else []
+        values = _value_rows(df, columns, others, measured).groupBy("i", "a", "b", "d").agg(F.count(F.lit(1)).alias("n"), *longest)
+        # A null counted 0 times gives every column a row, even in an empty table.
+        numbers = F.explode(F.array(*map(F.lit, others))).alias("i")
+        nothing = [F.lit(None).cast(t).alias(c) for c, t in values.dtypes if c not in ("i", "n")]
+        none = df.sparkSession.range(1).select(numbers, F.lit(0).cast("bigint").alias("n"), *nothing)
+        counted = values.unionByName(none).groupBy("i").agg(
+            F.expr("count_if(a IS NOT NULL OR d IS NOT NULL) AS values"),
+            F.expr("coalesce(sum(n) FILTER (WHERE a IS NULL AND d IS NULL), 0) AS nulls"),
+            F.expr("coalesce(sum(n) FILTER (WHERE isnan(d)), 0) AS nans"),
+            *longest,
+        )
+        parts.append(counted)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _named(columns: list[str], number: str = "i") -> Column:

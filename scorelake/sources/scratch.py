@@ -55,13 +55,16 @@ def is_scan(df: DataFrame) -> bool:
     return all(s is None or s[1] in CHEAP for s in steps)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """A frame that can be scanned many times: itself if it is a plain scan, else written to the shared folder once.
 
     Give it only the columns that are needed.
     """
-    if is_scan(df):
-        return df
-    path = scratch_path(df.sparkSession, "settled")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df if is_scan(df) else written(df, "settled")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
@@ -99,38 +100,82 @@ def save_table(
     key: str | Column | None = None,
     format: str = "parquet",
     path: str | None = None,
+    keep_old: bool = False,
 ) -> str:
     """Save as a table and return its name; managed, or at `path` when given.
 
     Without a name one is made up. If the table exists: ``raise`` an error,
-    ``silent`` keeps the data under a made-up name, ``replace`` overwrites.
+    ``silent`` keeps the data under a made-up name, ``replace`` publishes a new version:
+    the rows are written to a folder of their own beside the old ones, and only then is the table pointed
+    to them (``<location>-versions/…``, also with `path`). Until that moment, and for good if the write fails, readers see the old rows,
+    which the new ones may be made from. The folder of the version before is deleted after the
+    switch, unless `keep_old`, for readers that are still in the middle of it.
     """
     if if_exists not in ("raise", "silent", "replace"):
         raise ValueError("if_exists only accepts 'raise', 'silent' or 'replace'")
     df = prepared(df, columns, column_names, encrypt, key)
     spark = df.sparkSession
-    made_up = f"upload_{uuid4().hex[:12]}"
-    if table is None or (if_exists == "silent" and spark.catalog.tableExists(table)):
-        table = made_up
-    mode = "overwrite" if if_exists == "replace" else "error"
-    if mode == "overwrite" and spark.catalog.tableExists(table):
-        beside = f"{table}_{uuid4().hex[:12]}"
-        files = set(spark.table(table).inputFiles())
-        if path is None or files.intersection(df.inputFiles()):
-            # The rows may come from the table itself: write them beside it, then put them in its place.
-            df.write.format(format).mode(mode).saveAsTable(beside)
-            if path is None:
-                drop_table(spark, table)
-                rename_table(spark, beside, table)
-                return table
-            spark.table(beside).write.format(format).mode(mode).option("path", path).saveAsTable(table)
-            drop_table(spark, beside)
-            return table
-    writer = df.write.format(format).mode(mode)
+    exists = table is not None and spark.catalog.tableExists(table)
+    if table is None or (if_exists == "silent" and exists):
+        table, exists = f"upload_{uuid4().hex[:12]}", False
+    if if_exists == "replace" and exists:
+        _publish(df, table, format, path, keep_old)
+        return table
+    writer = df.write.format(format).mode("error")
     (writer.option("path", path) if path else writer).saveAsTable(table)
     return table
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql("DESCRIBE FORMATTED IDENTIFIER(:t)", args={"t": table}).where("col_name = 'Location'")
+    return rows.first()["data_type"]
+
+
+def _publish(df: DataFrame, table: str, format: str, path: str | None, keep_old: bool) -> None:
+    """Write a version of an existing table, then switch the table to it."""
+    spark = df.sparkSession
+    old = _location(spark, table)
+    # Versions stand beside the first location, so that no reader of it meets their files.
+    root = re.sub(r"-versions/[0-9a-f]{32}$", "", (path or old).rstrip("/"))
+    new = f"{root}-versions/{uuid4().hex}"
+    trial = f"{table}_{uuid4().hex[:12]}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    store = lambda p: hadoop(p).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        df.write.format(format).mode("error").option("path", new).saveAsTable(trial)
+    except BaseException:
+        drop_table(spark, trial)
+        store(new).delete(hadoop(new), True)
+        raise
+    drop_table(spark, trial)  # its files stay: the table of a path is external
+    if spark.table(table).dtypes == df.dtypes and _provider(spark, table) == format.lower():
+        # One change in the catalog.
+        spark.sql(f"ALTER TABLE IDENTIFIER(:t) SET LOCATION '{_quoted(new)}'", args={"t": table})
+    else:
+        # Other columns or files: the new table is made under another name, so that only names change.
+        spark.catalog.createTable(trial, path=new, source=format)
+        aside = f"{table}_{uuid4().hex[:12]}"
+        rename_table(spark, table, aside)
+        try:
+            rename_table(spark, trial, table)
+        except BaseException:
+            rename_table(spark, aside, table)
+            raise
+        old = _location(spark, aside)
+        drop_table(spark, aside)
+    spark.catalog.refreshTable(table)
+    if not keep_old:
+        store(old).delete(hadoop(old), True)
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _provider(spark: SparkSession, table: str) -> str:
+    return spark.sql("DESCRIBE FORMATTED IDENTIFIER(:t)", args={"t": table}).where("col_name = 'Provider'").first()["data_type"].lower()
+
+
 def insert_rows(
     df: DataFrame,
     table: str,

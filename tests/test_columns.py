@@ -1,3 +1,4 @@
+import datetime
 import decimal
 import math
 import random
@@ -258,7 +259,7 @@ def test_split_documents(spark, text, expected):
 def test_row_numbers_of_copies_and_cells(spark):
     rows = [(i % 5 if i % 3 else None, i % 7, "x" if i % 2 else None) for i in range(400)] + [(2, 2, "same")] * 300
     df = spark.createDataFrame(rows, "k int, v int, copies string").repartition(5)
-    for size in (10, 100, 10**6):
+    for size in (1, 10, 100, 10**6):
         got = sl.row_numbers(df, ["k", "v"], rows_per_cell=size).collect()
         assert sorted(r["row_number"] for r in got) == list(range(1, 701))
         by_number = [(r["k"], r["v"]) for r in sorted(got, key=lambda r: r["row_number"])]
@@ -269,6 +270,17 @@ def test_row_numbers_of_copies_and_cells(spark):
     assert sl.row_numbers(df.limit(0), ["k"]).collect() == []
 
 
+def test_row_numbers_by_text_and_by_a_join(spark):
+    r = random.Random(4)
+    left = spark.createDataFrame([(i, r.choice([None, "a", "b", "é"]) and f"{r.random():.2f}") for i in range(900)], "id int, t string").repartition(4)
+    right = spark.createDataFrame([(i % 300, float(i)) for i in range(600)], "id int, x double")
+    for size in (2, 40):
+        got = sl.row_numbers(left.join(right, "id"), ["t", "x"], rows_per_cell=size).orderBy("row_number").collect()
+        assert [g["row_number"] for g in got] == list(range(1, 601))
+        order = [(g["t"] is not None, g["t"] or "", g["x"]) for g in got]
+        assert order == sorted(order)
+
+
 def test_distinct_values_per_row_of_any_type(spark):
     rows = [(2**53, 2**53 + 1, "a", "b"), (5, 5, "a", "a"), (None, 5, None, None)]
     df = spark.createDataFrame(rows, "a long, b long, s string, t string")
@@ -283,3 +295,59 @@ def test_first_per_key_with_dots(spark):
     df = spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (2, 9, "c")], ["t.k", "t.o", "t.v"])
     got = sl.first_per_key(df, ["t.k"], ["t.o"])
     assert got.columns == df.columns and sorted(map(tuple, got.collect())) == [(1, 1, "a"), (2, 9, "c")]
+
+
+def test_distinct_counts_by_bitmap(spark, monkeypatch):
+    """Whole numbers below, at and above 0, dates and booleans, in ranges of one bitmap and of several."""
+    r = random.Random(6)
+    rows = []
+    for i in range(3000):
+        values = (r.choice([0, 1, -1, 32768, 32769, -32768, -32767, None]), r.randrange(-70_000, 70_000), i % 2 == 0 if i % 3 else None,
+                  None, r.randrange(10**6), f"t{r.randrange(50)}", r.choice([1.5, float("nan"), None, -0.0]))
+        rows.append((*values, datetime.date(2020, 1, 1) + datetime.timedelta(days=r.randrange(900)), r.choice([-(2**63), 2**63 - 1, 5])))
+    df = spark.createDataFrame(rows, "small int, wide int, flag boolean, nothing int, far long, t string, x double, day date, ends long").repartition(5)
+    want = {}
+    for k, c in enumerate(df.columns):
+        cells = [row[k] for row in rows]
+        missing = sum(v is None or v != v for v in cells)
+        want[c] = len({v for v in cells if v is not None and v == v}) + missing
+    for at_once in (8, 1):
+        monkeypatch.setattr("scorelake.operators.profile.BITMAPS_AT_ONCE", at_once)
+        assert {row["column_name"]: row["nunique"] for row in sl.nunique(df).collect()} == want
+        profile = {row["column_name"]: row for row in sl.column_profile(df).collect()}
+        assert profile["wide"]["data_length"] == 4 and profile["nothing"]["data_length"] is None and profile["nothing"]["num_distinct"] == 0
+        assert profile["small"]["num_distinct"] == 7 and profile["day"]["num_distinct"] == want["day"]
+    monkeypatch.setattr("scorelake.operators.profile.MERGE_GROUPS", 2)
+    assert {row["column_name"]: row["nunique"] for row in sl.nunique(df.repartition(7)).collect()} == want
+    assert {row["column_name"]: row["nunique"] for row in sl.nunique(df.limit(0)).collect()} == dict.fromkeys(df.columns, 0)
+
+
+def test_distinct_counts_by_bitmap_over_a_wide_dense_range(spark, monkeypatch):
+    monkeypatch.setattr("scorelake.operators.profile.BITMAPS_AT_ONCE", 1)
+    df = spark.range(-50_000, 150_000).select(F.when(F.col("id") % 10 != 3, F.col("id")).alias("id"), (F.col("id") % 7).alias("k"))
+    assert {r["column_name"]: r["nunique"] for r in sl.nunique(df).collect()} == {"id": 200_000, "k": 13}
+    text = sl.nunique(df.repartition(3))._jdf.queryExecution().executedPlan().toString()
+    assert "bitmap_construct_agg" in text
+
+
+def test_stitched_slices_go_through_one_shuffle(spark):
+    frames = [spark.range(50).select((F.col("id") * (i + 1)).alias("id"), F.lit(i).alias(f"c{i}")) for i in range(4)]
+    wide = sl.stitch_columns(frames, "id")
+    text = wide._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and "Join" not in text
+    rows = {r["id"]: r for r in wide.collect()}
+    assert len(rows) == len({k * (i + 1) for k in range(50) for i in range(4)})
+    assert all(rows[k][f"c{i}"] == (i if k % (i + 1) == 0 and k // (i + 1) < 50 else None) for k in rows for i in range(4))
+
+
+def test_stitched_names_and_repeated_keys(spark):
+    a = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (2, "c", 3.0)], "id int, _key0 string, turn double")
+    b = spark.createDataFrame([(2, 5, {"x": 1}), (3, 6, None)], "id int, slice int, v0 map<string,int>")
+    wide = sl.stitch_columns([a, b], "id")
+    assert wide.columns == ["id", "_key0", "turn", "slice", "v0"]
+    got = [tuple(r) for r in wide.collect()]
+    assert sorted((r[0], r[1]) for r in got if r[1]) == [(1, "a"), (2, "b"), (2, "c")]
+    assert sorted((r[0], r[3]) for r in got if r[3]) == [(2, 5), (3, 6)] and len(got) == 4
+    with pytest.raises(ValueError, match="slice"):
+        sl.stitch_columns([b, b], "id")
+    assert sl.stitch_columns([a], ["id", "turn"]).columns == ["id", "turn", "_key0"]

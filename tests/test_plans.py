@@ -5,7 +5,7 @@ import re
 import pytest
 
 import scorelake as sl
-from scorelake.operators.cells import balanced_cuts
+from scorelake.operators.cells import CutTree, balanced_cuts
 from scorelake.operators.prefix import prefix_sums
 from scorelake.operators.roc import score_points, scored_rows
 from suite.queries import QUERIES, scored
@@ -71,10 +71,34 @@ def test_many_cuts_are_split_by_cell(spark):
     assert all("sum_" in w or "_cell" in w for w in cells_only)
 
 
-def test_row_numbers_store_nothing(spark):
+def test_row_numbers_move_rows_once(spark):
     df = spark.read.parquet(f"{SF}/orders.parquet")
     text = plan(sl.row_numbers(df, ["o_orderdate"], rows_per_cell=200))
     assert "ExistingRDD" not in text and "SinglePartition" not in text
+    # One exchange by cell; the table of offsets is broadcast.
+    assert len(re.findall(r"Exchange hashpartitioning\(", text)) == 1 and "CartesianProduct" not in text
+
+
+def test_plans_of_row_numbers_do_not_grow_with_the_cells(spark):
+    df = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    sizes = {}
+    for rows_per_cell in (20, 10, 2):  # 300, 600 and 3000 cells
+        numbered = sl.row_numbers(df, ["l_extendedprice"], rows_per_cell=rows_per_cell)
+        sizes[rows_per_cell] = len(plan(numbered))
+        assert len(re.findall(r"Exchange hashpartitioning\(", plan(numbered))) == 1
+    assert max(sizes.values()) < 1.2 * min(sizes.values())
+
+
+def test_a_cut_tree_makes_small_cells(spark):
+    df = spark.read.parquet(f"{SF}/lineitem.parquet").selectExpr("l_extendedprice AS price", "l_orderkey AS k", "l_linenumber AS line")
+    tree = CutTree.of(df, ["price", "k", "line"], 6000, 10)
+    assert len(tree.top) == 255 and tree.lower.count() <= 256
+    cells = tree.with_cell(df, "cell")
+    sizes = [r["count"] for r in cells.groupBy("cell").count().collect()]
+    assert len(sizes) > 400 and max(sizes) < 80
+    # Cells rise along the order.
+    rows = cells.orderBy("price", "k", "line").collect()
+    assert all(a["cell"] <= b["cell"] for a, b in zip(rows, rows[1:]))
 
 
 def test_sketches_of_many_features_are_not_sorted(spark):

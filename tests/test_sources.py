@@ -147,6 +147,87 @@ def test_a_table_replaces_itself(spark, items, tmp_path):
             assert not [t for t in sl.list_tables(spark) if "self" in str(t)]
 
 
+def test_a_failed_replace_leaves_the_old_rows(spark, items, tmp_path):
+    for path in (None, str(tmp_path / "kept")):
+        sl.save_table(items, "kept", path=path)
+        before = sorted(map(tuple, spark.table("kept").collect()))
+        tables = len(sl.list_tables(spark))
+        stops = items.withColumn("name", F.when(F.col("id") == 7, F.raise_error(F.lit("stop"))).otherwise(F.col("name")))
+        for broken in (stops, stops.withColumn("more", F.lit(1))):
+            with pytest.raises(Exception, match="stop"):
+                sl.save_table(broken, "kept", if_exists="replace", path=path)
+            spark.catalog.refreshTable("kept")
+            assert sorted(map(tuple, spark.table("kept").collect())) == before and len(sl.list_tables(spark)) == tables
+        sl.drop_table(spark, "kept")
+
+
+def test_versions_follow_each_other(spark, items):
+    sl.save_table(items, "versions")
+    old = spark.table("versions").inputFiles()
+    for k in (5, 3):
+        sl.save_table(spark.table("versions").where(f"id < {k}"), "versions", if_exists="replace", keep_old=k == 5)
+        assert sorted(r["id"] for r in spark.table("versions").collect()) == list(range(k))
+    # The first version was kept for its readers, the second was not.
+    assert spark.read.parquet(*old).count() == items.count()
+    sl.insert_rows(items.where("id = 9"), "versions")
+    assert spark.table("versions").count() == 4
+    sl.save_table(items.selectExpr("id AS other"), "versions", if_exists="replace")
+    assert spark.table("versions").columns == ["other"] and spark.table("versions").count() == items.count()
+    sl.drop_table(spark, "versions")
+
+
+def test_ordered_exports(spark, tmp_path, monkeypatch):
+    from scorelake.sources import exports
+
+    rows = [(i, f'text "{i}"\nline, {i}' if i % 5 else None) for i in range(95)]
+    df = spark.createDataFrame(rows, "k int, t string").repartition(4)
+    path = str(tmp_path / "ordered")
+    listed = sl.export_ordered(df, path, ["k"], max_rows=10, chunks_per_job=4).orderBy("chunk").collect()
+    assert [(r["chunk"], r["rows"]) for r in listed] == [(c, 10 if c < 9 else 5) for c in range(10)]
+    back = sl.read_ordered(spark, path, "k int, t string")
+    assert sorted((r["chunk"], r["k"], r["t"]) for r in back.collect()) == [(k // 10, k, t) for k, t in rows] or [
+        (r["chunk"], r["k"], r["t"]) for r in back.orderBy("k").collect()
+    ] == [(k // 10, k, t) for k, t in rows]
+    assert sl.changed_chunks(spark, path).collect() == []
+    # Within a file the rows are in order.
+    with open(f"{path}/{listed[3]['file']}") as f:
+        assert [int(line.split(",")[0]) for line in f.read().splitlines() if line[:2].isdigit()] == list(range(30, 40))
+
+    # A stopped export goes on behind the last job that finished.
+    stopped, waves, real = str(tmp_path / "stopped"), [], exports.manifest
+
+    class Stop(Exception):
+        pass
+
+    original = type(df.write).save
+
+    def save(writer, target=None, *args, **kwargs):
+        if target == stopped:
+            waves.append(1)
+            if len(waves) == 3:
+                raise Stop
+        return original(writer, target, *args, **kwargs)
+
+    monkeypatch.setattr(type(df.write), "save", save)
+    with pytest.raises(Stop):
+        sl.export_ordered(df, stopped, ["k"], max_rows=10, chunks_per_job=3)
+    assert real(spark, stopped).count() == 6 and len(waves) == 3
+    again = sl.export_ordered(df, stopped, ["k"], max_rows=10, chunks_per_job=3)
+    assert len(waves) == 5 and sorted((r["chunk"], r["checksum"]) for r in again.collect()) == [(r["chunk"], r["checksum"]) for r in listed]
+    # One that is done writes nothing.
+    assert sl.export_ordered(df, stopped, ["k"], max_rows=10).count() == 10 and len(waves) == 5
+    monkeypatch.undo()
+    # Missing and changed files are found.
+    folder, _, name = next(r["file"] for r in again.collect() if r["chunk"] == 2).partition("/")
+    with open(f"{stopped}/{folder}/{name}", "a") as f:
+        f.write("99,more\n")
+    os.remove(f"{stopped}/{folder}/.{name}.crc")
+    assert [(r["chunk"], r["problem"]) for r in sl.changed_chunks(spark, stopped).collect()] == [(2, "changed")]
+    assert sl.export_ordered(df.limit(0), str(tmp_path / "none"), ["k"]).collect() == []
+    with pytest.raises(ValueError):
+        sl.export_ordered(df.withColumnRenamed("t", "Chunk"), str(tmp_path / "clash"), ["k"])
+
+
 def test_save_table_modes(spark, items):
     assert sl.save_table(items, "t", columns=["id", "name"], column_names=["k", "v"]) == "t"
     assert spark.table("t").columns == ["k", "v"]
