@@ -81,7 +81,7 @@ class AlignedPieces(Pieces):
     def __init__(self, known: Vocabularies):
         self.known_tokens = known
         super().__init__(known.one)
-        self.most = KEPT_PIECES // 4
+        self.most = KEPT_PIECES // 2
         if not self.byte_level:
             raise ValueError("the first tokenizer must be a byte-level BPE")
 

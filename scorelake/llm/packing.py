@@ -50,7 +50,6 @@ def best_fit(counts: dict[int, int], capacity: tuple[float, float, float], score
     demand = lambda n: np.array([n, 1, n * n], float)
     total = sum((c * demand(n) for n, c in counts.items()), np.zeros(3)) / full
     weight = total / total.max() if total.max() > 0 else np.ones(3)
-    weight = np.where(weight > 0.5, weight, weight * 1e-6)  # capacities far from scarce only break ties
     bins: list[Bins] = []
     left = np.zeros((0, 3))
     for n in sorted((n for n, c in counts.items() if c), reverse=True):

@@ -22,7 +22,7 @@ from .common import SPACE, buffers, kept
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 #: Pieces that a worker process keeps; beyond that it begins anew.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 250_000
 
 
 def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
