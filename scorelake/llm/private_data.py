@@ -41,18 +41,30 @@ DIGIT = re.compile(r"[0-9]")
 
 # Words that name a kind, and words that deny it.
 NAMES = {
-    "secret": ["token", "secret", "password", "passwd", "pwd", "apikey", "api_key", "key", "bearer", "credential", "credentials", "auth"],
-    "iban": ["iban", "account", "konto", "cuenta", "compte", "bank"],
-    "ssn": ["ssn", "social", "security"],
-    "mac": ["mac", "hardware", "ethernet", "device"],
+    "secret": [
+        "token", "tokens", "secret", "secrets", "password", "passwords", "passwd", "passphrase", "passcode", "pwd", "pass", "pin", "apikey", "api_key",
+        "api_token", "api_secret", "key", "access_key", "access_token", "refresh_token", "auth_token", "id_token", "session_token", "secret_key",
+        "secret_access_key", "private_key", "client_secret", "client_key", "consumer_secret", "encryption_key", "signing_key", "master_key",
+        "bearer", "basic", "credential", "credentials", "auth", "authorization", "jwt", "cookie", "session", "sessionid", "hmac", "webhook_secret",
+        "db_password", "database_password", "root_password", "admin_password", "user_password", "login", "passwort", "kennwort", "contraseña", "clave", "motdepasse",
+    ],
+    "iban": ["iban", "account", "acct", "konto", "kontonummer", "cuenta", "compte", "conto", "rekening", "bank", "bankverbindung", "bic", "swift", "sepa", "transfer", "payee", "beneficiary", "überweisung"],
+    "ssn": ["ssn", "ssns", "social", "security", "socialsecurity", "taxpayer", "tin", "itin", "tax", "w2", "dependent", "beneficiary"],
+    "mac": ["mac", "macaddr", "macaddress", "hwaddr", "hardware", "ethernet", "ether", "device", "bssid", "wifi", "wlan", "nic", "interface", "lladdr", "bluetooth", "adapter", "eth0", "wlan0"],
 }
-DENIALS = ["sha", "sha1", "sha256", "md5", "checksum", "commit", "digest", "isbn", "version", "example", "order", "invoice", "etag", "uuid"]
+DENIALS = [
+    "sha", "sha1", "sha224", "sha256", "sha384", "sha512", "md5", "crc", "crc32", "checksum", "checksums", "commit", "commits", "revision", "digest", "hash", "integrity",
+    "isbn", "issn", "doi", "ean", "version", "release", "build", "example", "sample", "dummy", "placeholder", "order", "invoice", "ticket", "case", "serial", "part",
+    "sku", "etag", "uuid", "guid", "http", "https", "ftp", "url", "path", "file", "filename", "class", "package", "import",
+]
 CANDIDATES = {
-    "secret": re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/-]{16,128}(?![A-Za-z0-9_+/-])"),
+    "secret": re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/-]{16,}"),
     "iban": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     "ssn": re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     "mac": re.compile(r"(?<![0-9A-Za-z:-])[0-9A-Fa-f]{2}(?:[:-][0-9A-Fa-f]{2}){5}(?![0-9A-Za-z:-])"),
 }
+# What a name of a secret is set to may be of any length from six characters on.
+ASSIGNED = re.compile(r"(?i)(?:token|secret|password|passwd|pwd|key|credentials?)[\"']?[ ]?[=:][ ]?[\"']?([^\s\"',;<>]{6,})")
 WORDS_BEFORE = re.compile(r"[A-Za-z0-9_]+")
 
 
@@ -142,21 +154,25 @@ def votes(kind: str, text: str, start: int, end: int) -> tuple[int, ...]:
 
 
 def candidates(text: str, taken: list[tuple[int, int]]) -> list[tuple[str, int, int, tuple[int, ...]]]:
-    """(kind, start, end, votes and look) of wide matches with a digit that meet no span of ``taken``."""
+    """(kind, start, end, votes, look and length class) of wide matches of any length that meet no span of ``taken``."""
     out: list[tuple[str, int, int, tuple[int, ...]]] = []
-    if not DIGIT.search(text):
-        return out
-    for kind, pattern in CANDIDATES.items():
-        for m in pattern.finditer(text):
-            a, b = m.span()
-            s = m.group()
-            if not DIGIT.search(s) or any(a < y and x < b for x, y in taken):
-                continue
-            if kind == "secret" and s.isdigit():
-                continue  # a bare number
-            if any(a < y and x < b for k, x, y, _ in out if k != "secret") and kind == "secret":
-                continue
-            out.append((kind, a, b, (*votes(kind, text, a, b), look(s), min(3, (b - a) // 16))))
+
+    def add(kind: str, a: int, b: int) -> None:
+        if any(a < y and x < b for x, y in taken) or any(a < y and x < b for _, x, y, _ in out):
+            return
+        out.append((kind, a, b, (*votes(kind, text, a, b), look(text[a:b]), min(3, (b - a) // 16))))
+
+    # The narrow kinds first: a secret is what no other kind explains.
+    if DIGIT.search(text):
+        for kind in ("iban", "ssn", "mac"):
+            for m in CANDIDATES[kind].finditer(text):
+                add(kind, *m.span())
+    if "=" in text or ":" in text:
+        for m in ASSIGNED.finditer(text):
+            add("secret", *m.span(1))
+    for m in CANDIDATES["secret"].finditer(text):
+        if not m.group().isdigit():  # a bare number
+            add("secret", *m.span())
     return out
 
 

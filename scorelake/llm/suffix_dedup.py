@@ -414,7 +414,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, core: int = CORE, toge
     return (
         spans.select("doc_id", F.shiftright("place", 32).cast("int").alias("mark"), (begin + F.col("windows_from")).alias("a"), (begin + F.col("windows_to") + window).alias("b"))
         .groupBy("doc_id", "mark")
-        .agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+        .agg(F.collect_set(F.struct("a", "b")).alias("spans"))
     )
 
 
@@ -438,17 +438,28 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, core: int = CORE, tog
     ship(docs.sparkSession)
     mark = F.xxhash64(text_of(docs)).bitwiseAND(0x7FFFFFFF).cast("int")
     rows = docs.select("doc_id", mark.alias("mark"), text_of(docs).alias("text"))
-    spans = repeated_spans(rows, window, core, together)
+    # All of a row that repeats goes, and one of its rows stands for all when others are compared with it.
+    again = stored(rows.groupBy("doc_id", "mark").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "mark"), "rows")
+    searched, repeats = rows, not again.isEmpty()
+    if repeats:
+        known = rows["doc_id"].eqNullSafe(again["doc_id"]) & (rows["mark"] == again["mark"])
+        one = rows.join(again, known, "left_semi").dropDuplicates(["doc_id", "mark"])
+        searched = stored(rows.join(again, known, "left_anti").union(one), "searched")
+    spans = repeated_spans(searched, window, core, together)
     same = rows["doc_id"].eqNullSafe(spans["doc_id"]) & (rows["mark"] == spans["mark"])
-    joined = rows.join(spans, same, "left").select(rows["doc_id"], "text", "spans")
+    joined = rows.join(spans, same, "left").select(rows["doc_id"], rows["mark"], "text", "spans")
+    if repeats:
+        flagged = again.select(F.col("doc_id").alias("id"), F.col("mark").alias("of"), F.lit(True).alias("whole"))
+        joined = joined.join(flagged, joined["doc_id"].eqNullSafe(flagged["id"]) & (joined["mark"] == flagged["of"]), "left")
+    joined = joined.select("doc_id", "text", "spans", F.coalesce("whole", F.lit(False)) if repeats else F.lit(False))
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"]
 
     def run(batches):
         for batch in batches:
             data, offsets = buffers(batch.column(1))
             raw, kept, found = data.tobytes(), [], []
-            for a, b, spans in zip(offsets[:-1].tolist(), offsets[1:].tolist(), batch.column(2).to_pylist()):
-                runs_ = merged([(s["a"], s["b"]) for s in spans or ()])
+            for a, b, spans, whole in zip(offsets[:-1].tolist(), offsets[1:].tolist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                runs_ = [(0, b - a)] if whole and b - a >= window else merged([(s["a"], s["b"]) for s in spans or ()])
                 found.append(runs_)
                 edges = [0, *(x for r in runs_ for x in r), b - a]
                 kept.append(b"".join(raw[a + x : a + y] for x, y in zip(edges[::2], edges[1::2])))

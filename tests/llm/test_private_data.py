@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 
-from scorelake.llm.private_data import KINDS, LABELERS, base_spans, emails, private_spans, reliabilities, train, train_spans
+from scorelake.llm.private_data import KINDS, LABELERS, base_spans, candidates, emails, private_spans, reliabilities, train, train_spans
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -100,3 +100,61 @@ def test_reliabilities():
     right = sum(hits if p >= 0.5 else n - hits for p, (_, (n, hits)) in zip(likely, sorted(cells.items())))
     assert right / 5000 > 0.93 and len(LABELERS) == 5
     assert train([]) == [] and len(train([("ssn", (1, 1, 1, 0, 1, 3, 0), 4)])) > 0
+
+
+def corpus(rng, n):
+    """(text, kind, start, end, true) of made-up candidates: secrets of all lengths, and what only looks like one."""
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    word = lambda k: "".join(rng.choice(list("aeiounrstlkmdbg"), k))
+    token = lambda k: "".join(rng.choice(list(letters), k))
+    out = []
+    for _ in range(n):
+        name = rng.choice(["token", "secret", "password", "api_key", "client_secret", "access_token", "passphrase"])
+        shape = rng.integers(0, 8)
+        if shape == 0:
+            before, s, true = f'{name} = "', token(rng.integers(20, 300)), True
+        elif shape == 1:
+            before, s, true = f"{name}: ", token(rng.integers(16, 40)), True
+        elif shape == 2:
+            before, s, true = "password: ", rng.choice(["hunterCorrectHorseBattery", "s3cr3tPass9x", "Tr0ub4dor&3zebra", "plumHarborQuietFox"]), True
+        elif shape == 3:
+            before, s, true = f"authorization {rng.choice(['bearer', 'token'])} = ", token(rng.integers(130, 200)), True
+        elif shape == 4:
+            before, s, true = f"{rng.choice(['commit', 'sha1', 'checksum', 'digest'])} ", "".join(rng.choice(list("0123456789abcdef"), 40)), False
+        elif shape == 5:
+            before, s, true = f"the {word(5)} ", word(rng.integers(16, 30)), False
+        elif shape == 6:
+            before, s, true = "see https:", "//www." + word(8) + "com/" + word(12), False
+        else:
+            before, s, true = f"{rng.choice(['order', 'invoice', 'version'])} ", token(rng.integers(16, 24)), False
+        head = f"{word(4)} {word(6)} "
+        out.append((f"{head}{before}{s}" + ('"' if before.endswith('"') else "") + f" {word(5)}", len(head + before), len(head + before + s), true))
+    return out
+
+
+def test_the_classifier_against_a_vote_of_the_majority(spark):
+    rows = corpus(np.random.default_rng(11), 1600)
+    df = spark.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], "doc_id long, text string")
+    found = {r[0]: {tuple(s.split(":")) for s in r[6].split(",") if s} for r in private_spans(df).collect()}
+    counts = {"ours": [0, 0, 0], "majority": [0, 0, 0]}  # right, wrong, missed
+    for i, (text, a, b, true) in enumerate(rows):
+        voted = {(k, str(x), str(y)) for k, x, y, v in candidates(text, []) if sum(v[: len(LABELERS)]) > 0}
+        for name, spans in (("ours", found[i]), ("majority", voted)):
+            hit = ("secret", str(a), str(b)) in spans
+            counts[name][0] += hit and true
+            counts[name][1] += len(spans) - (hit and true)
+            counts[name][2] += true and not hit
+    precision = {k: c[0] / max(1, c[0] + c[1]) for k, c in counts.items()}
+    recall = {k: c[0] / (c[0] + c[2]) for k, c in counts.items()}
+    assert precision["ours"] > 0.97 and recall["ours"] > 0.97
+    assert precision["ours"] >= precision["majority"] - 0.005 and recall["ours"] >= recall["majority"] - 0.005
+
+
+def test_secrets_of_any_length_and_without_digits(spark):
+    rng = np.random.default_rng(12)
+    rows = [r[0] for r in corpus(rng, 600)]
+    long = "".join(rng.choice(list("abcdefXYZ0123456789"), 200))
+    mine = [f'token="{long}"', "password: hunterCorrectHorseBattery", "password: s3cr3tPass", "die unglichachkeiteinander gehen weiter"]
+    df = spark.createDataFrame(list(enumerate([*mine, *rows])), "doc_id long, text string")
+    got = {r[0]: r[6] for r in private_spans(df).collect()}
+    assert [got[i] for i in range(4)] == ["secret:7:207", "secret:10:35", "secret:10:20", ""]

@@ -145,3 +145,14 @@ def test_edge_rows(edge, none, spark):
 
 def test_merged():
     assert merged([(5, 9), (0, 3), (3, 4), (8, 12)]) == [(0, 4), (5, 12)]
+
+
+def test_rows_that_repeat_very_often(spark):
+    """Whatever the number of equal rows, one stands for all; its spans are found once."""
+    texts = passages(6, 6)
+    long = max(texts, key=lambda t: len(t or ""))
+    for n in (3, 300):
+        compare(spark, [*texts, *[long] * n, *["short"] * n, *[None] * n], [*range(len(texts)), *[77] * n, *[78] * n, *[None] * n])
+    rows = spark.createDataFrame([(1, "m", long)] * 2000, "doc_id long, extra string, text string").repartition(8)
+    got = without_repeats(rows.select("doc_id", "text")).collect()
+    assert len(got) == 2000 and all(r["n_removed"] == r["n_bytes"] == len(long.encode()) and len(r["spans"]) == 1 for r in got)
