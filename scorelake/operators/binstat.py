@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import numeric_label, psi, safe_div
-from ..sources.scratch import settled
-from . import cells
-from .binning import bin_edges, bin_sql_of_group, bin_struct, check_bins, round_edges
+from ..sources.scratch import settled, written
+from . import cells, many
+from .binning import GROUPS_PER_PASS, bin_edges, bin_sql_of_group, bin_struct, check_bins, clean_number, feature_rows, round_edges
 
 GROUP = "_group_number"
 COUNTS = ["bin_num", "bad_num", "good_num"]
@@ -74,6 +74,8 @@ def bin_stat(
         needed.append(number.alias(GROUP))
         number = F.col(GROUP)
     df = settled(df.select(*needed))
+    if not explicit and len(names) * len(columns) > GROUPS_PER_PASS:
+        return _bin_stat_of_many(df, columns, label, pred, bins, cut_method, ascending, closed, precision, fillna, method, number, names, group_name, stat_cols)
     edges = bin_edges(df, columns, bins, cut_method, closed, method, number, len(names))
     width = len(columns)
 
@@ -117,6 +119,42 @@ def bin_stat(
     )
 
 
+def _bin_stat_of_many(df, columns, label, pred, bins, cut_method, ascending, closed, precision, fillna, method, number, names, group_name, stat_cols) -> DataFrame:
+    """`bin_stat` with the edges of all groups and features in a table that is joined by group, so that no expression grows with them."""
+    width, types = len(columns), dict(df.dtypes)
+    group = F.lit(0) if number is None else number
+    edges = written(many.edge_rows(feature_rows(df, columns, number), bins, cut_method, precision, closed, method), "edges")
+    y = [numeric_label(F.col(f"`{c}`"), types[c]).alias(n) for c, n in ((label, "_y"), (pred, "_p")) if c is not None]
+    values = F.array(*[clean_number(f"`{c}`") for c in columns])
+    rows = df.select(group.cast("int").alias("_g"), *y, F.posexplode(values).alias("_f", "_v")).where("_g IS NOT NULL")
+    rows = rows.withColumn("g", F.col("_g") * width + F.col("_f"))
+    # Where bins are few against rows, a row of edges meets many rows of its group: AQE splits those.
+    binned = rows.join(edges.select("g", "edges"), "g", "left")
+    bin_number = many.bin_of("_v", "edges", closed, bins + 1)
+    binned = binned.withColumn("_b", F.expr(f"coalesce({bin_number}, 0)" if fillna is not None else bin_number)).where("_b IS NOT NULL")
+    sums = [F.count("_y").alias("bin_num"), F.coalesce(F.sum("_y"), F.lit(0)).alias("bad_num")]
+    if pred is not None:
+        sums += [F.sum("_p").alias("_pred_sum"), F.count("_p").alias("_pred_num")]
+    counted = binned.groupBy("_g", "_f", "_b").agg(*sums)
+    stats = rate_columns(counted, ["_g", "_f"], "_b", ascending)
+    if pred is not None:
+        stats = stats.withColumn("psi", psi(safe_div("_pred_sum", "_pred_num"), F.col("bad_rate")))
+    named = df.sparkSession.createDataFrame(list(enumerate(names)), f"_g int, _name string")
+    shown = edges.select("g", "shown")
+    stats = stats.withColumn("g", F.col("_g") * width + F.col("_f")).join(shown, "g", "left").join(named, "_g", "left")
+    wanted = [*STATS, *(["psi"] if pred is not None else []), "total_bad_rate"]
+    return (
+        stats.withColumns({"_d": many.described("shown", "_b", closed, fillna), "feature": F.get(F.array(*map(F.lit, columns)), F.col("_f"))})
+        .orderBy("_g", "_f", F.col("_b").asc() if ascending else F.col("_b").desc())
+        .select(
+            *([F.col("_name").alias(group_name)] if group_name else []),
+            "feature",
+            *[F.col(f"_d.{name}").alias(alias) for name, alias in BIN_COLUMNS.items()],
+            *(stat_cols or wanted),
+        )
+    )
+
+
 def _count_bins(rows: DataFrame, numbers: dict[int, str], with_pred: bool) -> DataFrame:
     """Counts and sums of some features per group and bin, in one scan of their columns.
 

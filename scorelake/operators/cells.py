@@ -183,9 +183,14 @@ class CutTree:
         below = F.when(F.col(cuts).isNull(), 0).otherwise(_cuts_at_or_below(_row(self.columns), F.col(cuts), CELLS_PER_LEVEL - 1))
         return joined.withColumn(name, F.col(top) * CELLS_PER_LEVEL + below).drop(top, cuts)
 
-    def offsets(self, df: DataFrame) -> DataFrame:
-        """(cell, before): the rows of ``df`` in all cells before, for each cell that has rows. A written table of at most 65 536 rows."""
-        counts = self.with_cell(df.select(*[F.col(f"`{c}`") for c in self.columns]), "_cell").groupBy("_cell").agg(F.count("*").alias("n"))
+    def offsets(self, df: DataFrame, weight: Column | None = None) -> DataFrame:
+        """(cell, before): the rows of ``df``, or their weights, in all cells before, for each cell that has rows.
+
+        A written table of at most 65 536 rows.
+        """
+        weight = F.lit(1).cast("bigint") if weight is None else weight
+        weighed = df.select(*[F.col(f"`{c}`") for c in self.columns], weight.alias("_n"))
+        counts = self.with_cell(weighed, "_cell").groupBy("_cell").agg(F.sum("_n").alias("n"))
         earlier = Window.partitionBy(F.lit(0)).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
         return written(counts.select("_cell", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")), "offsets")
 

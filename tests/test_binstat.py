@@ -1,8 +1,8 @@
 import math
 import random
 
+import numpy as np
 import pytest
-
 from pyspark.sql import functions as F
 
 import scorelake as sl
@@ -110,3 +110,53 @@ def test_totals(spark):
     last = rows[-1]
     for name in ("cum_global_bad_rate", "cum_global_good_rate", "lift"):
         assert last[name] == pytest.approx(1)
+
+
+def made_up(spark, groups, rows=3000):
+    r = random.Random(groups)
+    data = [
+        (r.randrange(groups), float(r.randrange(30)) if r.random() > 0.1 else None, r.choice([1e7, 2.5e-5, -3.0, 1e17, 12345678.125, 0.1]) * r.randrange(5),
+         float("nan") if r.random() < 0.05 else r.gauss(0, 1), int(r.random() < 0.3), r.random())
+        for _ in range(rows)
+    ]
+    return spark.createDataFrame(data, "g int, a double, b double, c double, y int, p double").repartition(4)
+
+
+@pytest.mark.parametrize("options", [{}, {"cut_method": "percentile", "closed": "left"}, {"fillna": "none", "precision": None, "ascending": False}, {"bins": 3, "pred": "p"}])
+def test_edges_as_rows_equal_edges_as_text(spark, monkeypatch, options):
+    df = made_up(spark, 7)
+    group = (F.col("g"), [f"group {i}" for i in range(7)], "name")
+    text = sl.bin_stat(df, ["a", "b", "c"], "y", group=group, **options).collect()
+    monkeypatch.setattr("scorelake.operators.binstat.GROUPS_PER_PASS", 0)
+    rows = sl.bin_stat(df, ["a", "b", "c"], "y", group=group, **options).collect()
+    assert len(text) == len(rows) > 60
+    for one, other in zip(text, rows):
+        assert one.asDict().keys() == other.asDict().keys()
+        for k, v in one.asDict().items():
+            assert v == other[k] or (isinstance(v, float) and math.isclose(v, other[k], rel_tol=1e-12)), (k, one, other)
+    whole = sl.bin_stat(df, ["a", "c"], "y", **options).collect()
+    monkeypatch.undo()
+    assert [r["bin_label"] for r in whole] == [r["bin_label"] for r in sl.bin_stat(df, ["a", "c"], "y", **options).collect()]
+
+
+def test_plans_do_not_grow_with_the_groups(spark):
+    sizes, counts = [], []
+    for groups in (100, 1200):
+        df = made_up(spark, groups)
+        stats = sl.bin_stat(df, ["a", "b", "c"], "y", bins=4, group=(F.col("g"), list(map(str, range(groups))), "name"))
+        sizes.append(len(stats._jdf.queryExecution().optimizedPlan().toString()))
+        counts.append(stats.agg(F.sum("bin_num")).first()[0])
+    assert sizes[1] < 1.1 * sizes[0] and min(counts) > 8000
+
+
+def test_quantiles_of_many_groups_in_cells(spark):
+    from scorelake.operators.many import ranked_quantiles
+
+    r = random.Random(2)
+    data = [(0 if i % 2 else r.randrange(40), float(r.randrange(400))) for i in range(5000)]
+    df = spark.createDataFrame(data, "g int, v double").repartition(3)
+    for rows_per_cell in (3, 100, 10**6):
+        got = {row["g"]: row["values"] for row in ranked_quantiles(df, 8, rows_per_cell).collect()}
+        assert len(got) == len({g for g, _ in data})
+        for g, values in got.items():
+            assert np.allclose(values, np.quantile([v for k, v in data if k == g], np.arange(1, 8) / 8), rtol=1e-12)
