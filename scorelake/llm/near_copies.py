@@ -1,19 +1,22 @@
 """SimHash near-duplicate groups by multi-index hashing.
 
-A fingerprint is cut into segments. Two fingerprints within two bits of each other
-have a value between them that differs from each in one bit at most, so each side
-enumerates the ball of radius one in every segment, beside its other segments
-unchanged, and looks its entries up in one table of values. An entry holds at
-most 65 different fingerprints, all within two bits of each other: neither a frequent
-segment nor a large group makes a large bucket, and no match is missed. Every match
-is verified on the whole fingerprint against the least of its entry, which links all
-that an exhaustive comparison would link. Equal fingerprints are one vertex. Groups
+A fingerprint is cut into two segments, and a table for each segment lists the fingerprints
+by the segment's value. If two fingerprints differ in two bits at most, they are equal in
+the second segment or differ in one bit at most in the first. So every fingerprint
+looks up the ball of radius one around its first segment and the very value of its
+second, 34 entries of the tables, and what it finds is verified on the whole fingerprint.
+
+A value that many fingerprints share would make a hot entry. Its fingerprints, and all
+that look it up, are met by the other segment as well: there the key is the whole
+fingerprint with at most one bit changed, so that an entry holds at most 65
+fingerprints. No match is missed. Equal fingerprints are one vertex. Groups
 are connected components by alternating large and small stars on written tables.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +26,9 @@ from pyspark.sql import functions as F
 
 from .common import buffers, free_names, passes, ship, stored, text_of, words_of
 
-BITS, SEGMENTS, RADIUS = 64, 4, 2
+BITS, SEGMENTS, RADIUS = 64, 2, 2
+#: Fingerprints of an entry of a table; entries with more are met by whole fingerprints.
+TOGETHER = 64
 SEED = 42
 SHINGLE = 3
 
@@ -76,28 +81,68 @@ def fingerprint(text: Column, words: int = SHINGLE) -> Column:
     return run(text)
 
 
-def ball(bits: int = BITS, segments: int = SEGMENTS) -> list[int]:
-    """Masks of a ball of radius one in each segment, as signed numbers; the centre once."""
-    width = bits // segments
-    masks = [0] + [1 << (s * width + b) for s in range(segments) for b in range(width)]
-    return [m - (1 << bits) if m >= 1 << (bits - 1) else m for m in masks]
+def signed(n: int) -> int:
+    return n - (1 << BITS) if n >> (BITS - 1) else n
 
 
-def links(values: DataFrame, radius: int = RADIUS) -> DataFrame:
+def balls(radius: int = RADIUS, segments: int = SEGMENTS) -> list[list[int]]:
+    """For each segment, the masks of the ball of its values to look up, as signed numbers.
+
+    With radius = q * segments + a, values within ``radius`` are within q in one of the first a + 1 segments or within q - 1 in another.
+    """
+    q, a = divmod(radius, segments)
+    width = BITS // segments
+    out = []
+    for k in range(segments):
+        most = q if k <= a else q - 1
+        bits = range(k * width, (k + 1) * width)
+        out.append([signed(sum(1 << b for b in chosen)) for n in range(most + 1) for chosen in itertools.combinations(bits, n)])
+    return out
+
+
+def dealt(values: DataFrame) -> DataFrame:
+    """Each row becomes many, so the rows are dealt out to all tasks first."""
+    return values.repartition(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+
+
+def links(values: DataFrame, radius: int = RADIUS, together: int = TOGETHER) -> DataFrame:
     """Pairs (fp, least) that join all fingerprints of ``values`` (distinct ``fp``) within ``radius`` of each other.
 
-    Not all pairs: in an entry every member is linked to the least one.
+    Not all pairs: in a hot entry every member is linked to the least one.
     """
     if radius != 2:
-        raise ValueError("the balls of radius one meet for a distance of two")
-    masks = F.array(*[F.lit(m).cast("long") for m in ball()])
-    # Each row becomes 65, so the rows are dealt out to all tasks first.
-    tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    entries = values.repartition(tasks, "fp").select("fp", F.explode(masks).alias("mask")).select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("entry"))
+        raise ValueError("hot entries are met by balls of radius one, which reach a distance of two")
+    width = BITS // SEGMENTS
+    part = lambda k, x: x.bitwiseAND(F.lit(signed(((1 << width) - 1) << (k * width))))
+    fp = F.col("fp")
+    held = values.select("fp", F.explode(F.array(*[F.struct(F.lit(k).alias("segment"), part(k, fp).alias("value")) for k in range(SEGMENTS)])).alias("e"))
+    held = held.select("fp", "e.*")
+    entry = ["segment", "value"]
+    sizes = stored(held.groupBy(*entry).agg(F.count("*").alias("n")), "entries")
+    small = held.join(sizes.where(F.col("n") <= together).select(*entry), entry).groupBy(*entry).agg(F.collect_list("fp").alias("members"))
+    hot = sizes.where(F.col("n") > together).select(*entry, F.lit(None).cast("array<long>").alias("members"))
+    tables = stored(small.unionByName(hot), "segment-tables")
+
+    masks = [(k, m) for k, ball in enumerate(balls(radius)) for m in ball]
+    looks = F.explode(F.array(*[F.struct(F.lit(k).alias("segment"), F.lit(m).cast("long").alias("mask")) for k, m in masks])).alias("l")
+    looks = dealt(values).select("fp", looks).select("fp", "l.segment", "l.mask")
+    value = F.coalesce(*[F.when(F.col("segment") == k, part(k, fp)) for k in range(SEGMENTS)])
+    looks = looks.select("fp", "segment", value.bitwiseXOR(F.col("mask")).alias("value"))
+    near = F.filter("members", lambda other: (other != F.col("fp")) & (F.bit_count(other.bitwiseXOR(F.col("fp"))) <= radius))
+    met = looks.join(tables, entry).select("fp", near.alias("near"), F.col("members").isNull().alias("hot"))
+    met = stored(met.where(F.col("hot") | (F.size("near") > 0)), "met")
+    found = met.where("NOT hot").select("fp", F.explode("near").alias("other"))
+    pairs = found.select(F.greatest("fp", "other").alias("fp"), F.least("fp", "other").alias("least"))
+    return pairs.union(linked_by_neighbours(met.where("hot").select("fp").distinct(), radius)).distinct()
+
+
+def linked_by_neighbours(values: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """`links` by entries of whole fingerprints: each stands in those of the 65 values within one bit of it."""
+    masks = F.array(*[F.lit(signed(1 << b)).cast("long") for b in range(BITS)], F.lit(0).cast("long"))
+    entries = dealt(values).select("fp", F.explode(masks).alias("mask")).select("fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("entry"))
     table = entries.groupBy("entry").agg(F.min("fp").alias("least"), F.max("fp").alias("most"), F.collect_set("fp").alias("members"))
     met = table.where(F.col("least") != F.col("most")).select("least", F.explode("members").alias("fp")).where("fp != least")
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("least"))) <= radius
-    return met.where(near).select("fp", "least").distinct()
+    return met.where(F.bit_count(F.col("fp").bitwiseXOR(F.col("least"))) <= radius).select("fp", "least")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -1,9 +1,10 @@
 import random
 import re
 
+import pytest
 import xxhash
 
-from scorelake.llm.near_copies import ball, components, first_of_groups, links, near_copies, with_groups
+from scorelake.llm.near_copies import balls, components, first_of_groups, links, near_copies, with_groups
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -83,12 +84,28 @@ def test_links_and_components(spark):
             for _ in range(rng.randint(1, 3)):
                 x ^= 1 << rng.randrange(64)
     df = spark.createDataFrame([(m,) for m in marks], "fp long").repartition(4)
-    roots = {r["fp"]: r["root"] for r in components(links(df)).collect()}
     want = groups([m & (2**64 - 1) for m in marks])
     signed = lambda x: x - (1 << 64) if x >> 63 else x
-    for m in marks:
-        assert roots.get(m, m) == min(map(signed, want[m & (2**64 - 1)]))
-    assert len(set(ball())) == 65
+    # All entries small, some hot, all hot.
+    for together in (64, 3, 0):
+        found = links(df, together=together)
+        assert all(bin((r["fp"] ^ r["least"]) & (2**64 - 1)).count("1") <= 2 and r["fp"] != r["least"] for r in found.collect())
+        roots = {r["fp"]: r["root"] for r in components(found).collect()}
+        for m in marks:
+            assert roots.get(m, m) == min(map(signed, want[m & (2**64 - 1)]))
+
+
+@pytest.mark.parametrize("radius", [0, 1, 2, 3, 5])
+def test_balls_reach_every_value_within_the_radius(radius):
+    rng = random.Random(radius)
+    first, second = map(set, balls(radius))
+    for _ in range(300):
+        x = 0
+        for b in rng.sample(range(64), rng.randint(0, radius)):
+            x |= 1 << b
+        low, high = x & (2**32 - 1), x >> 32 << 32
+        assert low in first or (high - (1 << 64) if high >> 63 else high) in second
+    assert len(first) + len(second) == {0: 1, 1: 2, 2: 34, 3: 66, 5: 1058}[radius]
 
 
 def test_a_long_chain(spark):
