@@ -260,7 +260,7 @@ ORACLE: dict[str, str] = {
       FROM lineitem GROUP BY 1""",
     "nunique_rows_text": """SELECT o_orderkey, whole, words FROM (SELECT o_orderkey,
         len(list_distinct([9007199254740992 + o_orderkey % 2, 9007199254740993, o_custkey]))::INT AS whole FROM orders)
-      FULL JOIN (SELECT doc_id AS o_orderkey, (len(list_distinct([lang, source, text[1:2]])) + (lang IS NULL)::INT + (source IS NULL)::INT
+      FULL JOIN (SELECT doc_id AS o_orderkey, (len(list_distinct([lang, source, text])) + (lang IS NULL)::INT + (source IS NULL)::INT
         + (text IS NULL)::INT)::INT AS words FROM documents) USING (o_orderkey)""",
     "column_profile": per_column("customer", CUSTOMER, PROFILE),
     "describe_table": per_column("part", PART, PROFILE),
@@ -297,6 +297,13 @@ ORACLE: dict[str, str] = {
     "export_chunked": "SELECT * FROM orders",
     "export_by_chunk_id": """SELECT chunk::INT AS chunk, count(*) AS rows, min(o_orderkey) AS first, max(o_orderkey) AS last FROM (
       SELECT *, (row_number() OVER (ORDER BY o_orderkey) - 1) // 4000 AS chunk FROM orders) GROUP BY 1""",
+    "export_ordered": """SELECT ((row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1) // 2000)::BIGINT AS chunk, o_orderkey, o_totalprice, o_orderpriority,
+      least(2000, count(*) OVER () - 2000 * ((row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1) // 2000))::BIGINT AS rows FROM orders""",
+    "bin_stat_many_groups": """WITH l AS (SELECT (l_suppkey % 97)::VARCHAR AS "group", unnest(['l_extendedprice', 'l_quantity', 'l_discount']) AS feature,
+        unnest([l_extendedprice, l_quantity, l_discount]) AS v, (l_returnflag = 'R')::BIGINT AS y FROM lineitem),
+      e AS (SELECT "group", feature, list_distinct(quantile_cont(v, [0.25, 0.5, 0.75])) AS cuts FROM l GROUP BY ALL)
+      SELECT "group", feature, (1 + len(list_filter(cuts, lambda c: c < v)))::INT AS bin, count(*) AS bin_num, sum(y)::BIGINT AS bad_num
+      FROM l JOIN e USING ("group", feature) GROUP BY ALL""",
     "split_table": """SELECT 'open' AS part, o_orderkey FROM orders WHERE o_orderstatus = 'O' UNION ALL
       SELECT 'dear', o_orderkey FROM orders WHERE o_totalprice >= 250000""",
     "write_csv": """SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation, c_acctbal AS balance, c_mktsegment AS segment FROM customer""",
@@ -320,10 +327,11 @@ ORACLE: dict[str, str] = {
     "limit_rows": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100",
     "read_tables": "SELECT o_orderkey AS id FROM orders UNION ALL SELECT c_custkey FROM customer",
     "clean_text": f"SELECT page_id, {CLEAN.format(c='url')} AS url, {CLEAN.format(c='html')} AS html FROM pages",
-    "read_text_blocks": """WITH l AS (SELECT o_orderkey, concat_ws('|', o_orderkey, o_orderstatus, o_orderpriority) AS v FROM orders),
-      p AS (SELECT v, sum(strlen(v) + 1) OVER (ORDER BY o_orderkey) - strlen(v) - 1 AS pos, sum(strlen(v) + 1) OVER () AS size FROM l)
-      SELECT CASE WHEN greatest(1, ceil(pos / 65536)) >= ceil(size / 65536) THEN -1 ELSE greatest(1, ceil(pos / 65536)) END::BIGINT AS block,
-        count(*) AS lines, sum(length(v))::BIGINT AS chars FROM p GROUP BY 1""",
+    "read_text_blocks": """WITH l AS (SELECT o_orderkey // 5000 AS part, o_orderkey, concat_ws('|', o_orderkey, o_orderstatus, o_orderpriority) AS v FROM orders),
+      p AS (SELECT part, v, sum(strlen(v) + 1) OVER (PARTITION BY part ORDER BY o_orderkey) - strlen(v) - 1 AS pos,
+        sum(strlen(v) + 1) OVER (PARTITION BY part) AS size FROM l)
+      SELECT part::BIGINT AS part, CASE WHEN greatest(1, ceil(pos / 65536)) >= ceil(size / 65536) THEN -1 ELSE greatest(1, ceil(pos / 65536)) END::BIGINT AS block,
+        count(*) AS lines, sum(length(v))::BIGINT AS chars FROM p GROUP BY 1, 2""",
     "assemble_documents": SCRIPTS,
     "split_documents": f"""WITH s AS (SELECT conv_id, string_split(regexp_replace(script,
         '\\n[ \\t]*#+(%[\\w.]+[ \\t\\r]*\\n)', chr(1) || '\\1', 'g'), chr(1)) AS p FROM ({SCRIPTS}))

@@ -272,8 +272,8 @@ def nunique_rows(spark, sf_dir):
 def nunique_rows_text(spark, sf_dir):
     df = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_custkey", "9007199254740992 + o_orderkey % 2 AS a", "9007199254740993L AS b")
     whole = sl.nunique(df, ["a", "b", "o_custkey"], axis=1).select("o_orderkey", F.col("nunique").alias("whole"))
-    texts = table(spark, sf_dir, "documents").selectExpr("doc_id AS o_orderkey", "lang", "source", "substr(text, 1, 2) AS start")
-    words = sl.nunique(texts, ["lang", "source", "start"], axis=1).select("o_orderkey", F.col("nunique").alias("words"))
+    texts = table(spark, sf_dir, "documents").selectExpr("doc_id AS o_orderkey", "lang", "source", "text")
+    words = sl.nunique(texts, ["lang", "source", "text"], axis=1).select("o_orderkey", F.col("nunique").alias("words"))
     return sl.stitch_columns([whole, words], "o_orderkey")
 
 
@@ -414,6 +414,14 @@ def chunk_ids(spark, sf_dir):
     return sl.chunk_ids(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"], 1000)
 
 
+@query
+def bin_stat_many_groups(spark, sf_dir):
+    df = table(spark, sf_dir, "lineitem").selectExpr("int(l_suppkey % 97) AS g", "int(l_returnflag = 'R') AS y", "l_extendedprice", "l_quantity", "l_discount")
+    groups = (F.col("g"), [str(i) for i in range(97)], "group")
+    stats = sl.bin_stat(df, ["l_extendedprice", "l_quantity", "l_discount"], "y", bins=4, group=groups)
+    return stats.select("group", "feature", "bin", "bin_num", F.col("bad_num").cast("bigint").alias("bad_num"))
+
+
 # Sinks, read back
 
 
@@ -434,6 +442,15 @@ def export_by_chunk_id(spark, sf_dir):
     )
 
 
+@query
+def export_ordered(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    path = scratch_path(spark, "ordered")
+    files = sl.export_ordered(orders, path, ["o_totalprice", "o_orderkey"], 2000)
+    rows = sl.read_ordered(spark, path, orders.schema)
+    return rows.join(files.select("chunk", "rows"), "chunk")
+
+
 @query
 def split_table(spark, sf_dir):
     conditions = {"open": "o_orderstatus = 'O'", "dear": "o_totalprice >= 250000"}
@@ -624,12 +641,16 @@ def clean_text(spark, sf_dir):
 @query
 def read_text_blocks(spark, sf_dir):
     path = scratch_path(spark, "text")
-    lines = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "concat_ws('|', o_orderkey, o_orderstatus, o_orderpriority) AS value")
-    # One file in a known order, so that the bytes before each line are known.
-    lines.repartition(1).sortWithinPartitions("o_orderkey").select("value").write.text(path)
+    lines = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey DIV 5000 AS part", "o_orderkey", "concat_ws('|', o_orderkey, o_orderstatus, o_orderpriority) AS value"
+    )
+    # A file for each range of keys, in a known order, so that the bytes before each line are known.
+    dealt = lines.repartition("part").sortWithinPartitions("part", "o_orderkey").select("part", "value")
+    dealt.write.partitionBy("part").text(path)
     blocks = sl.read_text_blocks(spark, path, 64 * 1024)
     # A line belongs to the block of 64 KiB in which it starts; a file of one block has only the last, -1.
-    return blocks.groupBy("block").agg(F.count("*").alias("lines"), F.sum(F.length("value")).alias("chars"))
+    part = F.regexp_extract("file", r"/part=(\d+)/", 1).cast("bigint").alias("part")
+    return blocks.groupBy(part, "block").agg(F.count("*").alias("lines"), F.sum(F.length("value")).alias("chars"))
 
 
 def marked_turns(spark, sf_dir):
