@@ -71,8 +71,11 @@ def bin_stat(
     # Several scans read these columns; a join or a grouping behind them is run once.
     needed = [F.col(f"`{c}`") for c in dict.fromkeys([*columns, label, *([pred] if pred is not None else [])])]
     if number is not None:
-        needed.append(number.alias(GROUP))
-        number = F.col(GROUP)
+        name = GROUP
+        while name in df.columns:
+            name = f"_{name}"
+        needed.append(number.alias(name))
+        number = F.col(name)
     df = settled(df.select(*needed))
     if not explicit and len(names) * len(columns) > GROUPS_PER_PASS:
         return _bin_stat_of_many(df, columns, label, pred, bins, cut_method, ascending, closed, precision, fillna, method, number, names, group_name, stat_cols)
@@ -81,14 +84,14 @@ def bin_stat(
 
     types = dict(df.dtypes)
     y = [numeric_label(F.col(f"`{c}`"), types[c]).alias(n) for c, n in ((label, "_y"), (pred, "_p")) if c is not None]
-    rows = df.select(
-        *[F.col(f"`{c}`") for c in dict.fromkeys(columns)], (F.lit(0) if number is None else number).alias("_g"), *y
-    )
+    # Features by number, so that no name of theirs can be one of ours.
+    features = [F.col(f"`{c}`").alias(f"_x{i}") for i, c in enumerate(columns)]
+    rows = df.select(*features, (F.lit(0) if number is None else number).alias("_g"), *y)
     batches: list[list[int]] = [[]]
     numbers, checks = [], 0
-    for i, c in enumerate(columns):
+    for i in range(width):
         mine = [edges[g * width + i] for g in range(len(names))]
-        b = bin_sql_of_group(c, mine, closed)
+        b = bin_sql_of_group(f"_x{i}", mine, closed)
         numbers.append(f"coalesce({b}, 0)" if fillna is not None else b)
         checks += sum(map(len, mine))
         if batches[-1] and checks > cells.COMPILED_CHECKS:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import inspect
 import logging
 from functools import reduce
 
@@ -21,6 +23,38 @@ def require_columns(df: DataFrame, columns: list[str]) -> None:
         raise ValueError(f"columns not found: {', '.join(missing)}")
 
 
+def by_keys(function):
+    """Lets a report ``function(df, ..., keys=...)`` group by columns of any name.
+
+    Inside, the keys are copies under names of their own. A key with the name of a result column is a `ValueError`.
+    """
+    order = list(inspect.signature(function).parameters)
+    at = order.index("keys")
+
+    @functools.wraps(function)
+    def grouped(df: DataFrame, *args, **options) -> DataFrame:
+        given = args[at - 1] if len(args) >= at else options.get("keys")
+        keys = list(given or [])
+        if not keys:
+            return function(df, *args, **options)
+        require_columns(df, keys)
+        names = [f"key_number_{i}" for i in range(len(keys))]
+        while set(names) & {c.lower() for c in df.columns}:
+            names = [f"{n}_" for n in names]
+        copied = df.withColumns({n: F.col(f"`{k}`") for n, k in zip(names, keys)})
+        if len(args) >= at:
+            args = (*args[: at - 1], names, *args[at:])
+        else:
+            options["keys"] = names
+        result = function(copied, *args, **options)
+        shown = [keys[names.index(c)] if c in names else c for c in result.columns]
+        if twice := sorted({k for k in keys if [c.lower() for c in shown].count(k.lower()) > 1}):
+            raise ValueError(f"a key has the name of a result column: {', '.join(twice)}")
+        return result.toDF(*shown)
+
+    return grouped
+
+
 def select_columns(df: DataFrame, columns: list[str] | None = None, more: list[str] | None = None) -> DataFrame:
     """A subset of the columns, by default all. A second list is appended, duplicates dropped."""
     wanted = list(dict.fromkeys([*(columns or df.columns), *(more or [])]))

@@ -78,12 +78,11 @@ def bin_of(value: str, edges: str, closed: str, most: int) -> str:
 
 
 def written_number(x: str) -> str:
-    """SQL text that writes a double with the fewest digits, and with an exponent only below 1e-4 and from 1e16 on."""
-    text = f"cast({x} AS string)"
+    """SQL text that writes a double with the fewest digits that give it back, and with an exponent only below 1e-4 and from 1e16 on."""
+    tries = [f"format_string('%.{d}e', {x})" for d in (14, 15, 16)]
+    text = f"CASE WHEN double({tries[0]}) = {x} THEN {tries[0]} WHEN double({tries[1]}) = {x} THEN {tries[1]} ELSE {tries[2]} END"
     plain = f"regexp_replace(cast(cast({text} AS decimal(38,20)) AS string), '(\\\\.[0-9]+?)0+$', '$1')"
-    parts = f"regexp_extract({text}, '^(-?[0-9]+)(\\\\.[0-9]+)?E(-?)([0-9]+)$', %d)"
-    fraction = f"IF({parts % 2} = '.0', '', {parts % 2})"
-    science = f"concat({parts % 1}, {fraction}, 'e', IF({parts % 3} = '-', '-', '+'), lpad({parts % 4}, greatest(2, length({parts % 4})), '0'))"
+    science = f"regexp_replace({text}, '\\\\.?0*e', 'e')"
     return (
         f"CASE WHEN {x} = double('inf') THEN 'inf' WHEN {x} = double('-inf') THEN '-inf' "
         f"WHEN {x} <> 0D AND (abs({x}) < 1e-4D OR abs({x}) >= 1e16D) THEN {science} ELSE {plain} END"

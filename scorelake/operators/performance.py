@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import numeric_label
 from .cells import ROWS_PER_CELL, CutTree
+from .columns import by_keys
 from .dates import RANGE, date_ranges, named, numbered
 from .prefix import prefix_sums
 from .roc import auc
@@ -21,6 +22,7 @@ PERFORMANCE_COLUMNS = [
 ]
 
 
+@by_keys
 def performance_table(
     df: DataFrame,
     target: str,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import clean_number
 from .cells import ROWS_PER_CELL, balanced_cuts
+from .columns import by_keys
 from .prefix import prefix_sums
 
 
@@ -46,6 +47,7 @@ def _cumulated(rows: DataFrame, keys: list[str], drop_intermediate: bool, rows_p
     return points
 
 
+@by_keys
 def roc_curve(
     df: DataFrame,
     label: str,
@@ -70,6 +72,7 @@ def roc_curve(
     return points.selectExpr(*keys, f"inline(CASE WHEN first THEN array({start}, {point}) ELSE array({point}) END)")
 
 
+@by_keys
 def roc_summary(
     df: DataFrame,
     label: str,
@@ -141,6 +144,7 @@ def roc_summary(
     )
 
 
+@by_keys
 def auc(
     df: DataFrame,
     label: str,
@@ -165,6 +169,7 @@ def auc(
     return summary.select(*(keys or []), F.col(f"auc_{rule}").alias("auc"))
 
 
+@by_keys
 def ks(
     df: DataFrame,
     label: str,

@@ -160,3 +160,13 @@ def test_quantiles_of_many_groups_in_cells(spark):
         assert len(got) == len({g for g, _ in data})
         for g, values in got.items():
             assert np.allclose(values, np.quantile([v for k, v in data if k == g], np.arange(1, 8) / 8), rtol=1e-12)
+
+
+def test_numbers_are_written_with_the_fewest_digits(spark):
+    from scorelake.operators.many import written_number
+
+    r = random.Random(1)
+    values = [0.0, 1.0, -0.5, 569.0, 1e15, 1e16, 1.5e16, 3.999999999999998e16, 1e-4, 9.9e-5, 2.5e-5, 1e100, 0.1 + 0.2, 1e22, float("inf"), float("-inf")]
+    values += [r.uniform(-1, 1) * 10 ** r.randrange(-8, 20) for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [row[0] for row in df.selectExpr(written_number("x")).collect()] == [repr(v) for v in values]

@@ -153,3 +153,26 @@ def test_a_null_key_is_a_group_of_any_size(spark):
         one = sorted(map(tuple, f(df, "y", "s", keys=["k"]).collect()), key=repr)
         many = sorted(map(tuple, f(df, "y", "s", keys=["k"], rows_per_cell=10).collect()), key=repr)
         assert one == many and {r[0] for r in one} == {None, "a"}
+
+
+@pytest.mark.parametrize("name", ["_cell", "tp", "score", "Key_Number_0", "fpr x", "total_tp"])
+def test_keys_of_any_name(spark, name):
+    rows = [(i % 3 if i % 7 else None, i % 2, float(i % 11)) for i in range(200)]
+    plain = spark.createDataFrame(rows, "k int, y int, x double")
+    named = plain.withColumnRenamed("k", name)
+    for report in (sl.auc, sl.ks, sl.roc_curve):
+        want = sorted((tuple(r) for r in report(plain, "y", "x", keys=["k"]).collect()), key=repr)
+        got = report(named, "y", "x", keys=[name])
+        assert got.columns[0] == name and sorted((tuple(r) for r in got.collect()), key=repr) == want
+    with pytest.raises(ValueError, match="auc"):
+        sl.auc(plain.withColumnRenamed("k", "auc"), "y", "x", keys=["auc"])
+    with pytest.raises(ValueError, match="TOTAL"):
+        sl.performance_table(plain.withColumnRenamed("k", "TOTAL"), "y", "x", keys=["TOTAL"])
+
+
+def test_features_with_inner_names(spark):
+    rows = [(float(i), float(i % 9), i % 2) for i in range(100)]
+    want = sl.bin_stat(spark.createDataFrame(rows, "a double, b double, y int"), ["a", "b"], "y", bins=4).drop("feature").collect()
+    for names in ("_y double, _g double, _p int", "_x1 double, _x0 double, _b int", "_group_number double, _f double, y int"):
+        df = spark.createDataFrame(rows, names)
+        assert sl.bin_stat(df, df.columns[:2], df.columns[2], bins=4).drop("feature").collect() == want
