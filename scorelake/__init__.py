@@ -33,7 +33,7 @@ from .operators.columns import (
 from .operators.dates import DateRange, date_ranges, filter_dates, range_number, with_date_range
 from .operators.documents import assemble_documents, split_documents
 from .operators.performance import performance_by_date, performance_table
-from .operators.prefix import chunk_ids, prefix_sums, row_numbers
+from .operators.prefix import PageIndex, chunk_ids, prefix_sums, row_numbers
 from .operators.profile import column_profile, column_sizes, nunique, result_size
 from .operators.roc import auc, ks, roc_curve, roc_summary
 from .plans.reports import binary_report, binary_report_by_date, model_report, pivot_by_date

@@ -134,6 +134,47 @@ def row_numbers(
     return dealt.select(*every, F.explode(F.sequence(F.col(block), end)).alias(name))
 
 
+class PageIndex:
+    """Pages of a table in a given order, each read by itself.
+
+    The index is the cut tree of `row_numbers` and the rows before each of its cells: a page reads the
+    rows of the one or two cells it lies in, not those of the pages before it. Equal rows are in no order
+    among each other, as with LIMIT and OFFSET.
+    """
+
+    def __init__(self, df: DataFrame, order_by: list[str], rows_per_cell: int = ROWS_PER_CELL):
+        self.names = df.columns
+        df = settled(df)
+        self.digest, self.cell, self.number = (_free(n, self.names) for n in ("digest", "cell", "number"))
+        hashable = [F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t and "variant" not in t]
+        self.rows = df.withColumn(self.digest, F.xxhash64(*hashable))
+        self.place = [*dict.fromkeys(order_by), self.digest]
+        self.size = df.count()
+        self.tree = CutTree.of(self.rows, self.place, self.size, rows_per_cell) if self.size > rows_per_cell else None
+        self.offsets = self.tree.offsets(self.rows) if self.tree else None
+
+    def slice(self, first: int, many: int) -> DataFrame:
+        """The rows from number ``first`` (from 0) on, at most ``many``, in order."""
+        if first < 0 or many < 0:
+            raise ValueError("a page begins at 0 at least and has no negative size")
+        rows, before = self.rows.withColumn(self.cell, F.lit(0)), {0: 0}
+        if self.tree:
+            following = F.coalesce(F.lead("before").over(Window.partitionBy(F.lit(0)).orderBy("_cell")), F.lit(self.size))
+            met = self.offsets.withColumn("end", following).where((F.col("before") < first + many) & (F.col("end") > first))
+            before = {r["_cell"]: r["before"] for r in met.collect()}  # the cells of one page
+            rows = self.tree.with_cell(self.rows, self.cell)
+            rows = rows.where(F.col(self.cell).between(min(before), max(before)) if before else F.lit(False))
+        order = Window.partitionBy(self.cell).orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in self.place])
+        earlier = F.coalesce(*[F.when(F.col(self.cell) == c, F.lit(n)) for c, n in before.items()], F.lit(0))
+        numbered = rows.withColumn(self.number, F.row_number().over(order) - 1 + earlier)
+        found = numbered.where((F.col(self.number) >= first) & (F.col(self.number) < first + many)).orderBy(self.number)
+        return found.select(*[F.col(f"`{c}`") for c in self.names])
+
+    def page(self, number: int, page_rows: int) -> DataFrame:
+        """Page ``number`` (from 0) of ``page_rows`` rows each; behind the last page there are none."""
+        return self.slice(number * page_rows, page_rows)
+
+
 def _frequent(keyed: DataFrame, digest: str, rows_per_cell: int) -> DataFrame | None:
     """Digests of rows whose copies would fill a good part of a cell; none if there are no such rows."""
     counts = keyed.groupBy(digest).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max(1, rows_per_cell // 4))

@@ -293,6 +293,7 @@ ORACLE: dict[str, str] = {
     "first_per_key": """SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1""",
     "stack": "SELECT o_orderstatus, count(*) AS rows FROM orders GROUP BY 1",
     "row_numbers": """SELECT o_orderkey, o_orderdate, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS row_number FROM orders""",
+    "page_of_rows": """SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 300 OFFSET 900""",
     "chunk_ids": """SELECT o_orderkey, o_totalprice, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS chunk FROM orders""",
     "export_chunked": "SELECT * FROM orders",
     "export_by_chunk_id": """SELECT chunk::INT AS chunk, count(*) AS rows, min(o_orderkey) AS first, max(o_orderkey) AS last FROM (

@@ -409,6 +409,12 @@ def row_numbers(spark, sf_dir):
     return sl.row_numbers(df, ["o_orderdate", "o_orderkey"])
 
 
+@query
+def page_of_rows(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    return sl.PageIndex(orders, ["o_totalprice", "o_orderkey"], rows_per_cell=2000).page(3, 300)
+
+
 @query
 def chunk_ids(spark, sf_dir):
     return sl.chunk_ids(table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"], 1000)

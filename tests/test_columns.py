@@ -351,3 +351,17 @@ def test_stitched_names_and_repeated_keys(spark):
     with pytest.raises(ValueError, match="slice"):
         sl.stitch_columns([b, b], "id")
     assert sl.stitch_columns([a], ["id", "turn"]).columns == ["id", "turn", "_key0"]
+
+
+def test_pages_by_number(spark):
+    rows = [(i * 7919 % 1000 // 3, f"t{i % 4}" if i % 9 else None, i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k int, cell string, i int").repartition(5)
+    want = sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or "", r[2]))
+    for rows_per_cell in (3, 50, 10**6):
+        index = sl.PageIndex(df, ["k", "cell", "i"], rows_per_cell)
+        for number, size in ((0, 10), (3, 100), (9, 100), (10, 100), (1, 999), (0, 0)):
+            assert [tuple(r) for r in index.page(number, size).collect()] == want[number * size : (number + 1) * size]
+        assert index.page(2, 5).columns == df.columns
+    assert sl.PageIndex(df.limit(0), ["k"]).page(0, 5).collect() == []
+    with pytest.raises(ValueError):
+        index.slice(-1, 5)
