@@ -15,6 +15,7 @@ so any document can be read by itself.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -131,6 +132,8 @@ def store_of(folder: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a folder and the folder's path there."""
     if folder.startswith("file:/"):
         return pafs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
+    # Hadoop's name of the store.
+    folder = re.sub("^s3[an]:", "s3:", folder)
     return pafs.FileSystem.from_uri(folder) if "://" in folder else (pafs.LocalFileSystem(), folder)
 
 
