@@ -188,10 +188,10 @@ class Model:
         g["qkv"] = x.reshape(-1, width).T @ d
         dx = (d @ w["qkv"].T).reshape(x.shape)
         dx[1::step] += dh.reshape(-1, s, width)
-        rows, at = np.unique(inputs, return_inverse=True)
-        sums = np.zeros((len(rows), width), z.dtype)
-        np.add.at(sums, at.reshape(-1), dx.reshape(-1, width))
-        g["ids"] = (rows, sums)
+        flat = inputs.reshape(-1)
+        at = np.argsort(flat, kind="stable")
+        first = np.flatnonzero(np.diff(flat[at], prepend=-1))
+        g["ids"] = (flat[at[first]], np.add.reduceat(dx.reshape(-1, width)[at], first))
         return total, g
 
 

@@ -3,8 +3,8 @@
 One pass turns each batch of documents into a block: the ids of all subwords, the
 different words with their counts in training documents, and which words each
 document uses. Counts of words and subwords are over all training documents. The
-attention weights are fitted by local steps: every training document gives each of its windows with the same
-chance, shards of these windows train copies of the model, and
+attention weights are fitted by local steps to every window of every training document:
+runs of windows are dealt to shards, which train copies of the model, and
 after each round every part of the weights is the mean over the shards that moved it,
 taken by a grouping by part. Copies, means and what is broadcast are as large as the
 vocabulary, whatever the corpus. The counts of a fixed number of frequent words are sent to all
@@ -30,11 +30,13 @@ from .common import SPACE, buffers, kept, mix, ship, stored, words_of
 from .near_copies import LOWER
 from .tokens import DEFAULT_TOKENIZER, Pieces, encode_all, larger, load_tokenizer, text_slices, tokenizer_path
 
-#: One window in so many of every training document is trained on.
-EVERY = 64
+#: One run in so many of the training documents is trained on: all of them.
+EVERY = 1
 ROUNDS = 2
-#: Windows in one step of training.
-BATCH = 128
+#: Strides of a run: windows that stand in a row in a document and are trained on together.
+RUN = 16
+#: Windows in one step of training, at first and at most. Steps grow with what a shard has seen.
+BATCH, MOST = 128, 1024
 #: At most so many of the most frequent words are sent to all tasks with their counts; only others enter the join.
 COMMON = 1 << 17
 #: Numbers in one part of the weights.
@@ -136,44 +138,64 @@ def subword_counts(blocks: DataFrame, size: int, end: int) -> np.ndarray:
 
 
 def training_windows(blocks: DataFrame, model: Model, every: int) -> DataFrame:
-    """order (a digest of document and place) and window (ids of the stride before, of the stride, and targets) of the chosen strides."""
-    size, s = model.size, model.stride
-    shape = Model(np.ones(1), 0, 1, 1, s)  # strides() needs no weights
-    shape.end = model.end
+    """order (a digest of document and place) and run (see `windows_of`) of all windows of training documents, or one run in ``every``."""
+    size, s, end = model.size, model.stride, model.end
 
     def run(batches):
         for row in rows_of(batches):
             ids, bounds = texts_of(row, size)
-            inputs, targets, text = shape.strides(ids, bounds)
-            held = np.frombuffer(row["held"].as_py(), bool)
+            training = np.flatnonzero(~np.frombuffer(row["held"].as_py(), bool))
             names = row["docs"].values.fill_null(0).to_numpy().astype(np.uint64)
-            place = np.arange(len(text)) - np.searchsorted(text, text)
+            # Each text between two ends, one of them its own; `first` is where it begins among all.
+            first = bounds[:-1] + 2 * np.arange(len(names))
+            sizes = np.diff(bounds) + 1
+            row_of = np.full(len(ids) + 2 * len(names), end, narrow_type(size))
+            row_of[np.repeat(first + 1 - bounds[:-1], sizes - 1) + np.arange(len(ids))] = ids
+            many = -(-sizes[training] // (RUN * s))
+            text = np.repeat(training, many)
+            place = np.arange(len(text)) - np.repeat(np.cumsum(many) - many, many)
             order = mix(names[text] * np.uint64(0x9E3779B97F4A7C15) + mix(place.astype(np.uint64)))
-            at = np.flatnonzero(~held[text] & (order % np.uint64(every) == 0))
-            before = np.where((place[at] > 0)[:, None], inputs[np.maximum(at - 1, 0)], PAD)
-            # PAD becomes the largest number, which is no id.
-            windows = np.concatenate([before, inputs[at], targets[at]], axis=1).astype(narrow_type(size + 1))
-            raw = windows.tobytes()
-            step = windows.shape[1] * windows.itemsize
-            mixed = (order[at] // np.uint64(every)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(mixed), pa.array([raw[i : i + step] for i in range(0, len(raw), step)], pa.binary())], names=["order", "window"])
+            kept = order % np.uint64(every) == 0
+            text, place, order = text[kept], place[kept], order[kept] // np.uint64(every)
+            start = place * RUN * s
+            stop = np.minimum(start + RUN * s, sizes[text]) + 1
+            start = np.maximum(start - s, 0)
+            # A run has the stride before it in front, unless it begins a text.
+            runs = [row_of[i:j].tobytes() for i, j in zip((first[text] + start).tolist(), (first[text] + stop).tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(order.view(np.int64)), pa.array(place > 0), pa.array(runs, pa.binary())], names=["order", "follows", "run"])
+
+    return blocks.select("docs", "held", "ids", "id_ends").mapInArrow(run, "order long, follows boolean, run binary")
 
-    return blocks.select("docs", "held", "ids", "id_ends").mapInArrow(run, "order long, window binary")
+
+def windows_of(ids: np.ndarray, follows: bool, model: Model) -> np.ndarray:
+    """A row (ids before, ids, targets) for each stride of a run: what it ends with is a target only, and if it ``follows`` others its first stride is context only."""
+    s = model.stride
+    inputs, targets = (np.full(-(-(len(ids) - 1) // s) * s, fill, np.int64) for fill in (model.end, PAD))
+    inputs[: len(ids) - 1], targets[: len(ids) - 1] = ids[:-1], ids[1:]
+    inputs, targets = inputs.reshape(-1, s), targets.reshape(-1, s)
+    rows = np.concatenate([np.concatenate([np.full((1, s), PAD), inputs[:-1]]), inputs, targets], axis=1)
+    return rows[1:] if follows else rows
 
 
 def train_on(model: Model, windows: np.ndarray, trainer: Trainer) -> None:
-    """One step on windows (ids before, ids, targets)."""
+    """One step on windows (ids before, ids, targets); one that goes on where the window in front of it ends shares its ids."""
     s = model.stride
     before, inputs, targets = windows[:, :s], windows[:, s : 2 * s], windows[:, 2 * s :]
-    follows = np.zeros(2 * len(windows), bool)
-    follows[1::2] = before[:, 0] != PAD
-    both = np.stack([np.where(before == PAD, model.end, before), inputs], axis=1).reshape(-1, s)
-    goals = np.repeat(targets, 2, axis=0)
-    trainer.step(both, goals, follows, 2)
+    follows = before[:, 0] != PAD
+    alone = follows.copy()
+    alone[1:] &= (before[1:] != inputs[:-1]).any(axis=1)
+    # The first stride of all is never predicted.
+    at = np.cumsum(1 + alone)
+    strides, goals = np.full((at[-1] + 1, s), model.end), np.full((at[-1] + 1, s), PAD)
+    strides[at], goals[at] = inputs, targets
+    strides[at[alone] - 1] = before[alone]
+    going = np.zeros(len(strides), bool)
+    going[at] = follows
+    trainer.step(strides, goals, going)
 
 
 def train(model: Model, windows: DataFrame, rounds: int = ROUNDS) -> Model:
-    """The model fitted to ``windows`` (order, window), each used in one round."""
+    """The model fitted to the runs of ``windows`` (order, follows, run), each used in one round."""
     spark = windows.sparkSession
     shards = spark.sparkContext.defaultParallelism
     for r in range(rounds):
@@ -183,17 +205,17 @@ def train(model: Model, windows: DataFrame, rounds: int = ROUNDS) -> Model:
             local = copy.copy(shared.value)  # noqa: B023
             old = local.weights
             local.weights = {k: v.copy() for k, v in old.items()}
-            trainer, n, kind = Trainer(local), 0, narrow_type(local.size + 1)
-            rest = np.zeros((0, 3 * local.stride), np.int64)
+            trainer, n, kind = Trainer(local), 0, narrow_type(local.size)
+            held, waiting = [], 0
             for batch in batches:
-                new = np.frombuffer(b"".join(batch.column(0).to_pylist()), kind).reshape(-1, 3 * local.stride)
-                rest = np.concatenate([rest, np.where(new == np.iinfo(kind).max, PAD, new.astype(np.int64))])
-                n += len(new)
-                while len(rest) >= BATCH:
-                    train_on(local, rest[:BATCH], trainer)
-                    rest = rest[BATCH:]
-            if len(rest):
-                train_on(local, rest, trainer)
+                for follows, run in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    held.append(windows_of(np.frombuffer(run, kind), follows, local))
+                    n, waiting = n + len(held[-1]), waiting + len(held[-1])
+                    if waiting >= min(max(BATCH, n // 8), MOST):
+                        train_on(local, np.concatenate(held), trainer)
+                        held, waiting = [], 0
+            if held:
+                train_on(local, np.concatenate(held), trainer)
             moved = np.concatenate([(local.weights[k] - old[k]).reshape(-1) for k in local.weights]) if n else np.zeros(0, np.float32)
             for i in range(0, len(moved), PART):
                 part = moved[i : i + PART]
@@ -208,8 +230,8 @@ def train(model: Model, windows: DataFrame, rounds: int = ROUNDS) -> Model:
             total = (moved[order] * n[order, None]).sum(axis=0) / n.sum()
             return pa.table({"part": table.column("part")[:1], "moved": pa.array([total.astype(np.float32).tobytes()])})
 
-        chosen = windows.where(F.pmod("order", F.lit(rounds)) == r).repartition(shards, "order").sortWithinPartitions("order", "window")
-        moves = chosen.select("window").mapInArrow(learn, "part long, moved binary, n double")
+        chosen = windows.where(F.pmod("order", F.lit(rounds)) == r).repartition(shards, "order").sortWithinPartitions("order", "follows", "run")
+        moves = chosen.select("follows", "run").mapInArrow(learn, "part long, moved binary, n double")
         merged = moves.groupBy("part").applyInArrow(mean, "part long, moved binary").collect()  # at most the size of the model
         flat = np.concatenate([v.reshape(-1) for v in model.weights.values()])
         for row in merged:
@@ -280,8 +302,9 @@ def scored_texts(docs: DataFrame, path: str | None = None, every: int = EVERY, r
     Words are lower-cased in A-Z; a text has its words and an end, which is known if any
     row is in training. Null texts are empty. A null id is in training. Rows that repeat
     count, and are returned, as often as they occur. Without training rows N and V are 0,
-    and the model knows no frequencies. An empty table gives no rows. ``every`` and
-    ``rounds`` set how many windows the attention weights are fitted to; counts are of everything.
+    and the model knows no frequencies. An empty table gives no rows. The attention weights are
+    fitted to all windows of training rows, each in one of ``rounds`` rounds, unless ``every`` asks
+    for a trial on one run of windows in so many; counts are of everything.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -297,8 +320,7 @@ def scored_texts(docs: DataFrame, path: str | None = None, every: int = EVERY, r
     total, kinds = n_words + ends, kinds + (ends > 0)
 
     model = Model(subword_counts(blocks, size, end), end)
-    windows = stored(training_windows(blocks, model, every), "windows")
-    model = train(model, windows, rounds)
+    model = train(model, training_windows(blocks, model, every), rounds)
 
     first = most_common(table)
     common = spark.sparkContext.broadcast((pa.array([r["key"] for r in first], pa.string()), np.array([r["n"] for r in first], np.int64)))

@@ -7,7 +7,8 @@ import pytest
 from tokenizers import Tokenizer
 
 from scorelake.llm.attention import Model, Trainer
-from scorelake.llm.lm_scores import is_held_out, scored_texts, subwords, train_on, word_numbers
+from scorelake.llm import lm_scores
+from scorelake.llm.lm_scores import PAD, is_held_out, scored_texts, subwords, train_on, windows_of, word_numbers
 from scorelake.llm.tokens import tokenizer_path
 
 LETTERS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -108,3 +109,33 @@ def test_windows_of_several_texts_train_alike():
     before = {k: v.copy() for k, v in model.weights.items()}
     train_on(model, windows, Trainer(model))
     assert any((before[k] != model.weights[k]).any() for k in before)
+
+
+def test_every_window_of_training_texts_is_trained_on(spark, monkeypatch):
+    """Whatever its document or place: as many targets as there are subwords and ends, in the windows a text is cut into."""
+    texts = ["", None, "a", "one two three", " ".join(f"word{i}" for i in range(900)), "x " * 127 + "y", "again", "again"]
+    rows = [(d, t) for d, t in zip([0, 1, 2, 3, None, 5, 6, 6], texts)] + [(d, "held out " * 9) for d in range(40) if is_held_out(d)]
+    seen = []
+    monkeypatch.setattr(lm_scores, "train", lambda model, windows, rounds: seen.append((model, windows.collect())) or model)
+    scored_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    model, runs = seen[0]
+    known = subwords(tokenizer_path()).tokenizer
+    want = []
+    for d, t in rows:
+        if not is_held_out(d):
+            ids = known.encode(t or "", add_special_tokens=False).ids
+            inputs, targets, _ = model.strides(np.array(ids, np.int64), np.array([0, len(ids)]))
+            before = np.concatenate([np.full((1, model.stride), PAD), inputs[:-1]])
+            want += np.concatenate([before, inputs, targets], axis=1).tolist()
+    got = [w for r in runs for w in windows_of(np.frombuffer(r["run"], np.uint16), r["follows"], model).tolist()]
+    assert len(want) > 64 and sorted(got) == sorted(want)
+
+
+def test_windows_in_a_row_train_as_windows_apart():
+    """Shared strides change nothing but the order of summation."""
+    model, other = (Model(np.arange(1, 60), 58) for _ in range(2))
+    windows = windows_of(np.random.default_rng(4).integers(0, 58, 150), False, model)
+    assert (windows[1:, : model.stride] == windows[:-1, model.stride : 2 * model.stride]).all()
+    train_on(model, windows, Trainer(model))
+    train_on(other, np.concatenate([windows[::2], windows[1::2]]), Trainer(other))
+    assert all(np.allclose(model.weights[k], other.weights[k], rtol=1e-3, atol=1e-4) for k in model.weights)
