@@ -196,6 +196,8 @@ def align_blocks(docs: DataFrame, path: str, other: str) -> DataFrame:
             ]
             types = [pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.string()), *[pa.binary()] * 3, *[pa.list_(pa.int64())] * 2, *[pa.binary()] * 3]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, types)], names=[c.split()[0] for c in BLOCKS.split(", ")])
+        # The worker waits beside later stages of the executor; what Arrow holds in reserve goes back.
+        pa.default_memory_pool().release_unused()
 
     return docs.select("doc_id", "text").mapInArrow(run, BLOCKS)
 

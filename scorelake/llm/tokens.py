@@ -23,6 +23,8 @@ DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 #: Pieces that a worker process keeps; beyond that it begins anew.
 KEPT_PIECES = 250_000
+#: New pieces that are encoded at once: their ids are Python objects until they are stored.
+NEW_PIECES = 8192
 
 
 def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
@@ -198,7 +200,8 @@ class Pieces:
         found = pc.index_in(pieces, value_set=self.known)
         if found.null_count:
             new = pieces.filter(found.is_null())
-            self.ids.extend(self.encode_new(new.to_numpy(zero_copy_only=False).tolist()))
+            for i in range(0, len(new), NEW_PIECES):
+                self.ids.extend(self.encode_new(new.slice(i, NEW_PIECES).to_pylist()))
             first = len(self.known)
             self.known = pa.concat_arrays([self.known, new])
             out = found.fill_null(0).to_numpy().astype(np.int64)

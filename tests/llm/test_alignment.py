@@ -7,7 +7,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from scorelake.llm.alignment import DEFAULT_OTHER, Vocabularies, align, aligned, aligned_pieces
+from scorelake.llm.alignment import DEFAULT_OTHER, AlignedPieces, Vocabularies, align, aligned, aligned_pieces
 from scorelake.llm.tokens import tokenizer_path
 
 A = Tokenizer.from_file(tokenizer_path())
@@ -106,3 +106,18 @@ def test_the_identity_map(token):
     a = A.encode(token, add_special_tokens=False).ids
     if len(a) == 1 and KNOWN.same[a[0]] >= 0:
         assert KNOWN.other_bytes[KNOWN.same[a[0]]] == token.encode() == KNOWN.one_bytes[a[0]]
+
+
+def test_new_pieces_are_encoded_a_few_at_a_time(monkeypatch):
+    """However many different pieces a batch has, only some of them are Python objects at once."""
+    pieces = AlignedPieces(KNOWN)
+    sizes, encode = [], pieces.encode_new
+    monkeypatch.setattr("scorelake.llm.tokens.NEW_PIECES", 7)
+    monkeypatch.setattr(pieces, "encode_new", lambda new: sizes.append(len(new)) or encode(new))
+    texts = ["one two three four five six seven eight nine ten", "", None, "eleven two twelve", "\ue000 x", "zwölf 13!"]
+    sums, digests, owner, links = aligned(pa.array(texts, pa.string()), pieces)
+    assert len(sizes) > 1 and max(sizes) <= 7
+    for i, text in enumerate(texts):
+        facts, want = plain(text)
+        assert (*sums[i, :3].tolist(), digests[i]) == facts
+        assert sorted(links[owner == i].tolist()) == sorted(a * KNOWN.others + b for a, b in want)
