@@ -89,7 +89,7 @@ class Model:
         """
         w, s = self.weights, self.stride
         width = w["out"].shape[0]
-        x = w["ids"][inputs]
+        x = w["ids"].take(inputs.reshape(-1), axis=0).reshape(*inputs.shape, width)
         qkv = x.reshape(-1, width) @ w["qkv"]
         scale = x.dtype.type(1 / np.sqrt(width))
         n, size = len(range(1, len(inputs), step)), qkv.itemsize
@@ -98,16 +98,25 @@ class Model:
         q = windows[:, s:, :width] * scale
         k, v = windows[:, :, width : 2 * width], windows[:, :, 2 * width :]
         bias = np.where(self.apart >= 0, w["distance"][np.maximum(self.apart, 0)], x.dtype.type(-1e30))
-        a = np.matmul(q, k.transpose(0, 2, 1))
-        a += bias
-        a[~follows[1::step], :, :s] = -1e30
-        a, sums, _ = exponents(a.reshape(-1, 2 * s))
-        a = a.reshape(-1, s, 2 * s)
-        mixed = np.matmul(a, v).reshape(-1, width)
-        mixed /= sums[:, None]
-        h = x[1::step].reshape(-1, width) + mixed @ w["out"]
-        u = np.maximum(h @ w["up"] + w["bias"], 0)
-        z = h + u @ w["down"]
+        a, sums, mixed = np.empty((n, s, 2 * s), x.dtype), np.empty((n, s, 1), x.dtype), np.empty((n, s, width), x.dtype)
+        begins = ~follows[1::step]
+        for i in range(0, n, PASS):
+            part = slice(i, i + PASS)
+            logits = np.matmul(q[part], k[part].transpose(0, 2, 1))
+            logits += bias
+            logits[begins[part], :, :s] = -1e30
+            weights, of_row, _ = exponents(logits.reshape(-1, 2 * s))
+            a[part], sums[part] = weights.reshape(logits.shape), of_row.reshape(-1, s, 1)
+            np.matmul(a[part], v[part], out=mixed[part])
+            mixed[part] /= sums[part]
+        mixed = mixed.reshape(-1, width)
+        h = mixed @ w["out"]
+        h += x[1::step].reshape(-1, width)
+        u = h @ w["up"]
+        u += w["bias"]
+        np.maximum(u, 0, out=u)
+        z = u @ w["down"]
+        z += h
         return z, (x, q, k, v, a, sums, mixed, h, u, scale)
 
     def log_probs(self, inputs: np.ndarray, targets: np.ndarray, text: np.ndarray) -> np.ndarray:
@@ -125,16 +134,23 @@ class Model:
                 # One stride more in front: its keys are the context of the first.
                 part = np.maximum(np.arange(p - 1, min(p + PASS, j)), 0)
                 rows.append(self.hidden(inputs[part], follows[part])[0])
-            z = np.concatenate(rows)[known]
+            z = np.concatenate(rows).take(known, axis=0)
             found = np.empty(len(goal), np.float64)
             for p in range(0, len(goal), PASS * self.stride):
                 part = slice(p, p + PASS * self.stride)
-                found[part] = picked(z[part] @ w["classes"] + self.class_bias, self.kind[goal[part]])[0]
+                logits = z[part] @ w["classes"]
+                logits += self.class_bias
+                found[part] = picked(logits, self.kind[goal[part]])[0]
+            # From here on in order of classes.
+            order = sorted_places(self.kind[goal], len(self.starts))
+            goal, z, found, known = goal[order], z.take(order, axis=0), found[order], known[order]
+            place = self.place[goal]
             for c, at in grouped(self.kind[goal], np.diff(self.starts)):
                 begin, end = self.starts[c], self.starts[c + 1]
                 if end - begin > 1:
-                    logits = z[at] @ w["places"][begin:end].T + self.id_bias[begin:end]
-                    found[at] += picked(logits, self.place[goal[at]] - begin)[0]
+                    logits = z[at] @ w["places"][begin:end].T
+                    logits += self.id_bias[begin:end]
+                    found[at] += picked(logits, place[at] - begin)[0]
             flat = out[i:j].reshape(-1)
             flat[known] = found
         return out
@@ -144,18 +160,27 @@ class Model:
         w, s = self.weights, self.stride
         width = w["out"].shape[0]
         z, (x, q, k, v, a, sums, mixed, h, u, scale) = self.hidden(inputs, follows, step)
-        a = a / sums.reshape(-1, s, 1)
         goal = targets[1::step].reshape(-1)
         known = np.flatnonzero(goal != PAD)
-        goal, y, g = goal[known], z[known], {}
-        value, d = picked(y @ w["classes"] + self.class_bias, self.kind[goal], True)
-        total = float(value.sum())
+        goal, y, g = goal[known], z.take(known, axis=0), {}
+        kinds, total = self.kind[goal], 0.0
+        d = y @ w["classes"]
+        for i in range(0, len(goal), PASS * s):
+            part = slice(i, i + PASS * s)
+            d[part] += self.class_bias
+            value, d[part] = picked(d[part], kinds[part], True)
+            total += float(value.sum())
         g["classes"], dy = y.T @ d, d @ w["classes"].T
+        # From here on in order of classes.
+        order = sorted_places(kinds, len(self.starts))
+        known, place, y, dy = known[order], self.place[goal[order]], y.take(order, axis=0), dy.take(order, axis=0)
         rows, slopes = [], []
-        for c, at in grouped(self.kind[goal], np.diff(self.starts)):
+        for c, at in grouped(kinds[order], np.diff(self.starts)):
             begin, end = self.starts[c], self.starts[c + 1]
             if end - begin > 1:
-                value, d = picked(y[at] @ w["places"][begin:end].T + self.id_bias[begin:end], self.place[goal[at]] - begin, True)
+                logits = y[at] @ w["places"][begin:end].T
+                logits += self.id_bias[begin:end]
+                value, d = picked(logits, place[at] - begin, True)
                 total += float(value.sum())
                 if rows and rows[-1][0] == begin:
                     slopes[-1] += d.T @ y[at]
@@ -167,40 +192,54 @@ class Model:
         dz = np.zeros_like(z)
         dz[known] = dy
         g["down"] = u.T @ dz
-        du = dz @ w["down"].T * (u > 0)
+        du = dz @ w["down"].T
+        du *= u > 0
         g["up"], g["bias"] = h.T @ du, du.sum(axis=0)
-        dh = dz + du @ w["up"].T
+        dh = du @ w["up"].T
+        dh += dz
         g["out"] = mixed.T @ dh
         dmixed = (dh @ w["out"].T).reshape(-1, s, width)
-        da = np.matmul(dmixed, v.transpose(0, 2, 1))
-        dv = np.matmul(a.transpose(0, 2, 1), dmixed)
-        da = a * (da - (da * a).sum(axis=2, keepdims=True))
-        near = self.apart >= 0
-        g["distance"] = np.bincount(self.apart[near], da.sum(axis=0)[near], 2 * s).astype(z.dtype)
-        dk = np.matmul(da.transpose(0, 2, 1), q)
-        d = np.zeros((*inputs.shape, 3 * width), z.dtype)
-        d[1::step, :, :width] = np.matmul(da, k) * scale
-        for part, grad in ((slice(width, 2 * width), dk), (slice(2 * width, 3 * width), dv)):
-            d[1::step, :, part] += grad[:, s:]
+        apart, d = np.zeros((1, s, 2 * s), z.dtype), np.zeros((*inputs.shape, 3 * width), z.dtype)
+        # Back through attention by passes, whose arrays stay in the processor's cache.
+        for i in range(0, len(q), PASS):
+            part = slice(i, i + PASS)
+            a[part] /= sums[part]
+            da = np.matmul(dmixed[part], v[part].transpose(0, 2, 1))
+            dkv = np.empty((len(da), 2 * s, 2 * width), z.dtype)
+            dkv[:, :, width:] = np.matmul(a[part].transpose(0, 2, 1), dmixed[part])
+            da -= (da * a[part]).sum(axis=2, keepdims=True)
+            da *= a[part]
+            apart = np.concatenate([apart, da]).sum(axis=0, keepdims=True)
+            dkv[:, :, :width] = np.matmul(da.transpose(0, 2, 1), q[part])
+            before, own = (d[m + i * step :: step][: len(da)] for m in (0, 1))
+            np.multiply(np.matmul(da, k[part]), scale, out=own[:, :, :width])
+            own[:, :, width:] += dkv[:, s:]
             # No attention reaches back over the beginning of a text, so those gradients are 0.
-            d[: len(inputs) - 1 : step, :, part] += grad[:, :s]
+            before[:, :, width:] += dkv[:, :s]
+        near = self.apart >= 0
+        g["distance"] = np.bincount(self.apart[near], apart[0][near], 2 * s).astype(z.dtype)
         d = d.reshape(-1, 3 * width)
         g["qkv"] = x.reshape(-1, width).T @ d
         dx = (d @ w["qkv"].T).reshape(x.shape)
         dx[1::step] += dh.reshape(-1, s, width)
         flat = inputs.reshape(-1)
-        at = np.argsort(flat, kind="stable")
+        at = sorted_places(flat, self.size)
         first = np.flatnonzero(np.diff(flat[at], prepend=-1))
-        g["ids"] = (flat[at[first]], np.add.reduceat(dx.reshape(-1, width)[at], first))
+        g["ids"] = (flat[at[first]], np.add.reduceat(dx.reshape(-1, width).take(at, axis=0), first))
         return total, g
 
 
+def sorted_places(numbers: np.ndarray, size: int) -> np.ndarray:
+    """The places of numbers below ``size`` in their order, equal ones as they stand. Narrow numbers take a radix sort."""
+    return np.argsort(numbers.astype(np.uint16) if size <= 1 << 16 else numbers, kind="stable")
+
+
 def exponents(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
     """exp of each row, its sum, and what was taken off first: the largest of the row, but only if exponents are too large or small for the type."""
     with np.errstate(over="ignore"):
         out = np.exp(logits)
         sums = out @ np.ones(logits.shape[1], logits.dtype)
-    if (np.isfinite(sums) & (sums > 1e-30)).all():
+    if not len(sums) or sums.min() > 1e-30 and sums.max() < np.inf:
         return out, sums, 0.0
     top = logits.max(axis=1)
     out = np.exp(logits - top[:, None])
@@ -220,14 +259,13 @@ def picked(logits: np.ndarray, choice: np.ndarray, slopes: bool = False) -> tupl
 
 
 def grouped(kinds: np.ndarray, sizes: np.ndarray):
-    """Each kind with the places where it stands, at most `LOGITS` numbers at a time where a kind takes ``sizes`` numbers a place."""
-    order = np.argsort(kinds, kind="stable")
-    cuts = np.flatnonzero(np.diff(kinds[order], prepend=-1)).tolist()
-    for i, j in zip(cuts, [*cuts[1:], len(order)]):
-        c = kinds[order[i]]
+    """Each of the sorted ``kinds`` with the slice where it stands, at most `LOGITS` numbers at a time where a kind takes ``sizes`` numbers a place."""
+    cuts = np.flatnonzero(np.diff(kinds, prepend=-1)).tolist()
+    for i, j in zip(cuts, [*cuts[1:], len(kinds)]):
+        c = kinds[i]
         step = max(1, LOGITS // int(sizes[c]))
         for k in range(i, j, step):
-            yield c, order[k : min(k + step, j)]
+            yield c, slice(k, min(k + step, j))
 
 
 class Trainer:
@@ -241,6 +279,8 @@ class Trainer:
         total, gradients = self.model.gradients(inputs, targets, follows, step)
         for name, g in gradients.items():
             rows, g = g if isinstance(g, tuple) else (slice(None), g)
-            self.squares[name][rows] += g * g
-            self.model.weights[name][rows] += self.rate * g / np.sqrt(self.squares[name][rows])
+            squares = self.squares[name][rows]
+            squares += g * g
+            self.squares[name][rows] = squares
+            self.model.weights[name][rows] += self.rate * g / np.sqrt(squares)
         return total

@@ -169,11 +169,12 @@ def training_windows(blocks: DataFrame, model: Model, every: int) -> DataFrame:
 
 def windows_of(ids: np.ndarray, follows: bool, model: Model) -> np.ndarray:
     """A row (ids before, ids, targets) for each stride of a run: what it ends with is a target only, and if it ``follows`` others its first stride is context only."""
-    s = model.stride
-    inputs, targets = (np.full(-(-(len(ids) - 1) // s) * s, fill, np.int64) for fill in (model.end, PAD))
-    inputs[: len(ids) - 1], targets[: len(ids) - 1] = ids[:-1], ids[1:]
-    inputs, targets = inputs.reshape(-1, s), targets.reshape(-1, s)
-    rows = np.concatenate([np.concatenate([np.full((1, s), PAD), inputs[:-1]]), inputs, targets], axis=1)
+    s, n = model.stride, len(ids) - 1
+    before, inputs, targets = both = np.empty((3, -(-n // s), s), np.int64)
+    inputs.reshape(-1)[:n], inputs.reshape(-1)[n:] = ids[:-1], model.end
+    targets.reshape(-1)[:n], targets.reshape(-1)[n:] = ids[1:], PAD
+    before[:1], before[1:] = PAD, inputs[:-1]
+    rows = both.transpose(1, 0, 2).reshape(-1, 3 * s)
     return rows[1:] if follows else rows
 
 

@@ -1,7 +1,9 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 
-from scorelake.llm.attention import PAD, Model, Trainer, classes_of
+from scorelake.llm.attention import PAD, Model, Trainer, classes_of, sorted_places
 
 
 def small(dtype=np.float64, size=37, stride=4, seed=1):
@@ -129,3 +131,27 @@ def test_large_logits():
     assert np.isfinite(got).all() and (got <= 1e-4).all()
     total, gradients = model.gradients(*model.strides(ids, bounds)[:2], np.array([0, 1, 1] + [0] + [1] * 7, bool))
     assert np.isfinite(total) and all(np.isfinite(g[1] if isinstance(g, tuple) else g).all() for g in gradients.values())
+
+
+@pytest.mark.parametrize("size", [1 << 16, (1 << 16) + 1])
+def test_equal_numbers_keep_their_order(size):
+    numbers = np.random.default_rng(6).integers(size - 40, size, 500)
+    assert sorted_places(numbers, size).tolist() == sorted(range(500), key=lambda i: numbers[i])
+
+
+def test_gradients_go_by_passes(monkeypatch):
+    """What the way back through attention needs besides its results does not grow with the step."""
+    model, rng = small(np.float32, size=300, stride=16)
+    ids, bounds = texts(rng, 300, [16 * 1024 - 1])
+    inputs, targets, _ = model.strides(ids, bounds)
+    follows = np.ones(len(inputs), bool)
+    tracemalloc.start()
+    total, gradients = model.gradients(inputs, targets, follows)
+    peak = tracemalloc.get_traced_memory()[1]
+    monkeypatch.setattr("scorelake.llm.attention.PASS", len(inputs))
+    tracemalloc.reset_peak()
+    again, others = model.gradients(inputs, targets, follows)
+    assert peak < 0.9 * tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.isclose(total, again)
+    assert all(np.allclose(gradients[k][1], others[k][1]) if k in ("ids", "places") else np.allclose(gradients[k], others[k]) for k in gradients)
