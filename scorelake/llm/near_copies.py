@@ -119,7 +119,8 @@ def links(values: DataFrame, radius: int = RADIUS, together: int = TOGETHER) ->
     held = held.select("fp", "e.*")
     entry = ["segment", "value"]
     sizes = stored(held.groupBy(*entry).agg(F.count("*").alias("n")), "entries")
-    small = held.join(sizes.where(F.col("n") <= together).select(*entry), entry).groupBy(*entry).agg(F.collect_list("fp").alias("members"))
+    # Spark sizes a frame as before its explode, and would send it to the driver to be broadcast.
+    small = held.hint("merge").join(sizes.where(F.col("n") <= together).select(*entry), entry).groupBy(*entry).agg(F.collect_list("fp").alias("members"))
     hot = sizes.where(F.col("n") > together).select(*entry, F.lit(None).cast("array<long>").alias("members"))
     tables = stored(small.unionByName(hot), "segment-tables")
 
@@ -129,7 +130,7 @@ def links(values: DataFrame, radius: int = RADIUS, together: int = TOGETHER) ->
     value = F.coalesce(*[F.when(F.col("segment") == k, part(k, fp)) for k in range(SEGMENTS)])
     looks = looks.select("fp", "segment", value.bitwiseXOR(F.col("mask")).alias("value"))
     near = F.filter("members", lambda other: (other != F.col("fp")) & (F.bit_count(other.bitwiseXOR(F.col("fp"))) <= radius))
-    met = looks.join(tables, entry).select("fp", near.alias("near"), F.col("members").isNull().alias("hot"))
+    met = looks.hint("merge").join(tables, entry).select("fp", near.alias("near"), F.col("members").isNull().alias("hot"))
     met = stored(met.where(F.col("hot") | (F.size("near") > 0)), "met")
     found = met.where("NOT hot").select("fp", F.explode("near").alias("other"))
     pairs = found.select(F.greatest("fp", "other").alias("fp"), F.least("fp", "other").alias("least"))

@@ -4,6 +4,7 @@ import re
 import pytest
 import xxhash
 
+from scorelake.llm.common import stored
 from scorelake.llm.near_copies import balls, components, first_of_groups, links, near_copies, with_groups
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -95,6 +96,22 @@ def test_links_and_components(spark):
             assert roots.get(m, m) == min(map(signed, want[m & (2**64 - 1)]))
 
 
+def test_exploded_frames_are_not_broadcast(spark, monkeypatch):
+    """Spark sizes them as before the explode, so that 34 times as much would go through the driver."""
+    plans = []
+
+    def noted(df, name, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name, *args)
+
+    monkeypatch.setattr("scorelake.llm.near_copies.stored", noted)
+    rng = random.Random(13)
+    df = spark.createDataFrame([(rng.getrandbits(63),) for _ in range(300)], "fp long")
+    links(stored(df, "values"))
+    joined = [p for p in plans if "Join" in p]
+    assert len(joined) == 2 and all("Generate" in p and "SortMergeJoin" in p and "Broadcast" not in p for p in joined)
+
+
 @pytest.mark.parametrize("radius", [0, 1, 2, 3, 5])
 def test_balls_reach_every_value_within_the_radius(radius):
     rng = random.Random(radius)
